@@ -50,7 +50,7 @@ def conformal_border(
     if not n:
         raise ValueError("no calibration rows")
     k = min(max(math.floor(alpha * (n + 1)), 1), n)
-    return order_statistics(residuals, {"e": [n - k]})["e", n - k]
+    return order_statistics(residuals, {"e": [n - k]}, {"e": n})["e", n - k]
 
 
 def conformal(

@@ -164,14 +164,34 @@ def train(
         params["maxIter"] = max(n_epochs, FIRST_EPOCHS) if stops else n_epochs
     data = to_vectors(samples, output)
     kept = ["features", "label", *(["validation"] if stops else [])]
-    data = data.select(*kept)
+    data = data.select(*kept).persist()
     n_classes = int(data.agg(F.max("label")).first()[0]) + 1 if classification else 0
     n_inputs = data.first().features.size if learning_method == "dnn" and classification else 0
-    return _estimator(learning_method, classification, n_classes, n_inputs, dict(params), stops).fit(data)
+    fitted = _estimator(learning_method, classification, n_classes, n_inputs, dict(params), stops).fit(data)
+    data.unpersist()
+    return fitted
+
+
+@dataclass(frozen=True)
+class MultiOutput:
+    """One model per target step."""
+
+    models: list
+
+
+def train_outputs(samples: DataFrame, learning_method: str, n_outputs: int, **options):
+    """A model of each target step; a single step gives the model itself."""
+    fitted = [train(samples, learning_method, output=i, **options) for i in range(n_outputs)]
+    return fitted[0] if n_outputs == 1 else MultiOutput(fitted)
 
 
 def predict(model, samples: DataFrame, out: str = "predicted") -> DataFrame:
-    """Add the model's prediction of each window."""
+    """Add the model's prediction of each window; several target steps give an array."""
+    if isinstance(model, MultiOutput):
+        steps = [f"_step{i}" for i in range(len(model.models))]
+        for name, one in zip(steps, model.models):
+            samples = predict(one, samples, name)
+        return samples.withColumn(out, F.array(*steps)).drop(*steps)
     if isinstance(model, Discriminant):
         return model.transform(samples).withColumnRenamed("prediction", out)
     kept = [c for c in samples.columns if c != out]
@@ -190,9 +210,19 @@ def boosting_history(model, samples: DataFrame) -> DataFrame:
     return samples.sparkSession.createDataFrame(rows, "epoch long, loss double, val_loss double")
 
 
+def model_kind(model) -> str:
+    """Class name of a model; of several, their names as a JSON list."""
+    if isinstance(model, MultiOutput):
+        return json.dumps([model_kind(one) for one in model.models])
+    return type(model).__name__
+
+
 def save_model(spark: SparkSession, model, path: str) -> None:
     """Persist a fitted model in the shared folder."""
-    if isinstance(model, Discriminant):
+    if isinstance(model, MultiOutput):
+        for i, one in enumerate(model.models):
+            save_model(spark, one, f"{path}/{i}")
+    elif isinstance(model, Discriminant):
         row = [(json.dumps(model.__dict__),)]
         spark.createDataFrame(row, "model string").write.mode("errorifexists").json(path)
     elif isinstance(model, OneVsRestModel):
@@ -202,7 +232,9 @@ def save_model(spark: SparkSession, model, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str, kind: str):
-    """Load what ``save_model`` wrote; ``kind`` is the class name of the model."""
+    """Load what ``save_model`` wrote; ``kind`` is what ``model_kind`` said of the model."""
+    if kind.startswith("["):
+        return MultiOutput([load_model(spark, f"{path}/{i}", k) for i, k in enumerate(json.loads(kind))])
     if kind == "Discriminant":
         return Discriminant(**json.loads(spark.read.schema("model string").json(path).first().model))
     return OneVsRestModel.load(path) if kind == "OneVsRestModel" else PipelineModel.load(path)

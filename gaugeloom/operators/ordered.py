@@ -140,7 +140,10 @@ def over_rows_back(
 
 
 def order_statistics(
-    df: DataFrame, ranks: dict[str, Sequence[int]], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame,
+    ranks: dict[str, Sequence[int]],
+    sizes: dict[str, int] | None = None,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> dict[tuple[str, int], float]:
     """Exact values at zero-based ascending ranks of the non-null values of several columns.
 
@@ -150,8 +153,8 @@ def order_statistics(
     wanted = [(c, r) for c, rs in ranks.items() for r in sorted(set(rs))]
     if not wanted:
         return {}
-    columns = list(ranks)
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    if sizes is None:
+        sizes = df.agg(*[F.count(c).alias(c) for c in ranks]).first().asDict()
     bounds = []
     for c, r in wanted:
         middle, slack = (r + 1) / sizes[c], 2 / accuracy
@@ -198,15 +201,20 @@ def _pick(df, brackets):
 
 
 def quantile_values(
-    df: DataFrame, probs: dict[str, Sequence[float]], exact_rows: int = EXACT_ROWS
+    df: DataFrame,
+    probs: dict[str, Sequence[float]],
+    exact_rows: int = EXACT_ROWS,
+    sizes: dict[str, int] | None = None,
 ) -> dict[tuple[str, float], float | None]:
     """Exact quantiles with linear interpolation, on the driver: one number per column and share.
 
     ``percentile`` keeps all distinct values in one task, so it is used up to ``exact_rows`` only.
+    ``sizes``, the non-null values per column, saves counting them.
     """
     columns = list(probs)
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    if max(sizes) <= exact_rows:
+    if sizes is None:
+        sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    if max(sizes[c] for c in columns) <= exact_rows:
         cells = [F.percentile(c, F.array(*map(F.lit, probs[c]))).alias(c) for c in columns]
         row = df.agg(*cells).first()
         return {
@@ -219,7 +227,7 @@ def quantile_values(
         for c in columns
         if sizes[c]
     }
-    values = order_statistics(df, ranks)
+    values = order_statistics(df, ranks, sizes)
     result = {}
     for c in columns:
         for p in probs[c]:
@@ -236,7 +244,7 @@ def kth_largest(df: DataFrame, col: str, k: int) -> float:
     """The k-th largest value of a column, exact for any k."""
     size = df.agg(F.count(col)).first()[0]
     rank = size - k
-    return order_statistics(df, {col: [rank]})[col, rank]
+    return order_statistics(df, {col: [rank]}, {col: size})[col, rank]
 
 
 def top_k(df: DataFrame, by: Sequence[Column | str], k: int) -> DataFrame:

@@ -113,48 +113,45 @@ def _text_view(df, cols):
     )
 
 
-def numeric_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Moments and range. Skewness and kurtosis are adjusted for the sample size."""
+def _moments(c: str) -> list[Column]:
+    n = F.count(c).cast("double")
+    skewness = F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2)
+    kurtosis = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6)
+    return [
+        F.min(c).alias("min"),
+        F.max(c).alias("max"),
+        (F.max(c) - F.min(c)).alias("range"),
+        F.avg(c).alias("mean"),
+        F.stddev_samp(c).alias("std"),
+        F.var_samp(c).alias("variance"),
+        F.sum(c).alias("sum"),
+        (F.stddev_samp(c) / F.nullif(F.avg(c), F.lit(0.0))).alias("cv"),
+        F.when(n > 2, skewness).alias("skewness"),
+        F.when(n > 3, kurtosis).alias("kurtosis"),
+    ]
 
-    def stats(c):
-        n = F.count(c).cast("double")
-        skewness = F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2)
-        kurtosis = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6)
-        return [
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-            (F.max(c) - F.min(c)).alias("range"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.var_samp(c).alias("variance"),
-            F.sum(c).alias("sum"),
-            (F.stddev_samp(c) / F.nullif(F.avg(c), F.lit(0.0))).alias("cv"),
-            F.when(n > 2, skewness).alias("skewness"),
-            F.when(n > 3, kurtosis).alias("kurtosis"),
-        ]
 
-    return per_variable(numeric_view(df, cols), cols, stats)
+def _zeros(c: str) -> list[Column]:
+    tests = {
+        "zeros": F.col(c) == 0,
+        "negative": F.col(c) < 0,
+        "infinite": F.abs(F.col(c)) == F.lit(math.inf),
+    }
+    cells = []
+    for name, test in tests.items():
+        cells.append(F.count_if(test).alias(f"n_{name}"))
+        cells.append(share(F.count_if(test), F.count("*")).alias(f"p_{name}"))
+    return cells
 
 
-def zero_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Zeros, negatives and infinities; shares are of all rows, missing ones too."""
+def numeric_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Moments and range. Skewness and kurtosis are adjusted for the sample size."""
+    return per_variable(numeric_view(df, cols), cols, _moments)
 
-    def stats(c):
-        tests = {
-            "zeros": F.col(c) == 0,
-            "negative": F.col(c) < 0,
-            "infinite": F.abs(F.col(c)) == F.lit(math.inf),
-        }
-        return [
-            cell
-            for name, test in tests.items()
-            for cell in (
-                F.count_if(test).alias(f"n_{name}"),
-                share(F.count_if(test), F.count("*")).alias(f"p_{name}"),
-            )
-        ]
 
-    return per_variable(numeric_view(df, cols), cols, stats)
+def zero_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Zeros, negatives and infinities; shares are of all rows, missing ones too."""
+    return per_variable(numeric_view(df, cols), cols, _zeros)
 
 
 def quantiles(
@@ -166,16 +163,23 @@ def quantiles(
     return df.sparkSession.createDataFrame(rows, "variable string, prob double, value double")
 
 
-def deviation_stats(df: DataFrame, cols: Sequence[str], exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """Interquartile range and median absolute deviation: variable, iqr, mad."""
+def deviation_stats(
+    df: DataFrame, cols: Sequence[str], exact_rows: int = EXACT_ROWS, sizes: dict[str, int] | None = None
+) -> DataFrame:
+    """Quantiles, interquartile range and median absolute deviation per variable.
+
+    Columns: variable, iqr, mad, and one ``qNN`` per quantile.
+    """
     view = numeric_view(df, cols)
-    found = quantile_values(view, {c: [0.25, 0.5, 0.75] for c in cols}, exact_rows)
-    away = view.select(*[F.abs(F.col(c) - F.lit(found[c, 0.5])).alias(c) for c in cols])
-    mads = quantile_values(away, {c: [0.5] for c in cols}, exact_rows)
-    rows = [
-        (c, None if found[c, 0.5] is None else found[c, 0.75] - found[c, 0.25], mads[c, 0.5]) for c in cols
-    ]
-    return df.sparkSession.createDataFrame(rows, "variable string, iqr double, mad double")
+    found = quantile_values(view, {c: list(QUANTILES) for c in cols}, exact_rows, sizes)
+    away = view.select(*[F.abs(F.col(c) - F.lit(found[c, 0.5])).cast("double").alias(c) for c in cols])
+    mads = quantile_values(away, {c: [0.5] for c in cols}, exact_rows, sizes)
+    rows = []
+    for c in cols:
+        spread = None if found[c, 0.5] is None else found[c, 0.75] - found[c, 0.25]
+        rows.append((c, spread, mads[c, 0.5], *[found[c, p] for p in QUANTILES]))
+    names = ", ".join(f"q{round(p * 100):02d} double" for p in QUANTILES)
+    return df.sparkSession.createDataFrame(rows, f"variable string, iqr double, mad double, {names}")
 
 
 def low_cardinality(counts: DataFrame, threshold: int = LOW_CATEGORICAL_THRESHOLD) -> DataFrame:
@@ -212,25 +216,39 @@ def infer_kind(df: DataFrame, cols: Sequence[str], counts: DataFrame | None = No
     )
 
 
-def histogram(df: DataFrame, cols: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width bins over finite values, the last one closed: variable, bin (1-based), low, high, n."""
+def histogram(
+    df: DataFrame,
+    cols: Sequence[str],
+    bins: int = HISTOGRAM_BINS,
+    ends: dict[str, tuple[float | None, float | None]] | None = None,
+) -> DataFrame:
+    """Equal-width bins over finite values, the last one closed: variable, bin (1-based), low, high, n.
+
+    ``ends``, the finite minimum and maximum per column, saves a scan.
+    """
     finite = numeric_view(df, cols)
     finite = finite.select(*[F.when(F.abs(F.col(c)) < math.inf, F.col(c)).alias(c) for c in cols])
-    ends = finite.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in cols]).first()
-    filled = [c for c in cols if ends[c].lo is not None]
+    if ends is None:
+        row = finite.agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in cols]).first()
+        ends = {c: tuple(row[c]) for c in cols}
     cells = []
-    for c in filled:
-        lo, hi = ends[c].lo, ends[c].hi
+    for c in cols:
+        lo, hi = ends[c]
+        if lo is None:
+            continue
         width = (hi - lo) / bins
         place = F.floor((F.col(c) - lo) / width) + 1 if width else F.lit(1).cast("long")
         cells.append(
             F.struct(
                 F.lit(c).alias("variable"),
                 F.when(F.col(c).isNotNull(), F.least(place, F.lit(bins))).cast("int").alias("bin"),
-                F.lit(lo).alias("start"),
-                F.lit(width).alias("width"),
+                F.lit(float(lo)).alias("start"),
+                F.lit(float(width)).alias("width"),
             )
         )
+    schema = "variable string, bin int, low double, high double, n long"
+    if not cells:
+        return df.sparkSession.createDataFrame([], schema)
     long = finite.select(F.explode(F.array(*cells)).alias("s")).select("s.*").where(F.col("bin").isNotNull())
     counted = long.groupBy("variable", "bin", "start", "width").agg(F.count("*").alias("n"))
     low = F.col("start") + F.col("width") * (F.col("bin") - 1)
@@ -284,10 +302,14 @@ def filled_histogram(bins: DataFrame, n_bins: int = HISTOGRAM_BINS) -> DataFrame
     return every.select("variable", "bin", n.cast("long").alias("n"))
 
 
-def uniform_p_value(df: DataFrame, col: str, bins: int = HISTOGRAM_BINS) -> float:
-    """p-value of the χ² test of a numeric column's histogram against equal counts."""
-    rows = filled_histogram(histogram(df, [col], bins), bins).collect()
-    return Statistics.chiSqTest(Vectors.dense([r.n for r in rows])).pValue
+def uniform_p_values(
+    df: DataFrame, cols: Sequence[str], bins: int = HISTOGRAM_BINS, ends: dict | None = None
+) -> dict[str, float]:
+    """p-values of the χ² test of each numeric column's histogram against equal counts."""
+    by_variable: dict[str, list[int]] = {}
+    for r in filled_histogram(histogram(df, cols, bins, ends), bins).collect():
+        by_variable.setdefault(r.variable, []).append(r.n)
+    return {v: Statistics.chiSqTest(Vectors.dense(ns)).pValue for v, ns in by_variable.items()}
 
 
 def category_p_values(counts: DataFrame, most: int = CARDINALITY_THRESHOLD) -> dict[str, float]:
@@ -376,19 +398,23 @@ def samples(df: DataFrame, order: Sequence[str], head: int = SAMPLE_ROWS, tail:
     return first.unionByName(last)
 
 
+def kept(table: DataFrame) -> DataFrame:
+    """A table of one row per column or pair of columns, computed once."""
+    return table.sparkSession.createDataFrame(table.collect(), table.schema)
+
+
 def variable_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per variable with every statistic the rules read."""
+    """One row per variable with every statistic the rules read, computed once."""
     cols = list(cols or df.columns)
     numeric = numeric_columns(df.select(*cols))
-    counts = count_stats(df, cols)
+    counts = kept(count_stats(df, cols))
     table = counts.join(infer_kind(df, cols, counts), "variable")
-    if not numeric:
-        return table
-    wide = quantiles(df, numeric).groupBy("variable").pivot("prob", QUANTILES).agg(F.first("value"))
-    wide = wide.select("variable", *[F.col(f"`{p}`").alias(f"q{round(p * 100):02d}") for p in QUANTILES])
-    for more in (numeric_stats(df, numeric), zero_stats(df, numeric), wide, deviation_stats(df, numeric)):
-        table = table.join(more, "variable", "left")
-    return table
+    if numeric:
+        scalars = per_variable(numeric_view(df, numeric), numeric, lambda c: _moments(c) + _zeros(c))
+        sizes = {r.variable: r.n - r.n_missing for r in counts.collect()}
+        deviations = deviation_stats(df, numeric, sizes=sizes)
+        table = table.join(scalars, "variable", "left").join(deviations, "variable", "left")
+    return kept(table)
 
 
 def messages(
@@ -445,12 +471,18 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> tuple[DataFrame
     """The whole report as three tables: variables, correlations, messages."""
     cols = list(cols or df.columns)
     picked = df.select(*cols)
-    numeric = numeric_columns(picked)
+    numeric, text = numeric_columns(picked), text_columns(picked)
     variables = variable_table(picked)
-    pairs = correlation_table(numeric_view(picked, numeric), numeric)
-    uniform = {c: uniform_p_value(picked, c) for c in numeric}
-    text = text_columns(picked)
+    pairs = kept(correlation_table(numeric_view(picked, numeric), numeric))
+    uniform: dict[str, float] = {}
+    if numeric:
+        found = variables.where((F.col("n_infinite") == 0) & F.col("min").isNotNull())
+        ends = {r.variable: (r.min, r.max) for r in found.select("variable", "min", "max").collect()}
+        finite = [c for c in numeric if c in ends]
+        uniform |= uniform_p_values(picked, finite, ends=ends) if finite else {}
+        other = [c for c in numeric if c not in ends]
+        uniform |= uniform_p_values(picked, other) if other else {}
     if text:
         uniform |= category_p_values(value_counts(picked, text))
     copies = duplicate_count(picked).first().n_duplicates or 0
-    return variables, pairs, messages(variables, pairs, uniform, copies)
+    return variables, pairs, kept(messages(variables, pairs, uniform, copies))

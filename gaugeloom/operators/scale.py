@@ -36,31 +36,55 @@ def train_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("part") == "train") if "part" in df.columns else df
 
 
-def fit_scaler(
-    df: DataFrame, cols: Sequence[str], method: str | None = "minmax", exact_rows: int = EXACT_ROWS
-) -> Scaler:
-    """Fit on the train rows with one aggregate. A scale of zero becomes 1."""
-    method = method or "none"
-    if method not in METHODS:
-        raise NotImplementedError(f"scaling method {method}")
-    if method == "none" or not cols:
-        return Scaler({}, {})
+def fit_scalers(
+    df: DataFrame, wanted: Sequence[tuple[Sequence[str], str | None]], exact_rows: int = EXACT_ROWS
+) -> list[Scaler]:
+    """Fit one scaler per (columns, method) on the train rows, all with one aggregate.
+
+    Robust scaling reads quantiles besides. A scale of zero becomes 1.
+    """
     rows = train_rows(df)
-    if method == "robust":
-        found = quantile_values(rows, {c: [0.25, 0.5, 0.75] for c in cols}, exact_rows)
-        center = {c: found[c, 0.5] for c in cols}
-        spread = {c: None if center[c] is None else found[c, 0.75] - found[c, 0.25] for c in cols}
-    else:
-        low, wide = (
-            (F.min, lambda c: F.max(c) - F.min(c)) if method == "minmax" else (F.avg, F.stddev_pop)
-        )
-        cells = [F.struct(low(c).cast("double").alias("at"), wide(c).cast("double").alias("by")).alias(c) for c in cols]
-        row = rows.agg(*cells).first()
-        center, spread = {c: row[c]["at"] for c in cols}, {c: row[c]["by"] for c in cols}
-    empty = [c for c in cols if center[c] is None]
+    methods = [method or "none" for _, method in wanted]
+    unknown = [m for m in methods if m not in METHODS]
+    if unknown:
+        raise NotImplementedError(f"scaling method {unknown[0]}")
+    cells, quantiled = {}, []
+    for i, ((cols, _), method) in enumerate(zip(wanted, methods)):
+        for c in cols:
+            x = F.col(c).cast("double")
+            if method == "minmax":
+                cells[i, c] = F.struct(F.min(x).alias("at"), (F.max(x) - F.min(x)).alias("by"))
+            elif method == "standard":
+                cells[i, c] = F.struct(F.avg(x).alias("at"), F.stddev_pop(x).alias("by"))
+            elif method == "robust":
+                quantiled.append((i, c))
+    found: dict[tuple[int, str], tuple] = {}
+    if cells:
+        row = rows.agg(*[cell.alias(f"s{j}") for j, cell in enumerate(cells.values())]).first()
+        found |= {key: (row[j]["at"], row[j]["by"]) for j, key in enumerate(cells)}
+    if quantiled:
+        q = quantile_values(rows, {c: [0.25, 0.5, 0.75] for _, c in quantiled}, exact_rows)
+        found |= {
+            (i, c): (None, None) if q[c, 0.5] is None else (q[c, 0.5], q[c, 0.75] - q[c, 0.25])
+            for i, c in quantiled
+        }
+    empty = sorted({c for (_, c), (at, _) in found.items() if at is None})
     if empty:
         raise ValueError(f"no train values to fit a scaler on: {empty}")
-    return Scaler(center, {c: spread[c] or 1.0 for c in cols})
+    return [
+        Scaler(
+            {c: at for (j, c), (at, _) in found.items() if j == i},
+            {c: by or 1.0 for (j, c), (_, by) in found.items() if j == i},
+        )
+        for i in range(len(wanted))
+    ]
+
+
+def fit_scaler(
+    df: DataFrame, cols: Sequence[str], method: str | None = "minmax", exact_rows: int = EXACT_ROWS
+) -> Scaler:
+    """Fit one scaler on the train rows; ``None`` or "none" is the identity."""
+    return fit_scalers(df, [(cols, method)], exact_rows)[0]
 
 
 def apply_scaler(df: DataFrame, scaler: Scaler) -> DataFrame:
@@ -91,6 +115,5 @@ def scale_in_out(
     output_method: str | None,
 ) -> tuple[DataFrame, Scaler, Scaler]:
     """Separate scalers for inputs and outputs, both fitted on train rows."""
-    input_scaler = fit_scaler(df, inputs, input_method)
-    output_scaler = fit_scaler(df, outputs, output_method)
+    input_scaler, output_scaler = fit_scalers(df, [(inputs, input_method), (outputs, output_method)])
     return apply_scaler(apply_scaler(df, input_scaler), output_scaler), input_scaler, output_scaler

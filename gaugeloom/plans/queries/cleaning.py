@@ -71,9 +71,9 @@ def remove_features(spark, folder):
     return clean.remove_features(made, ["k"]).select("event_id", "value", "k_share")
 
 
-@query("F9_select_by_target_corr", f"SELECT price, quantity, net FROM {LINES}")
+@query("F9_select_by_target_corr", f"SELECT price, net FROM {LINES}")
 def select_by_target_corr(spark, folder):
-    """Price follows from quantity and net; discount and tax are unrelated to it."""
+    """Only net goes with the price; quantity, discount and tax are drawn apart from it."""
     df = lines(spark, folder).select("price", "quantity", "net", "discount", "tax")
     return features.select_by_target_corr(df, "price", 0.1)
 
@@ -311,7 +311,8 @@ def truncated_share(spark, folder):
 
 @query(
     "X5_array_functions",
-    """SELECT vec_id, round(embedding[-1], 6) + 0.0 AS last, round(list_sum(embedding[1:3]), 6) + 0.0 AS first_three,
+    """SELECT vec_id, round(embedding[-1]::DOUBLE, 6) + 0.0 AS last,
+  round(embedding[1]::DOUBLE + embedding[2]::DOUBLE + embedding[3]::DOUBLE, 6) + 0.0 AS first_three,
   len(embedding) + 1 AS longer FROM embeddings""",
 )
 def array_functions(spark, folder):

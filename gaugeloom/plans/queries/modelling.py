@@ -128,8 +128,7 @@ def infer(spark, folder):
     df = _line_rows(spark, folder)
     params = registry.merge_params(SENSOR_PARAMS)
     made, _ = sensor.create_sensor(df, params, LINE_SERIES, LINE_ORDER)
-    _, tables = sensor.rejected_columns(df, params, [*LINE_SERIES, *LINE_ORDER])
-    assets = sensor.save_sensor(spark, made, tables)
+    assets = sensor.save_sensor(spark, made)
     path = new_table_path(spark, "registry")
     registry.register(registry.registry_row(spark, made.params, made.metrics, assets, 1), path)
     row = registry.require_assets(registry.get_sensor(registry.list_sensors(spark, path), 1)).first()

@@ -71,7 +71,8 @@ def numeric_stats(spark, folder):
     ),
 )
 def deviation_stats(spark, folder):
-    return rounded(profiling.deviation_stats(lines(spark, folder), LINE_NUMBERS), "iqr", "mad", places=4)
+    df = profiling.deviation_stats(lines(spark, folder), LINE_NUMBERS).select("variable", "iqr", "mad")
+    return rounded(df, "iqr", "mad", places=4)
 
 
 QUANTILE_SQL = " UNION ALL ".join(

@@ -376,15 +376,17 @@ def relevant(spark, folder):
 
 
 def _prefix_sql(frame):
-    return f"""SELECT l_suppkey, idx, count(*) OVER w AS rows, round(sum(price) OVER w, 2) AS sum, min(price) OVER w AS minimum,
-  max(price) OVER w AS maximum, round(avg(price) OVER w, 3) AS mean FROM {LINE_ROWS}
+    """Whole cents, so that sums are exact and means equal to the last digit."""
+    return f"""SELECT l_suppkey, idx, count(*) OVER w AS rows, sum(cents) OVER w AS sum, min(cents) OVER w AS minimum,
+  max(cents) OVER w AS maximum, sum(cents) OVER w / count(*) OVER w AS mean
+FROM (SELECT *, round(price * 100) AS cents FROM {LINE_ROWS})
 WINDOW w AS (PARTITION BY l_suppkey ORDER BY idx ROWS BETWEEN {frame} PRECEDING AND CURRENT ROW)"""
 
 
 def _prefix(spark, folder, window_rows):
-    df = features.prefix_windows(lines(spark, folder), "price", LINE_SERIES, LINE_ORDER, window_rows, block_rows=256)
-    df = df.select("l_suppkey", "idx", "rows", "sum", "minimum", "maximum", "mean")
-    return rounded(rounded(df, "sum", places=2), "mean", places=3)
+    df = lines(spark, folder).withColumn("cents", F.round(F.col("price") * 100))
+    df = features.prefix_windows(df, "cents", LINE_SERIES, LINE_ORDER, window_rows, block_rows=256)
+    return df.select("l_suppkey", "idx", "rows", "sum", "minimum", "maximum", "mean")
 
 
 @query("W18_prefix_windows", _prefix_sql("UNBOUNDED"))

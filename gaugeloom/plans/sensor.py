@@ -9,12 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.functions.columns import above
+from gaugeloom.functions.columns import above, argmax
 from gaugeloom.operators import clean, encode, evaluate, features, models, profiling, registry
 from gaugeloom.operators.scale import Scaler, apply_scaler, invert_scaler, scale_in_out
 from gaugeloom.operators.split import split_rows, split_series
 from gaugeloom.operators.windows import windows, x_windows
-from gaugeloom.session import new_table_path
+from gaugeloom.session import new_table_path, shared_dir
 from gaugeloom.sources.tables import write_profile
 
 
@@ -42,6 +42,7 @@ class Sensor:
     model: object
     classes: list
     metrics: dict
+    profile: tuple[DataFrame, DataFrame, DataFrame] | None = None
 
 
 def rejected_columns(df: DataFrame, params: dict, keep: Sequence[str]) -> tuple[list[str], tuple]:
@@ -63,7 +64,11 @@ def rejected_columns(df: DataFrame, params: dict, keep: Sequence[str]) -> tuple[
 def prepare(
     df: DataFrame, params: dict, series: Sequence[str], order: Sequence[str], by_series: bool = False
 ) -> Prepared:
-    """Profile, clean, featurize, split, scale and cut into windows."""
+    """Profile, clean, featurize, split, scale and cut into windows.
+
+    The split rows are written once: scalers, training and scoring all read them. A one-hot target
+    makes ``y`` the class code again once its columns went through the windows.
+    """
     settings = params["clean"]
     target, keys = settings["target"], list(dict.fromkeys([*series, *order]))
     gone, tables = rejected_columns(df, params, keys)
@@ -85,6 +90,8 @@ def prepare(
         )
     else:
         parted = split_rows(rows, settings["train_split"], settings["calibrate_split"], series, order)
+    shared_dir(df.sparkSession)
+    parted = parted.checkpoint()
     scaled, input_scaler, output_scaler = scale_in_out(
         parted,
         inputs,
@@ -104,6 +111,8 @@ def prepare(
         cut.get("overlap") or None,
         cut["future_predict"],
     )
+    if len(outputs) > 1:
+        samples = samples.withColumn("y", F.array(argmax(F.col("y")).cast("double")))
     return Prepared(samples, inputs, outputs, input_scaler, output_scaler, classes, tables)
 
 
@@ -133,26 +142,35 @@ def create_sensor(
     params = registry.merge_params(params)
     made = prepare(df, params, series, order, by_series)
     settings = params["train"]
-    model = models.train(
+    classification = params["clean"]["classification"]
+    n_outputs = 1 if classification else params["sequentialize"]["target_size"]
+    calibrated = params["split"]["calibrate_split"] > 0
+    if n_outputs > 1 and calibrated:
+        raise ValueError("calibration needs a target_size of 1")
+    model = models.train_outputs(
         made.samples,
         settings["learning_method"],
-        params["clean"]["classification"],
+        n_outputs,
+        classification=classification,
         n_epochs=settings["n_epochs"],
         early_stopping=settings["early_stopping"],
         series=series,
     )
-    table = evaluate_model(model, made.samples, params["split"]["calibrate_split"] > 0)
-    scores = evaluate.regression_metrics(table, "ground_truth", "predicted").first()
+    table = evaluate_model(model, made.samples, calibrated)
+    measure = evaluate.vector_metrics if n_outputs > 1 else evaluate.regression_metrics
+    scores = measure(table, "ground_truth", "predicted").first()
     metrics = {"mse": scores.mse, "r2": scores.r2}
-    if params["clean"]["classification"]:
+    if classification:
         metrics["accuracy"] = evaluate.classification_metrics(table, "ground_truth", "predicted").first().accuracy
-    sensor = Sensor(params, made.inputs, made.input_scaler, made.output_scaler, model, made.classes, metrics)
+    sensor = Sensor(
+        params, made.inputs, made.input_scaler, made.output_scaler, model, made.classes, metrics, made.profile
+    )
     return sensor, table
 
 
 def evaluate_model(model, samples: DataFrame, calibrated: bool = False, alpha: float = 0.05) -> DataFrame:
     """Truth and prediction of the test windows, in scaled units, with bounds if calibrated."""
-    truth = F.col("y")[0]
+    truth = F.col("y") if isinstance(model, models.MultiOutput) else F.col("y")[0]
     keys = [c for c in samples.columns if c not in ("X", "y")]
     scored = models.predict(model, samples.where(F.col("part") == "test"), "p").withColumn("t", truth)
     if not calibrated:
@@ -179,6 +197,10 @@ def infer(sensor: Sensor, df: DataFrame, series: Sequence[str], order: Sequence[
     scored = models.predict(sensor.model, samples)
     if not sensor.params["clean"]["classification"]:
         target = sensor.params["clean"]["target"]
+        if isinstance(sensor.model, models.MultiOutput):
+            scaler = sensor.output_scaler
+            center, scale = scaler.center.get(target, 0.0), scaler.scale.get(target, 1.0)
+            return scored.withColumn("predicted", F.transform("predicted", lambda p: p * scale + center)).drop("X")
         restored = invert_scaler(scored.withColumnRenamed("predicted", target), sensor.output_scaler)
         return restored.withColumnRenamed(target, "predicted").drop("X")
     if sensor.params["clean"]["onehot_encode_target"]:
@@ -187,17 +209,17 @@ def infer(sensor: Sensor, df: DataFrame, series: Sequence[str], order: Sequence[
     return scored.withColumn("predicted", code).drop("X")
 
 
-def save_sensor(spark: SparkSession, sensor: Sensor, tables: tuple, path: str | None = None) -> dict[str, str]:
-    """Write every asset of a sensor; returns their paths."""
+def save_sensor(spark: SparkSession, sensor: Sensor, path: str | None = None) -> dict[str, str]:
+    """Write every asset of a newly made sensor; returns their paths."""
     base = path or new_table_path(spark, "sensor")
     assets = {name: f"{base}/{name}" for name in registry.REQUIRED_ASSETS}
-    write_profile(*tables, assets["profile"])
+    write_profile(*sensor.profile, assets["profile"])
     names = [(i, c) for i, c in enumerate(sensor.inputs)]
     spark.createDataFrame(names, "pos int, name string").write.parquet(assets["features"])
     sensor.input_scaler.table(spark).write.parquet(assets["input_scaler"])
     sensor.output_scaler.table(spark).write.parquet(assets["output_scaler"])
     models.save_model(spark, sensor.model, assets["model"])
-    assets["kind"] = type(sensor.model).__name__
+    assets["kind"] = models.model_kind(sensor.model)
     assets["classes"] = json.dumps(sensor.classes)
     return assets
 
