@@ -67,6 +67,14 @@ def text_to_bool(text: Column) -> Column:
     )
 
 
+def choose(key: Column, choices: dict[str, Column]) -> Column:
+    """The expression that goes with the value of ``key``; null for other values."""
+    cases = F.when(F.lit(False), None)
+    for name, value in choices.items():
+        cases = cases.when(key == name, value)
+    return cases
+
+
 def share(part: Column, whole: Column) -> Column:
     """``part / whole`` as a double, null for an empty whole."""
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))

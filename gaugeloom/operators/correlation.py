@@ -3,31 +3,74 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.operators.ordered import MAX_SERIES_ROWS, positions, running_total
+from gaugeloom.session import staged
 
-PAIRS_PER_SCAN = 400
+# Below this share of the raw second moment a variance is rounding error of the sums.
+ROUNDING = 1e-11
 
 
-def _pearson(a: str, b: str) -> Column:
-    """Pairwise-complete correlation; null where a column is constant."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+def _moments(columns, shift):
+    """Per task: for each pair of columns the sums over rows where both are finite."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(columns), len(columns)))
+        for batch in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns])
+            there = np.isfinite(x)
+            x = np.where(there, x - shift, 0.0)
+            both = there.astype(float)
+            sums += [both.T @ both, x.T @ both, both.T @ x, (x * x).T @ both, both.T @ (x * x), x.T @ x]
+        i, j = np.triu_indices(len(columns), 1)
+        arrays = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(s[i, j]) for s in sums]]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", "j", "n", "x", "y", "xx", "yy", "xy"])
 
-def _mirrored(pairs: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Both directions of each pair plus the diagonal."""
+    return run
+
+
+def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete correlations ``a, b, r``, each pair once; null where a column is constant.
+
+    Each task reduces its rows to one row of sums per pair, by matrix products on Arrow batches, so
+    one scan serves any number of columns and only columns² rows per task are shuffled. Values are
+    taken relative to the column mean to keep the sums accurate.
+    """
+    view = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    finite = [F.when(F.abs(F.col(c)) < math.inf, F.col(c)) for c in cols]
+    means = view.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(finite)]).first()
+    shift = np.array([m or 0.0 for m in means])
+    schema = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+    parts = view.mapInArrow(_moments(list(cols), shift), schema)
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    names = F.array(*map(F.lit, cols))
+    floors = F.array(*[F.lit(float((1e-14 * m) ** 2)) for m in shift])
+
+    def variance(total, squares, i):
+        raw = F.col(squares) / F.col("n")
+        spread = raw - (F.col(total) / F.col("n")) * (F.col(total) / F.col("n"))
+        real = (spread > raw * ROUNDING) & (raw > F.get(floors, F.col(i)))
+        return F.when(real, spread)
+
+    sums = sums.withColumn("n", F.nullif(F.col("n"), F.lit(0.0)))
+    sums = sums.withColumns({"vx": variance("x", "xx", "i"), "vy": variance("y", "yy", "j")})
+    covariance = F.col("xy") / F.col("n") - (F.col("x") / F.col("n")) * (F.col("y") / F.col("n"))
+    r = covariance / F.sqrt(F.col("vx") * F.col("vy"))
+    return sums.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), r.alias("r"))
+
+
+def _mirrored(pairs: DataFrame) -> DataFrame:
+    """Both directions of each pair."""
     there = F.struct(F.col("a").alias("variable"), F.col("b").alias("other"), F.col("r"))
     back = F.struct(F.col("b").alias("variable"), F.col("a").alias("other"), F.col("r"))
-    both = pairs.select(F.explode(F.array(there, back)).alias("s")).select("s.*")
-    return both
+    return pairs.select(F.explode(F.array(there, back)).alias("s")).select("s.*")
 
 
 def correlations(
@@ -35,35 +78,22 @@ def correlations(
 ) -> DataFrame:
     """Table ``variable, other, r`` over all ordered pairs of different columns."""
     pairs = list(combinations(cols, 2))
-    schema = "a string, b string, r double"
     if not pairs:
         return df.sparkSession.createDataFrame([], "variable string, other string, r double")
     if method == "pearson":
-        tables = []
-        for start in range(0, len(pairs), PAIRS_PER_SCAN):
-            cells = [
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _pearson(a, b).alias("r"))
-                for a, b in pairs[start : start + PAIRS_PER_SCAN]
-            ]
-            tables.append(df.agg(F.array(*cells).alias("s")).select(F.inline("s")))
-        table = tables[0]
-        for more in tables[1:]:
-            table = table.unionByName(more)
-        return _mirrored(table, cols)
+        return _mirrored(pearson(df, cols))
     measures = {"spearman": spearman, "kendall": kendall, "cramers": cramers_v}
     if method not in measures:
         raise ValueError(f"unknown correlation {method}")
-    if method == "cramers":
-        rows = [(a, b, cramers_v(df, a, b)) for a, b in pairs]
-    else:
-        rows = [(a, b, measures[method](df, a, b, max_rows)) for a, b in pairs]
-    return _mirrored(df.sparkSession.createDataFrame(rows, schema), cols)
+    options = {} if method == "cramers" else {"max_rows": max_rows}
+    rows = [(a, b, measures[method](df, a, b, **options)) for a, b in pairs]
+    return _mirrored(df.sparkSession.createDataFrame(rows, "a string, b string, r double"))
 
 
 def _pair_counts(df, a, b):
     """Distinct value pairs with their counts: repeated pairs shrink before any shuffle."""
     x, y = F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
-    return df.select(x, y).dropna().groupBy("x", "y").agg(F.count("*").alias("w"))
+    return staged(df.select(x, y).dropna().groupBy("x", "y").agg(F.count("*").alias("w")), "pairs")
 
 
 def spearman(df: DataFrame, a: str, b: str, max_rows: int = MAX_SERIES_ROWS) -> float | None:
@@ -97,7 +127,8 @@ def kendall(df: DataFrame, a: str, b: str, max_rows: int = MAX_SERIES_ROWS) -> f
     w = F.col("w").cast("double")
     both = pairs.agg(F.sum(w * (w - 1) / 2)).first()[0]
     ranks = positions(pairs.select("y").distinct(), [], ["y"], max_rows)
-    digits = max(1, (ranks.count() - 1).bit_length())
+    sizes = pairs.agg(F.count("*").alias("pairs"), F.count_distinct("y").alias("ranks")).first()
+    digits = max(1, (sizes.ranks - 1).bit_length())
     ranked = pairs.join(ranks.select("y", F.col("idx").alias("rank")), "y")
     levels = F.explode(F.sequence(F.lit(0), F.lit(digits - 1)))
     spread = ranked.select("x", "y", "w", "rank", levels.alias("digit"))
@@ -110,7 +141,9 @@ def kendall(df: DataFrame, a: str, b: str, max_rows: int = MAX_SERIES_ROWS) -> f
         F.expr("(rank div cast(pow(2, digit) as bigint)) % 2").alias("bit"),
     )
     spread = spread.withColumn("ones", F.when(F.col("bit") == 1, F.col("w")).otherwise(0.0))
-    counted = running_total(spread, ["digit", "higher"], ["x", "y"], "ones", "before", "total", max_rows)
+    counted = running_total(
+        spread, ["digit", "higher"], ["x", "y"], "ones", "before", "total", max_rows, longest=sizes.pairs
+    )
     discordant = counted.agg(F.sum(F.when(F.col("bit") == 0, F.col("w") * F.col("before")))).first()[0] or 0.0
     whole = n * (n - 1) / 2
     concordant = whole - ties[0].t - ties[1].t + both - discordant

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeloom.operators.correlation import _pearson
+from gaugeloom.operators.correlation import correlations
 from gaugeloom.operators.ordered import BLOCK_ROWS, MAX_SERIES_ROWS, over_rows_back, positions
-from gaugeloom.operators.profiling import per_variable
 
 # Fixed value: how near the median counts as close, as a share of the value range.
 CLOSE_SHARE = 0.1
@@ -18,7 +17,7 @@ CLOSE_SHARE = 0.1
 def target_correlations(df: DataFrame, target: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Correlation of each input with the target: variable, r. One scan."""
     cols = [c for c in (cols or df.columns) if c != target]
-    return per_variable(df, cols, lambda c: [_pearson(c, target).alias("r")])
+    return correlations(df, [target, *cols]).where(F.col("other") == target).select("variable", "r")
 
 
 def select_by_target_corr(

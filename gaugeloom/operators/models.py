@@ -19,6 +19,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -85,17 +86,18 @@ def fit_discriminant(samples: DataFrame, quadratic: bool) -> Discriminant:
 
     Only moments reach the driver: features squared per class, whatever the rows.
     """
-    df = to_vectors(samples).select("features", "label")
-    counts = df.groupBy("label").count().orderBy("label").limit(MAX_CLASSES + 1).collect()
+    df = to_vectors(samples).select("features", "label").persist()
+    moments = df.groupBy("label").agg(F.count("*").alias("count"), Summarizer.mean(F.col("features")).alias("mean"))
+    counts = moments.orderBy("label").limit(MAX_CLASSES + 1).collect()
     if len(counts) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
     total = sum(r["count"] for r in counts)
-    means, covariances = [], []
+    means, covariances = [r["mean"].toArray() for r in counts], []
     for r in counts:
         rows = df.where(F.col("label") == r.label).select("features")
         matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "features"))
-        means.append(np.array(matrix.computeColumnSummaryStatistics().mean()))
         covariances.append(matrix.computeCovariance().toArray() if r["count"] > 1 else np.zeros((len(means[0]),) * 2))
+    df.unpersist()
     if not quadratic:
         weights = [r["count"] - 1 for r in counts]
         pooled = sum(w * c for w, c in zip(weights, covariances)) / max(total - len(counts), 1)

@@ -14,11 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gaugeloom.session import shared_dir
+from gaugeloom.functions.columns import choose
+from gaugeloom.session import staged
 
 MAX_SERIES_ROWS = 4_000_000
 BLOCK_ROWS = 1_000_000
-EXACT_ROWS = 1_000_000
+EXACT_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -35,13 +36,15 @@ def running_total(
     out: str = "idx",
     total: str = "n_rows",
     max_rows: int = MAX_SERIES_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Add ``out``, the sum of ``value`` over earlier rows of the series, and ``total``, over all.
 
     Without ``value`` every row weighs 1: ``out`` is the zero-based position, ``total`` the length.
-    ``order`` must be unique inside a series. Weights must not be null.
+    ``order`` must be unique inside a series. Weights must not be null. ``longest``, a bound on the
+    rows of a series that is known already, saves counting them.
     """
-    if longest_series(df, series) <= max_rows:
+    if (longest_series(df, series) if longest is None else longest) <= max_rows:
         return _total_by_window(df, series, order, value, out, total)
     return _total_by_range(df, series, order, value, out, total)
 
@@ -72,18 +75,16 @@ def _total_by_window(df, series, order, value, out, total):
 def _total_by_range(df, series, order, value, out, total):
     """Range pieces are balanced whatever the keys; only one row per (series, piece) is summed up.
 
-    The checkpoint pins the pieces, so that totals and rows see the same ones after a lost executor.
+    The written table pins the pieces: totals and rows see the same ones, also after a lost executor.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.repartitionByRange(tasks, *series, *order)
         .sortWithinPartitions(*series, *order)
         .withColumn("_piece", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id())
-        .checkpoint()
     )
+    ranged = staged(ranged, "ranged")
     size = F.count(F.lit(1)) if value is None else F.sum(value)
     by_series = Window.partitionBy(*[f"_s_{k}" for k in series])
     earlier = by_series.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -147,57 +148,68 @@ def order_statistics(
 ) -> dict[tuple[str, int], float]:
     """Exact values at zero-based ascending ranks of the non-null values of several columns.
 
-    A sketch brackets each rank, one scan counts the rows below the bracket, and only the values
-    inside it are grouped and summed up in order. A bracket that misses its rank is widened to all.
+    One sketch per column brackets its ranks. Values outside the brackets are only counted, values
+    inside are grouped, and running counts then place each rank. A rank its bracket misses is
+    looked for again without brackets.
     """
-    wanted = [(c, r) for c, rs in ranks.items() for r in sorted(set(rs))]
+    wanted = {c: sorted(set(rs)) for c, rs in ranks.items() if rs}
     if not wanted:
         return {}
     if sizes is None:
-        sizes = df.agg(*[F.count(c).alias(c) for c in ranks]).first().asDict()
-    bounds = []
-    for c, r in wanted:
-        middle, slack = (r + 1) / sizes[c], 2 / accuracy
-        ends = F.array(F.lit(max(0.0, middle - slack)), F.lit(min(1.0, middle + slack)))
-        bounds.append(F.percentile_approx(c, ends, accuracy))
-    row = df.agg(*[b.alias(f"b{i}") for i, b in enumerate(bounds)]).first()
-    brackets = {w: (float(row[i][0]), float(row[i][1])) for i, w in enumerate(wanted)}
-    found = _pick(df, brackets)
-    missed = [w for w in wanted if w not in found]
+        sizes = df.agg(*[F.count(c).alias(c) for c in wanted]).first().asDict()
+    shares = {}
+    for c, rs in wanted.items():
+        middles = [(r + 1) / sizes[c] for r in rs]
+        shares[c] = [min(1.0, max(0.0, m + d)) for m in middles for d in (-2 / accuracy, 2 / accuracy)]
+    sketches = [F.percentile_approx(c, F.array(*map(F.lit, ps)), accuracy).alias(c) for c, ps in shares.items()]
+    row = df.agg(*sketches).first()
+    brackets = {c: _merged(zip(row[c][::2], row[c][1::2])) for c in wanted}
+    found = _pick(df, wanted, brackets)
+    missed = {c: [r for r in rs if (c, r) not in found] for c, rs in wanted.items()}
+    missed = {c: rs for c, rs in missed.items() if rs}
     if missed:
-        found |= _pick(df, {w: (-math.inf, math.inf) for w in missed})
+        found |= _pick(df, missed, {c: [(-math.inf, math.inf)] for c in missed})
     return found
 
 
-def _pick(df, brackets):
-    shared_dir(df.sparkSession)
-    items = list(brackets.items())
-    below = df.agg(
-        *[F.count_if(F.col(c) < lo).alias(f"n{i}") for i, ((c, _), (lo, _)) in enumerate(items)]
-    ).first()
-    inside = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("bracket"),
-                F.when(F.col(c).between(lo, hi), F.col(c).cast("double")).alias("v"),
-            )
-            for i, ((c, _), (lo, hi)) in enumerate(items)
-        ]
-    )
-    kept = F.filter(inside, lambda s: s["v"].isNotNull())
+def _merged(intervals):
+    """Sorted intervals with those that touch put together."""
+    merged: list[tuple[float, float]] = []
+    for low, high in sorted((float(a), float(b)) for a, b in intervals):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _pick(df, wanted, brackets):
+    """Values go to numbered stretches: odd ones are brackets, even ones the gaps around them."""
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
+    long = doubles.unpivot([], [F.col(c) for c in wanted], "name", "value").where("value IS NOT NULL")
+    value = F.col("value")
+    passed = {
+        c: [test.cast("int") for low, high in brackets[c] for test in (value >= low, value > high)] for c in wanted
+    }
+    stretch = choose(F.col("name"), {c: reduce(Column.__add__, tests) for c, tests in passed.items()})
+    inside = F.when(F.col("stretch") % 2 == 1, value)
     counts = (
-        df.select(F.explode(kept).alias("s"))
-        .groupBy("s.bracket", "s.v")
+        long.withColumn("stretch", stretch)
+        .groupBy("name", "stretch", inside.alias("v"))
         .agg(F.count(F.lit(1)).alias("w"))
-        .checkpoint()
     )
-    totals = running_total(counts, ["bracket"], ["v"], "w", "before", "size")
-    rank = F.element_at(
-        F.array(*[F.lit(r - below[i]).cast("long") for i, ((_, r), _) in enumerate(items)]),
-        F.col("bracket") + 1,
-    )
-    hits = totals.where((F.col("before") <= rank) & (rank < F.col("before") + F.col("w")))
-    return {items[h["bracket"]][0]: h["v"] for h in hits.select("bracket", "v").collect()}
+    totals = running_total(staged(counts, "bracketed"), ["name"], ["stretch", "v"], "w", "before", "size")
+    after = F.col("before") + F.col("w")
+    tests = [
+        (F.col("name") == c) & (F.col("before") <= r) & (after > r) for c, rs in wanted.items() for r in rs
+    ]
+    hits = totals.where(F.col("v").isNotNull() & reduce(Column.__or__, tests))
+    return {
+        (h.name, r): h.v
+        for h in hits.select("name", "v", "before", after.alias("after")).collect()
+        for r in wanted[h.name]
+        if h.before <= r < h.after
+    }
 
 
 def quantile_values(

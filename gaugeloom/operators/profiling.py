@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.stat import Statistics
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeloom.functions.columns import share
+from gaugeloom.functions.columns import choose, share
 from gaugeloom.operators.correlation import correlations as correlation_table
 from gaugeloom.operators.ordered import EXACT_ROWS, quantile_values, top_k
 
@@ -36,6 +37,8 @@ TEXT_SAMPLES = 5
 SAMPLE_ROWS = 10
 DUPLICATE_ROWS = 10
 
+COLUMNS_PER_SCAN = 100
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -56,9 +59,12 @@ def numeric_view(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def per_variable(df: DataFrame, cols: Sequence[str], make: Callable[[str], list[Column]]) -> DataFrame:
-    """One aggregate over all columns, then one row per column."""
-    cells = [F.struct(F.lit(c).alias("variable"), *make(c)) for c in cols]
-    return df.agg(F.array(*cells).alias("s")).select(F.inline("s"))
+    """One aggregate over all columns, then one row per column; very wide frames take several."""
+    tables = []
+    for start in range(0, len(cols), COLUMNS_PER_SCAN):
+        cells = [F.struct(F.lit(c).alias("variable"), *make(c)) for c in cols[start : start + COLUMNS_PER_SCAN]]
+        tables.append(df.agg(F.array(*cells).alias("s")).select(F.inline("s")))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -76,7 +82,10 @@ def count_stats(df: DataFrame, cols: Sequence[str], approximate: bool = False) -
 
     ``approximate`` estimates distinct counts in the one scalar scan and leaves unique counts null.
     """
-    picked = _text_view(df, cols)
+    numeric = numeric_columns(df.select(*cols))
+    other = [c for c in cols if c not in numeric]
+    values = [as_value(c).alias(c) if c in numeric else F.col(c).cast("string").alias(c) for c in cols]
+    picked = df.select(*values)
 
     def scalars(c):
         cells = [F.count("*").alias("n"), F.count(c).alias("n_values")]
@@ -86,12 +95,14 @@ def count_stats(df: DataFrame, cols: Sequence[str], approximate: bool = False) -
 
     base = per_variable(picked, cols, scalars)
     if not approximate:
-        groups = (
-            value_counts(picked, cols)
-            .groupBy("variable")
+        groups = [
+            value_counts(picked, same)
+            .groupBy(F.col("variable").alias("_v"))
             .agg(F.count("*").alias("n_distinct"), F.count_if(F.col("n") == 1).alias("n_unique"))
-        )
-        base = base.join(groups.withColumnRenamed("variable", "_v"), F.col("variable") == F.col("_v"), "left")
+            for same in (numeric, other)
+            if same
+        ]
+        base = base.join(reduce(DataFrame.unionByName, groups), F.col("variable") == F.col("_v"), "left")
         base = base.fillna(0, ["n_distinct", "n_unique"]).drop("_v")
     return base.select(
         "variable",
@@ -105,14 +116,6 @@ def count_stats(df: DataFrame, cols: Sequence[str], approximate: bool = False) -
     )
 
 
-def _text_view(df, cols):
-    """Every column as text, equal numbers giving equal texts and NaN null."""
-    numeric = set(numeric_columns(df.select(*cols)))
-    return df.select(
-        *[((as_value(c) + 0.0).cast("string") if c in numeric else F.col(c).cast("string")).alias(c) for c in cols]
-    )
-
-
 def _moments(c: str) -> list[Column]:
     n = F.count(c).cast("double")
     skewness = F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2)
@@ -144,14 +147,24 @@ def _zeros(c: str) -> list[Column]:
     return cells
 
 
+def per_number(df: DataFrame, cols: Sequence[str], make: Callable[[str], list[Column]]) -> DataFrame:
+    """Statistics of numeric columns, one row per column.
+
+    Columns become rows before they are aggregated: one small set of aggregates, combined map-side,
+    serves any number of columns.
+    """
+    long = numeric_view(df, cols).unpivot([], [F.col(c) for c in cols], "variable", "value")
+    return long.groupBy("variable").agg(*make("value"))
+
+
 def numeric_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Moments and range. Skewness and kurtosis are adjusted for the sample size."""
-    return per_variable(numeric_view(df, cols), cols, _moments)
+    return per_number(df, cols, _moments)
 
 
 def zero_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Zeros, negatives and infinities; shares are of all rows, missing ones too."""
-    return per_variable(numeric_view(df, cols), cols, _zeros)
+    return per_number(df, cols, _zeros)
 
 
 def quantiles(
@@ -231,28 +244,21 @@ def histogram(
     if ends is None:
         row = finite.agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in cols]).first()
         ends = {c: tuple(row[c]) for c in cols}
-    cells = []
-    for c in cols:
-        lo, hi = ends[c]
-        if lo is None:
-            continue
-        width = (hi - lo) / bins
-        place = F.floor((F.col(c) - lo) / width) + 1 if width else F.lit(1).cast("long")
-        cells.append(
-            F.struct(
-                F.lit(c).alias("variable"),
-                F.when(F.col(c).isNotNull(), F.least(place, F.lit(bins))).cast("int").alias("bin"),
-                F.lit(float(lo)).alias("start"),
-                F.lit(float(width)).alias("width"),
-            )
-        )
-    schema = "variable string, bin int, low double, high double, n long"
-    if not cells:
+    filled = [c for c in cols if ends[c][0] is not None]
+    if not filled:
+        schema = "variable string, bin int, low double, high double, n long"
         return df.sparkSession.createDataFrame([], schema)
-    long = finite.select(F.explode(F.array(*cells)).alias("s")).select("s.*").where(F.col("bin").isNotNull())
-    counted = long.groupBy("variable", "bin", "start", "width").agg(F.count("*").alias("n"))
+    value = F.col("value")
+    start = choose(F.col("variable"), {c: F.lit(float(ends[c][0])) for c in filled})
+    width = choose(F.col("variable"), {c: F.lit((ends[c][1] - ends[c][0]) / bins) for c in filled})
+    long = finite.unpivot([], [F.col(c) for c in filled], "variable", "value").where(value.isNotNull())
+    long = long.withColumns({"start": start, "width": width})
+    place = F.coalesce(F.floor((value - F.col("start")) / F.nullif(F.col("width"), F.lit(0.0))) + 1, F.lit(1))
+    counted = long.groupBy("variable", F.least(place, F.lit(bins)).cast("int").alias("bin"), "start", "width")
     low = F.col("start") + F.col("width") * (F.col("bin") - 1)
-    return counted.select("variable", "bin", low.alias("low"), (low + F.col("width")).alias("high"), "n")
+    return counted.agg(F.count("*").alias("n")).select(
+        "variable", "bin", low.alias("low"), (low + F.col("width")).alias("high"), "n"
+    )
 
 
 def frequencies(counts: DataFrame, k: int = TOP_VALUES) -> DataFrame:
@@ -400,7 +406,7 @@ def samples(df: DataFrame, order: Sequence[str], head: int = SAMPLE_ROWS, tail:
 
 def kept(table: DataFrame) -> DataFrame:
     """A table of one row per column or pair of columns, computed once."""
-    return table.sparkSession.createDataFrame(table.collect(), table.schema)
+    return table.sparkSession.createDataFrame(table.toArrow())
 
 
 def variable_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -410,7 +416,7 @@ def variable_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     counts = kept(count_stats(df, cols))
     table = counts.join(infer_kind(df, cols, counts), "variable")
     if numeric:
-        scalars = per_variable(numeric_view(df, numeric), numeric, lambda c: _moments(c) + _zeros(c))
+        scalars = per_number(df, numeric, lambda c: _moments(c) + _zeros(c))
         sizes = {r.variable: r.n - r.n_missing for r in counts.collect()}
         deviations = deviation_stats(df, numeric, sizes=sizes)
         table = table.join(scalars, "variable", "left").join(deviations, "variable", "left")

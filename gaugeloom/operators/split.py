@@ -76,7 +76,28 @@ def validation_tail(
     order: Sequence[str] = (),
     max_rows: int = MAX_SERIES_ROWS,
 ) -> DataFrame:
-    """Add ``validation``: true for the last ``share`` of all samples, series after series."""
-    placed = running_total(df, [], [*series, *order], out="_place", total="_size", max_rows=max_rows)
-    kept = truncated_share(F.col("_size"), 1 - share)
-    return placed.withColumn("validation", F.col("_place") >= kept).drop("_place", "_size")
+    """Add ``validation``: true for the last ``share`` of all samples, series after series.
+
+    Only the key of the first held-out sample is looked up, first its series among the series
+    lengths, then its place in that series. Samples are compared with it where they are.
+    """
+    lengths = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
+    lengths = running_total(lengths, [], series, "_n", "_before", "_all", max_rows) if series else lengths
+    if not series:
+        lengths = lengths.withColumns({"_before": F.lit(0), "_all": F.col("_n")})
+    first = truncated_share(F.col("_all"), 1 - share)
+    inside = (F.col("_before") <= first) & (first < F.col("_before") + F.col("_n"))
+    named = [F.col(c).cast("string").alias(c) for c in series]
+    home = lengths.where(inside).select(*named, (first - F.col("_before")).alias("_rank")).first()
+    if home is None:
+        return df.withColumn("validation", F.lit(False))
+    key = {c: F.lit(home[c]).cast(df.schema[c].dataType) for c in series}
+    members = df.select(*dict.fromkeys([*series, *order]))
+    for c in series:
+        members = members.where(F.col(c) == key[c])
+    placed = running_total(members, [], order, out="_place", total="_size", max_rows=max_rows)
+    named = [F.col(c).cast("string").alias(c) for c in order]
+    border = placed.where(F.col("_place") == home["_rank"]).select(*named).first()
+    key |= {c: F.lit(border[c]).cast(df.schema[c].dataType) for c in order}
+    here, there = (F.struct(*[f(c).alias(c) for c in [*series, *order]]) for f in (F.col, key.__getitem__))
+    return df.withColumn("validation", here >= there)

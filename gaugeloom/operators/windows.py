@@ -44,7 +44,10 @@ def windows(
         raise ValueError("target_size is larger than window_size")
     if overlap is not None and not 0 <= overlap < window_size:
         raise ValueError("overlap must be at least 0 and below window_size")
-    rows = positions(df, series, order, max_rows)
+    known = [c for c in ("part", "part_idx", "idx", "n_rows") if c in df.columns]
+    placing = [] if "idx" in known else order
+    rows = df.select(*dict.fromkeys([*series, *placing, *known, *inputs, *targets]))
+    rows = positions(rows, series, order, max_rows)
     shift = target_size if future else 0
     reach = window_size - 1 + shift
     keys = [*series, *(["part"] if "part" in rows.columns else [])]

@@ -23,6 +23,7 @@ from gaugeloom.plans.queries.catalog import (
     r6,
     rounded,
 )
+from gaugeloom.session import staged
 
 LINE_ROWS = f"""(SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY {LINE_SQL_ORDER}) - 1 AS idx,
   count(*) OVER (PARTITION BY l_suppkey) AS n_rows FROM {LINES})"""
@@ -35,7 +36,7 @@ def parts(spark, folder, train=0.7, calibrate=0.0):
 
 def flagship(spark, folder):
     """Split each user's events, scale the input by the train part, cut windows of five rows."""
-    rows = parts(spark, folder)
+    rows = staged(parts(spark, folder).select("user_id", "part", "part_idx", "idx", "n_rows", "k", "value"), "split")
     scaled = apply_scaler(rows, fit_scaler(rows, ["k"], "minmax"))
     made = win.windows(scaled, ["k"], "value", 5, 1, EVENT_SERIES, EVENT_ORDER)
     x = [r6(F.col("X")[i][0]).alias(f"x{i}") for i in range(5)]

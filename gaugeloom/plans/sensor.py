@@ -14,7 +14,7 @@ from gaugeloom.operators import clean, encode, evaluate, features, models, profi
 from gaugeloom.operators.scale import Scaler, apply_scaler, invert_scaler, scale_in_out
 from gaugeloom.operators.split import split_rows, split_series
 from gaugeloom.operators.windows import windows, x_windows
-from gaugeloom.session import new_table_path, shared_dir
+from gaugeloom.session import new_table_path, staged
 from gaugeloom.sources.tables import write_profile
 
 
@@ -90,8 +90,7 @@ def prepare(
         )
     else:
         parted = split_rows(rows, settings["train_split"], settings["calibrate_split"], series, order)
-    shared_dir(df.sparkSession)
-    parted = parted.checkpoint()
+    parted = staged(parted, "split")
     scaled, input_scaler, output_scaler = scale_in_out(
         parted,
         inputs,

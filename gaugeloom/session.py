@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "gaugeloom") -> SparkSession:
@@ -41,6 +41,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    Cuts the lineage like a checkpoint, and later scans read only the columns they need.
+    """
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one stage table inside the shared folder."""
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
