@@ -171,11 +171,15 @@ def evaluate_model(model, samples: DataFrame, calibrated: bool = False, alpha: f
     """Truth and prediction of the test windows, in scaled units, with bounds if calibrated."""
     truth = F.col("y") if isinstance(model, models.MultiOutput) else F.col("y")[0]
     keys = [c for c in samples.columns if c not in ("X", "y")]
-    scored = models.predict(model, samples.where(F.col("part") == "test"), "p").withColumn("t", truth)
+
+    def scored(part):
+        return models.predict(model, samples.where(F.col("part") == part), "_guess").withColumn("_truth", truth)
+
+    test = scored("test")
     if not calibrated:
-        return scored.select(*keys, F.col("t").alias("ground_truth"), F.col("p").alias("predicted"))
-    calibration = models.predict(model, samples.where(F.col("part") == "calibrate"), "p").withColumn("t", truth)
-    return evaluate.predictions(evaluate.conformal(calibration, scored, alpha, "t", "p"), "t", keys)
+        return test.select(*keys, F.col("_truth").alias("ground_truth"), F.col("_guess").alias("predicted"))
+    bounded = evaluate.conformal(scored("calibrate"), test, alpha, "_truth", "_guess")
+    return evaluate.predictions(bounded, "_truth", keys)
 
 
 def infer(sensor: Sensor, df: DataFrame, series: Sequence[str], order: Sequence[str]) -> DataFrame:
