@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions.columns import midpoint as middle
 from gaugeloom.operators.ordered import MAX_SERIES_ROWS, every_kth, order_statistics, running_total
+from gaugeloom.session import staged
 
 
 def _scores(y: Column, p: Column) -> list[Column]:
@@ -44,8 +45,12 @@ def classification_metrics(df: DataFrame, y: str = "y", p: str = "p", by: Sequen
 def conformal_border(
     calibration: DataFrame, alpha: float = 0.05, y: str = "y", p: str = "p", error: Column | None = None
 ) -> float:
-    """The k-th largest calibration error, ``k = floor(alpha * (n + 1))`` kept within 1..n."""
-    residuals = calibration.select((F.abs(F.col(y) - F.col(p)) if error is None else error).alias("e"))
+    """The k-th largest calibration error, ``k = floor(alpha * (n + 1))`` kept within 1..n.
+
+    The errors are written once, so that a model behind them scores the calibration part once.
+    """
+    residual = F.abs(F.col(y) - F.col(p)) if error is None else error
+    residuals = staged(calibration.select(residual.cast("double").alias("e")), "residuals")
     n = residuals.agg(F.count("e")).first()[0]
     if not n:
         raise ValueError("no calibration rows")

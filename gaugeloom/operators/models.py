@@ -141,14 +141,16 @@ def train(
     n_epochs: int | None = None,
     early_stopping: bool = False,
     series: Sequence[str] = (),
+    order: Sequence[str] = ("idx",),
     **params,
 ) -> Transformer | Discriminant:
     """Fit one output of the train windows.
 
     ``dt``, ``rf`` and ``xgboost`` are tree models, ``dnn`` a multilayer perceptron for classes and,
     as its stand-in for values, a linear model. ``svm``, ``lda`` and ``qda`` need classes, given as
-    codes from 0. ``n_epochs`` is the number of rounds or iterations; early stopping of ``xgboost``
-    watches the last quarter of the samples and never stops within the first ten rounds allowed.
+    codes from 0. ``n_epochs`` is the number of rounds or iterations; with early stopping
+    ``xgboost`` is allowed at least ten rounds and watches the last quarter of the samples.
+    The estimators keep their own packed copy of the data, so the windows stay lazy here.
     """
     known = REGRESSORS + CLASSIFIERS_ONLY
     if learning_method not in known:
@@ -161,17 +163,15 @@ def train(
         return fit_discriminant(samples, learning_method == "qda")
     stops = early_stopping and learning_method == "xgboost"
     if stops:
-        samples = validation_tail(samples, VALIDATION_SHARE, series, ["idx"])
+        samples = validation_tail(samples, VALIDATION_SHARE, series, order)
     if n_epochs and learning_method not in ("dt", "rf"):
         params["maxIter"] = max(n_epochs, FIRST_EPOCHS) if stops else n_epochs
     data = to_vectors(samples, output)
     kept = ["features", "label", *(["validation"] if stops else [])]
-    data = data.select(*kept).persist()
+    data = data.select(*kept)
     n_classes = int(data.agg(F.max("label")).first()[0]) + 1 if classification else 0
     n_inputs = data.first().features.size if learning_method == "dnn" and classification else 0
-    fitted = _estimator(learning_method, classification, n_classes, n_inputs, dict(params), stops).fit(data)
-    data.unpersist()
-    return fitted
+    return _estimator(learning_method, classification, n_classes, n_inputs, dict(params), stops).fit(data)
 
 
 @dataclass(frozen=True)

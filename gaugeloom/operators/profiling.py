@@ -409,11 +409,14 @@ def kept(table: DataFrame) -> DataFrame:
     return table.sparkSession.createDataFrame(table.toArrow())
 
 
-def variable_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per variable with every statistic the rules read, computed once."""
+def variable_table(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
+    """One row per variable with every statistic the rules read, computed once.
+
+    ``approximate`` estimates distinct counts instead of shuffling all values.
+    """
     cols = list(cols or df.columns)
     numeric = numeric_columns(df.select(*cols))
-    counts = kept(count_stats(df, cols))
+    counts = kept(count_stats(df, cols, approximate))
     table = counts.join(infer_kind(df, cols, counts), "variable")
     if numeric:
         scalars = per_number(df, numeric, lambda c: _moments(c) + _zeros(c))
@@ -473,13 +476,18 @@ def rejected(found: DataFrame) -> DataFrame:
     return found.where(F.col("kind").isin(kinds)).select("variable").distinct()
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def profile(
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    correlation_metric: str = "pearson",
+    approximate: bool = False,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The whole report as three tables: variables, correlations, messages."""
     cols = list(cols or df.columns)
     picked = df.select(*cols)
     numeric, text = numeric_columns(picked), text_columns(picked)
-    variables = variable_table(picked)
-    pairs = kept(correlation_table(numeric_view(picked, numeric), numeric))
+    variables = variable_table(picked, approximate=approximate)
+    pairs = kept(correlation_table(numeric_view(picked, numeric), numeric, correlation_metric))
     uniform: dict[str, float] = {}
     if numeric:
         found = variables.where((F.col("n_infinite") == 0) & F.col("min").isNotNull())

@@ -13,7 +13,7 @@ from gaugeloom.functions.columns import above, argmax
 from gaugeloom.operators import clean, encode, evaluate, features, models, profiling, registry
 from gaugeloom.operators.scale import Scaler, apply_scaler, invert_scaler, scale_in_out
 from gaugeloom.operators.split import split_rows, split_series
-from gaugeloom.operators.windows import windows, x_windows
+from gaugeloom.operators.windows import shuffle_samples, windows, x_windows
 from gaugeloom.session import new_table_path, staged
 from gaugeloom.sources.tables import write_profile
 
@@ -48,8 +48,8 @@ class Sensor:
 def rejected_columns(df: DataFrame, params: dict, keep: Sequence[str]) -> tuple[list[str], tuple]:
     """Columns the profile rules reject, and the profile they were read from."""
     cols = [c for c in df.columns if c not in keep]
-    tables = profiling.profile(df, cols)
     settings = params["clean"]
+    tables = profiling.profile(df, cols, settings["correlation_metric"])
     gone = clean.removable_columns(
         tables[0],
         tables[1],
@@ -67,9 +67,12 @@ def prepare(
     """Profile, clean, featurize, split, scale and cut into windows.
 
     The split rows are written once: scalers, training and scoring all read them. A one-hot target
-    makes ``y`` the class code again once its columns went through the windows.
+    makes ``y`` the class code again once its columns went through the windows. ``combine_files``
+    makes one series of all of them, in their order.
     """
     settings = params["clean"]
+    if settings["combine_files"]:
+        series, order = [], [*series, *order]
     target, keys = settings["target"], list(dict.fromkeys([*series, *order]))
     gone, tables = rejected_columns(df, params, keys)
     rows = clean.drop_null_rows(clean.drop_columns(df, [c for c in gone if c not in keys]))
@@ -112,6 +115,8 @@ def prepare(
     )
     if len(outputs) > 1:
         samples = samples.withColumn("y", F.array(argmax(F.col("y")).cast("double")))
+    if cut["shuffle_samples"]:
+        samples = shuffle_samples(samples, models.SEED, series)
     return Prepared(samples, inputs, outputs, input_scaler, output_scaler, classes, tables)
 
 
@@ -153,9 +158,10 @@ def create_sensor(
         classification=classification,
         n_epochs=settings["n_epochs"],
         early_stopping=settings["early_stopping"],
-        series=series,
+        series=[] if params["clean"]["combine_files"] else series,
+        order=["sample" if params["sequentialize"]["shuffle_samples"] else "idx"],
     )
-    table = evaluate_model(model, made.samples, calibrated)
+    table = staged(evaluate_model(model, made.samples, calibrated), "predictions")
     measure = evaluate.vector_metrics if n_outputs > 1 else evaluate.regression_metrics
     scores = measure(table, "ground_truth", "predicted").first()
     metrics = {"mse": scores.mse, "r2": scores.r2}
@@ -184,6 +190,8 @@ def evaluate_model(model, samples: DataFrame, calibrated: bool = False, alpha: f
 
 def infer(sensor: Sensor, df: DataFrame, series: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Predictions for new rows: check inputs, clean, scale, cut into windows, predict, decode."""
+    if sensor.params["clean"]["combine_files"]:
+        series, order = [], [*series, *order]
     keys = list(dict.fromkeys([*series, *order]))
     raw = df
     if sensor.params["featurize"]["add_rolling_features"]:

@@ -128,3 +128,16 @@ def test_boosting_stops_early(spark):
     }
     made, _ = plans.create_sensor(df, params, ["s"], ["t"])
     assert made.model.getNumTrees <= 12
+
+
+def test_combined_and_shuffled(spark):
+    params = {
+        "clean": {"target": "position", "combine_files": True, "correlation_metric": "spearman"},
+        "featurize": {"features": ["command", "vibration"], "target_min_correlation_threshold": 0.5},
+        "sequentialize": {"window_size": 3, "shuffle_samples": True},
+        "train": {"learning_method": "xgboost", "n_epochs": 10},
+    }
+    df = milling(spark).select("s", "t", "command", "vibration", "position")
+    made, scores = plans.create_sensor(df, params, ["s"], ["t"])
+    assert made.inputs == ["command"] and "s" not in scores.columns
+    assert scores.count() == 300 - 2 and made.metrics["r2"] > 0.8
