@@ -22,6 +22,8 @@ from gaugeloom.plans.queries.catalog import (
     rounded,
     table,
 )
+from gaugeloom.session import new_table_path
+from gaugeloom.sources.tables import read_report
 
 LINE_COLUMNS = [*LINE_NUMBERS, "fixed"]
 
@@ -195,6 +197,21 @@ def parse_messages(spark, folder):
     return clean.parse_messages(texts).groupBy("kind", "variable").agg(F.count("*").alias("n"))
 
 
+@query(
+    "C8_report_alerts",
+    "SELECT '[ZEROS]' || ' ' || variable AS message FROM ("
+    + per_column(LINE_NUMBERS, "avg(CASE WHEN {c} = 0 THEN 1.0 ELSE 0.0 END) AS p_zeros", LINES)
+    + ") WHERE p_zeros > 0.01",
+)
+def report_alerts(spark, folder):
+    """Warnings of the data as a report document under the newer name of the list."""
+    found = clean.zero_columns(profiling.zero_stats(lines(spark, folder), LINE_NUMBERS), 0.01)
+    texts = found.agg(F.collect_list(F.concat(F.lit("[ZEROS] "), "variable")).alias("alerts"))
+    path = new_table_path(spark, "report")
+    texts.write.json(path)
+    return read_report(spark, path)
+
+
 @query("E1_label_encode_text", f"SELECT event_id, dense_rank() OVER (ORDER BY event_type) - 1 AS event_type FROM {EVENTS}")
 def label_encode(spark, folder):
     return encode.label_encode(events(spark, folder), "event_type").select("event_id", "event_type")
