@@ -141,8 +141,9 @@ def kendall(df: DataFrame, a: str, b: str, max_rows: int = MAX_SERIES_ROWS) -> f
         F.expr("(rank div cast(pow(2, digit) as bigint)) % 2").alias("bit"),
     )
     spread = spread.withColumn("ones", F.when(F.col("bit") == 1, F.col("w")).otherwise(0.0))
+    bounds = (sizes.pairs, sizes.pairs * digits)
     counted = running_total(
-        spread, ["digit", "higher"], ["x", "y"], "ones", "before", "total", max_rows, longest=sizes.pairs
+        spread, ["digit", "higher"], ["x", "y"], "ones", "before", "total", max_rows, bounds
     )
     discordant = counted.agg(F.sum(F.when(F.col("bit") == 0, F.col("w") * F.col("before")))).first()[0] or 0.0
     whole = n * (n - 1) / 2

@@ -18,14 +18,16 @@ from gaugeloom.functions.columns import choose
 from gaugeloom.session import staged
 
 MAX_SERIES_ROWS = 4_000_000
+PIECE_ROWS = 20_000_000
 BLOCK_ROWS = 1_000_000
 EXACT_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 
-def longest_series(df: DataFrame, series: Sequence[str]) -> int:
-    """Rows of the longest series: one column scan, combined before the shuffle."""
-    return df.groupBy(*series).count().agg(F.max("count")).first()[0] or 0
+def series_sizes(df: DataFrame, series: Sequence[str]) -> tuple[int, int]:
+    """Rows of the longest series and of all: one column scan, combined before the shuffle."""
+    row = df.groupBy(*series).count().agg(F.max("count"), F.sum("count")).first()
+    return row[0] or 0, row[1] or 0
 
 
 def running_total(
@@ -36,17 +38,18 @@ def running_total(
     out: str = "idx",
     total: str = "n_rows",
     max_rows: int = MAX_SERIES_ROWS,
-    longest: int | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add ``out``, the sum of ``value`` over earlier rows of the series, and ``total``, over all.
 
     Without ``value`` every row weighs 1: ``out`` is the zero-based position, ``total`` the length.
-    ``order`` must be unique inside a series. Weights must not be null. ``longest``, a bound on the
-    rows of a series that is known already, saves counting them.
+    ``order`` must be unique inside a series. Weights must not be null. ``sizes``, bounds on the
+    rows of the longest series and of all that are known already, save counting them.
     """
-    if (longest_series(df, series) if longest is None else longest) <= max_rows:
+    longest, rows = sizes or series_sizes(df, series)
+    if longest <= max_rows:
         return _total_by_window(df, series, order, value, out, total)
-    return _total_by_range(df, series, order, value, out, total)
+    return _total_by_range(df, series, order, value, out, total, rows)
 
 
 def positions(
@@ -72,12 +75,12 @@ def _total_by_window(df, series, order, value, out, total):
     return df.withColumn(out, before).withColumn(total, size)
 
 
-def _total_by_range(df, series, order, value, out, total):
+def _total_by_range(df, series, order, value, out, total, rows):
     """Range pieces are balanced whatever the keys; only one row per (series, piece) is summed up.
 
     The written table pins the pieces: totals and rows see the same ones, also after a lost executor.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / PIECE_ROWS))
     ranged = (
         df.repartitionByRange(tasks, *series, *order)
         .sortWithinPartitions(*series, *order)

@@ -23,6 +23,7 @@ class Prepared:
     """Windows of all parts with what was fitted on the way."""
 
     samples: DataFrame
+    base: list[str]
     inputs: list[str]
     outputs: list[str]
     input_scaler: Scaler
@@ -33,9 +34,10 @@ class Prepared:
 
 @dataclass(frozen=True)
 class Sensor:
-    """A fitted sensor: parameters, inputs, scalers, model and class names."""
+    """A fitted sensor: parameters, columns it reads, inputs made of them, scalers, model, class names."""
 
     params: dict
+    base: list[str]
     inputs: list[str]
     input_scaler: Scaler
     output_scaler: Scaler
@@ -85,7 +87,7 @@ def prepare(
             rows, outputs = encode.onehot_encode(rows, target)
         else:
             rows = encode.apply_label_encoder(rows, codes, target)
-    rows, inputs = _featurize(rows, params, keys, outputs, series, order)
+    rows, base, inputs = _featurize(rows, params, keys, outputs, series, order)
     settings = params["split"]
     if by_series:
         parted = split_series(
@@ -117,26 +119,32 @@ def prepare(
         samples = samples.withColumn("y", F.array(argmax(F.col("y")).cast("double")))
     if cut["shuffle_samples"]:
         samples = shuffle_samples(samples, models.SEED, series)
-    return Prepared(samples, inputs, outputs, input_scaler, output_scaler, classes, tables)
+    return Prepared(samples, base, inputs, outputs, input_scaler, output_scaler, classes, tables)
 
 
 def _featurize(rows, params, keys, outputs, series, order):
-    """Choose and make the inputs; returns the frame and the input names."""
+    """Choose and make the inputs; returns the frame, the columns read and the input names."""
     settings = params["featurize"]
     numeric = clean.select_numeric(rows).columns
     wanted = settings["features"] or [c for c in rows.columns if c not in keys]
-    inputs = [c for c in wanted if c in numeric and c not in outputs]
-    if settings["add_rolling_features"]:
-        before = set(rows.columns)
-        rows = features.add_rolling_features(rows, inputs, settings["rolling_window_size"], series, order)
-        inputs += [c for c in rows.columns if c not in before and c not in ("idx", "n_rows")]
+    base = [c for c in wanted if c in numeric and c not in outputs]
+    rows, inputs = _with_rolling(rows, base, settings, series, order)
     inputs = [c for c in inputs if c not in settings["remove_features"]]
     minimum = settings["target_min_correlation_threshold"]
     if minimum > 0:
         kept = features.select_by_target_corr(rows.select(*inputs, outputs[0]), outputs[0], minimum)
         inputs = [c for c in inputs if c in kept.columns]
     extra = [c for c in ("idx", "n_rows") if c in rows.columns]
-    return rows.select(*dict.fromkeys([*keys, *outputs, *inputs, *extra])), inputs
+    return rows.select(*dict.fromkeys([*keys, *outputs, *inputs, *extra])), base, inputs
+
+
+def _with_rolling(rows, base, settings, series, order):
+    """The frame with rolling features of the columns if asked for, and all input names."""
+    if not settings["add_rolling_features"]:
+        return rows, list(base)
+    before = set(rows.columns)
+    rows = features.add_rolling_features(rows, base, settings["rolling_window_size"], series, order)
+    return rows, [*base, *[c for c in rows.columns if c not in before and c not in ("idx", "n_rows")]]
 
 
 def create_sensor(
@@ -167,9 +175,8 @@ def create_sensor(
     metrics = {"mse": scores.mse, "r2": scores.r2}
     if classification:
         metrics["accuracy"] = evaluate.classification_metrics(table, "ground_truth", "predicted").first().accuracy
-    sensor = Sensor(
-        params, made.inputs, made.input_scaler, made.output_scaler, model, made.classes, metrics, made.profile
-    )
+    scalers = made.input_scaler, made.output_scaler
+    sensor = Sensor(params, made.base, made.inputs, *scalers, model, made.classes, metrics, made.profile)
     return sensor, table
 
 
@@ -192,15 +199,9 @@ def infer(sensor: Sensor, df: DataFrame, series: Sequence[str], order: Sequence[
     """Predictions for new rows: check inputs, clean, scale, cut into windows, predict, decode."""
     if sensor.params["clean"]["combine_files"]:
         series, order = [], [*series, *order]
-    keys = list(dict.fromkeys([*series, *order]))
-    raw = df
-    if sensor.params["featurize"]["add_rolling_features"]:
-        base = [c for c in df.columns if c not in keys]
-        raw = features.add_rolling_features(
-            df, clean.select_numeric(df.select(*base)).columns, sensor.params["featurize"]["rolling_window_size"], series, order
-        )
-    clean.require_features(raw, sensor.inputs)
-    rows = clean.drop_null_rows(raw.select(*keys, *[c for c in sensor.inputs if c not in keys]))
+    clean.require_features(df, sensor.base)
+    rows = clean.drop_null_rows(df.select(*dict.fromkeys([*series, *order, *sensor.base])))
+    rows, _ = _with_rolling(rows, sensor.base, sensor.params["featurize"], series, order)
     cut = sensor.params["sequentialize"]
     samples = x_windows(
         apply_scaler(rows, sensor.input_scaler), sensor.inputs, cut["window_size"], cut.get("overlap") or 0, series, order
@@ -225,8 +226,8 @@ def save_sensor(spark: SparkSession, sensor: Sensor, path: str | None = None) ->
     base = path or new_table_path(spark, "sensor")
     assets = {name: f"{base}/{name}" for name in registry.REQUIRED_ASSETS}
     write_profile(*sensor.profile, assets["profile"])
-    names = [(i, c) for i, c in enumerate(sensor.inputs)]
-    spark.createDataFrame(names, "pos int, name string").write.parquet(assets["features"])
+    names = [(role, i, c) for role in ("base", "inputs") for i, c in enumerate(getattr(sensor, role))]
+    spark.createDataFrame(names, "role string, pos int, name string").write.parquet(assets["features"])
     sensor.input_scaler.table(spark).write.parquet(assets["input_scaler"])
     sensor.output_scaler.table(spark).write.parquet(assets["output_scaler"])
     models.save_model(spark, sensor.model, assets["model"])
@@ -238,10 +239,11 @@ def save_sensor(spark: SparkSession, sensor: Sensor, path: str | None = None) ->
 def load_sensor(spark: SparkSession, row) -> Sensor:
     """The sensor of one registry row."""
     assets = json.loads(row.assets)
-    inputs = [r.name for r in spark.read.parquet(assets["features"]).orderBy("pos").collect()]
+    names = spark.read.parquet(assets["features"]).orderBy("pos").collect()
     return Sensor(
         json.loads(row.params),
-        inputs,
+        [r.name for r in names if r.role == "base"],
+        [r.name for r in names if r.role == "inputs"],
         Scaler.from_table(spark.read.parquet(assets["input_scaler"])),
         Scaler.from_table(spark.read.parquet(assets["output_scaler"])),
         models.load_model(spark, assets["model"], assets["kind"]),

@@ -141,3 +141,27 @@ def test_combined_and_shuffled(spark):
     made, scores = plans.create_sensor(df, params, ["s"], ["t"])
     assert made.inputs == ["command"] and "s" not in scores.columns
     assert scores.count() == 300 - 2 and made.metrics["r2"] > 0.8
+
+
+def test_one_against_rest_is_saved(spark, classes, tmp_path):
+    model = models.train(classes, "svm", True, n_epochs=20)
+    found = models.predict(model, classes).select("X", "predicted")
+    models.save_model(spark, model, str(tmp_path / "svm"))
+    loaded = models.load_model(spark, str(tmp_path / "svm"), models.model_kind(model))
+    assert models.predict(loaded, classes).select("X", "predicted").collect() == found.collect()
+    hits = models.predict(model, classes).where("predicted = y[0]").count()
+    assert hits > 0.7 * classes.count()
+
+
+def test_inference_drops_null_rows_before_rolling(spark):
+    params = {
+        "clean": {"target": "position"},
+        "featurize": {"features": ["command"], "add_rolling_features": True, "rolling_window_size": 3},
+        "sequentialize": {"window_size": 4},
+        "train": {"learning_method": "dt", "early_stopping": False},
+    }
+    df = milling(spark)
+    made, _ = plans.create_sensor(df, params, ["s"], ["t"])
+    assert made.base == ["command"] and len(made.inputs) == 5
+    gaps = df.withColumn("command", F.when(F.col("t") % 10 != 3, F.col("command")))
+    assert plans.infer(made, gaps, ["s"], ["t"]).count() == 10 * (54 // 4)
