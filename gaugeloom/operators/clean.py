@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeloom.functions.columns import first_token, last_token
-from gaugeloom.operators.ordered import MAX_SERIES_ROWS, over_rows_back, positions
+from gaugeloom.operators.ordered import MAX_SERIES_ROWS, forget_positions, over_rows_back, positions
 
 
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -19,7 +19,7 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
     """Drop rows with any null or NaN."""
-    return df.dropna("any")
+    return forget_positions(df.dropna("any"))
 
 
 def move_column(df: DataFrame, name: str, place: int) -> DataFrame:

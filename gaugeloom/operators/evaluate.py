@@ -125,7 +125,7 @@ def overlay(
     ``predicted`` is ordered by its own ``idx``; rows without a partner are left out.
     """
     thin = every_kth(truth, k, series, order, max_rows)
-    thin = thin.withColumn("step", F.expr(f"idx div {k}")).drop("idx", "n_rows")
+    thin = thin.withColumnRenamed("idx", "step").drop("n_rows")
     ranked = running_total(predicted, series, ["idx"], out="step", total="_size", max_rows=max_rows)
     return thin.join(ranked.drop("idx", "_size"), [*series, "step"])
 

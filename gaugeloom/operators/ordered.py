@@ -55,12 +55,20 @@ def running_total(
 def positions(
     df: DataFrame, series: Sequence[str], order: Sequence[str], max_rows: int = MAX_SERIES_ROWS
 ) -> DataFrame:
-    """Add ``idx`` and ``n_rows``; a frame that already has them is returned as it is."""
+    """Add ``idx`` and ``n_rows``; a frame that already has them is returned as it is.
+
+    They hold for all rows of a series or of a part of it. Filter before, or ``forget_positions``.
+    """
     if {"idx", "n_rows"} <= set(df.columns):
         return df
     return running_total(df, series, order, max_rows=max_rows)
 
 
+def forget_positions(df: DataFrame) -> DataFrame:
+    """Drop positions, which do not hold any more once single rows are gone."""
+    return df.drop("idx", "n_rows", "part_idx") if {"idx", "n_rows"} <= set(df.columns) else df
+
+
 def _total_by_window(df, series, order, value, out, total):
     whole = Window.partitionBy(*series)
     ordered = whole.orderBy(*order)
@@ -270,5 +278,6 @@ def top_k(df: DataFrame, by: Sequence[Column | str], k: int) -> DataFrame:
 def every_kth(
     df: DataFrame, k: int, series: Sequence[str], order: Sequence[str], max_rows: int = MAX_SERIES_ROWS
 ) -> DataFrame:
-    """Rows 0, k, 2k, … of each series."""
-    return positions(df, series, order, max_rows).where(F.col("idx") % k == 0)
+    """Rows 0, k, 2k, … of each series, numbered anew."""
+    kept = positions(df, series, order, max_rows).where(F.col("idx") % k == 0)
+    return kept.withColumns({"idx": F.expr(f"idx div {k}"), "n_rows": F.expr(f"(n_rows + {k - 1}) div {k}")})

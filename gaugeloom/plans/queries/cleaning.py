@@ -105,10 +105,10 @@ def verify_schema(spark, folder):
     return clean.verify_schema(lines(spark, folder), spec)
 
 
-@query("F12_every_kth_row", f"SELECT user_id, event_id, idx FROM {EVENT_ROWS} WHERE idx % 10 = 0")
+@query("F12_every_kth_row", f"SELECT user_id, event_id, idx // 10 AS idx, (n_rows + 9) // 10 AS n_rows FROM {EVENT_ROWS} WHERE idx % 10 = 0")
 def every_kth(spark, folder):
     df = ordered.every_kth(events(spark, folder), 10, EVENT_SERIES, EVENT_ORDER)
-    return df.select("user_id", "event_id", "idx")
+    return df.select("user_id", "event_id", "idx", "n_rows")
 
 
 @query(

@@ -34,9 +34,15 @@ def parts(spark, folder, train=0.7, calibrate=0.0):
     return split_rows(events(spark, folder), train, calibrate, EVENT_SERIES, EVENT_ORDER)
 
 
+def split_once(spark, folder):
+    """The split rows written once, for a fit and its application to read."""
+    kept = ["user_id", "event_id", "part", "part_idx", "idx", "n_rows", "k", "value"]
+    return staged(parts(spark, folder).select(*kept), "split")
+
+
 def flagship(spark, folder):
     """Split each user's events, scale the input by the train part, cut windows of five rows."""
-    rows = staged(parts(spark, folder).select("user_id", "part", "part_idx", "idx", "n_rows", "k", "value"), "split")
+    rows = split_once(spark, folder)
     scaled = apply_scaler(rows, fit_scaler(rows, ["k"], "minmax"))
     made = win.windows(scaled, ["k"], "value", 5, 1, EVENT_SERIES, EVENT_ORDER)
     x = [r6(F.col("X")[i][0]).alias(f"x{i}") for i in range(5)]
@@ -102,7 +108,7 @@ def validation(spark, folder):
 
 def _scaled(method):
     def run(spark, folder):
-        rows = parts(spark, folder)
+        rows = split_once(spark, folder)
         scaler = fit_scaler(rows, ["k", "value"], method)
         return rounded(apply_scaler(rows, scaler).select("event_id", "part", "k", "value"), "k", "value")
 
@@ -125,7 +131,7 @@ query("A5_identity", f"SELECT event_id, part, k, value FROM {PARTS}")(_scaled(No
 
 @query("A3_robust_any_size", ROBUST_SQL)
 def robust_any_size(spark, folder):
-    rows = parts(spark, folder)
+    rows = split_once(spark, folder)
     scaler = fit_scaler(rows, ["k", "value"], "robust", exact_rows=0)
     return rounded(apply_scaler(rows, scaler).select("event_id", "part", "k", "value"), "k", "value")
 
@@ -136,7 +142,7 @@ def robust_any_size(spark, folder):
   (SELECT avg(k) AS ck, stddev_pop(k) AS sk, min(value) AS cv, max(value) - min(value) AS sv FROM {PARTS} WHERE part = 'train')""",
 )
 def separate_scalers(spark, folder):
-    df, _, _ = scale_in_out(parts(spark, folder), ["k"], ["value"], "standard", "minmax")
+    df, _, _ = scale_in_out(split_once(spark, folder), ["k"], ["value"], "standard", "minmax")
     return rounded(df.select("event_id", "k", "value"), "k", "value")
 
 
@@ -153,7 +159,7 @@ def pair_scaled(spark, folder):
 
 @query("A8_inverse", f"SELECT event_id, round(k, 6) + 0.0 AS k, round(value, 6) AS value FROM {EVENTS}")
 def inverse(spark, folder):
-    rows = parts(spark, folder)
+    rows = split_once(spark, folder)
     scaler = fit_scaler(rows, ["k", "value"], "standard")
     restored = invert_scaler(apply_scaler(rows, scaler), scaler)
     return rounded(restored.select("event_id", "k", "value"), "k", "value")

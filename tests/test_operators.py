@@ -51,6 +51,19 @@ def test_every_kth(spark):
     assert sorted(column(ordered.every_kth(series(spark, 25), 10, ["s"], ["t"]), "t")) == [0, 10, 20]
 
 
+def test_segments_of_every_kth_row(spark):
+    thin = ordered.every_kth(series(spark, 95), 10, ["s"], ["t"])
+    cut = features.segment(thin, 5, ["s"], ["t"])
+    assert {r.t: r.segment for r in cut.collect()} == {10 * i: i // 5 + 1 for i in range(10)}
+    assert features.segment(ordered.every_kth(series(spark, 89), 10, ["s"], ["t"]), 5, ["s"], ["t"]).count() == 5
+
+
+def test_positions_are_counted_anew_after_dropping_rows(spark):
+    df = ordered.positions(series(spark, 6), ["s"], ["t"]).withColumn("x", F.when(F.col("t") != 2, F.col("x")))
+    made = win.windows(clean.drop_null_rows(df), ["x"], "y", 2, 1, ["s"], ["t"]).orderBy("idx").collect()
+    assert [r.X for r in made] == [[[a], [b]] for a, b in ((0.0, 1.0), (1.0, 3.0), (3.0, 4.0), (4.0, 5.0))]
+
+
 def test_constant_and_zero_columns(spark):
     df = spark.createDataFrame([(5, 1, 0), (5, 2, 0), (5, 3, 1), (5, 4, 2)], "a int, b int, c int")
     assert column(clean.constant_columns(profiling.count_stats(df, ["a", "b"])), "variable") == ["a"]
