@@ -56,7 +56,7 @@ def run(function, spark, folder) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cores, "bench")
     spark.sparkContext.setLogLevel("OFF")
     times = {}

@@ -80,7 +80,8 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def count_stats(df: DataFrame, cols: Sequence[str], approximate: bool = False) -> DataFrame:
     """Rows, missing, distinct and unique (seen once) values, with their shares.
 
-    ``approximate`` estimates distinct counts in the one scalar scan and leaves unique counts null.
+    ``approximate`` estimates distinct counts in the one scalar scan, exactly for constants, and
+    leaves unique counts null.
     """
     numeric = numeric_columns(df.select(*cols))
     other = [c for c in cols if c not in numeric]
@@ -90,7 +91,9 @@ def count_stats(df: DataFrame, cols: Sequence[str], approximate: bool = False) -
     def scalars(c):
         cells = [F.count("*").alias("n"), F.count(c).alias("n_values")]
         if approximate:
-            cells += [F.approx_count_distinct(c).alias("n_distinct"), F.lit(None).cast("long").alias("n_unique")]
+            several = F.greatest(F.approx_count_distinct(c), F.lit(2).cast("long"))
+            distinct = F.when(F.min(c) == F.max(c), 1).when(F.count(c) > 0, several).otherwise(0)
+            cells += [distinct.alias("n_distinct"), F.lit(None).cast("long").alias("n_unique")]
         return cells
 
     base = per_variable(picked, cols, scalars)
@@ -409,10 +412,13 @@ def kept(table: DataFrame) -> DataFrame:
     return table.sparkSession.createDataFrame(table.toArrow())
 
 
-def variable_table(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
+def variable_table(
+    df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False, detail: bool = True
+) -> DataFrame:
     """One row per variable with every statistic the rules read, computed once.
 
-    ``approximate`` estimates distinct counts instead of shuffling all values.
+    ``approximate`` estimates distinct counts instead of shuffling all values; without ``detail``
+    quantiles and deviations are left out.
     """
     cols = list(cols or df.columns)
     numeric = numeric_columns(df.select(*cols))
@@ -420,9 +426,10 @@ def variable_table(df: DataFrame, cols: Sequence[str] | None = None, approximate
     table = counts.join(infer_kind(df, cols, counts), "variable")
     if numeric:
         scalars = per_number(df, numeric, lambda c: _moments(c) + _zeros(c))
+        table = table.join(scalars, "variable", "left")
+    if numeric and detail:
         sizes = {r.variable: r.n - r.n_missing for r in counts.collect()}
-        deviations = deviation_stats(df, numeric, sizes=sizes)
-        table = table.join(scalars, "variable", "left").join(deviations, "variable", "left")
+        table = table.join(deviation_stats(df, numeric, sizes=sizes), "variable", "left")
     return kept(table)
 
 
@@ -481,13 +488,19 @@ def profile(
     cols: Sequence[str] | None = None,
     correlation_metric: str = "pearson",
     approximate: bool = False,
+    detail: bool = True,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The whole report as three tables: variables, correlations, messages."""
+    """The whole report as three tables: variables, correlations, messages.
+
+    Without ``detail`` only what the rejection rules read: no quantiles, uniformity, repeated rows.
+    """
     cols = list(cols or df.columns)
     picked = df.select(*cols)
     numeric, text = numeric_columns(picked), text_columns(picked)
-    variables = variable_table(picked, approximate=approximate)
+    variables = variable_table(picked, approximate=approximate, detail=detail)
     pairs = kept(correlation_table(numeric_view(picked, numeric), numeric, correlation_metric))
+    if not detail:
+        return variables, pairs, kept(messages(variables, pairs))
     uniform: dict[str, float] = {}
     if numeric:
         found = variables.where((F.col("n_infinite") == 0) & F.col("min").isNotNull())

@@ -18,6 +18,10 @@ from gaugeloom.session import new_table_path, staged
 from gaugeloom.sources.tables import write_profile
 
 
+# Variables, correlations and messages.
+Profile = tuple[DataFrame, DataFrame, DataFrame]
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Windows of all parts with what was fitted on the way."""
@@ -29,7 +33,7 @@ class Prepared:
     input_scaler: Scaler
     output_scaler: Scaler
     classes: list
-    profile: tuple[DataFrame, DataFrame, DataFrame] | None
+    profile: Profile
 
 
 @dataclass(frozen=True)
@@ -44,14 +48,19 @@ class Sensor:
     model: object
     classes: list
     metrics: dict
-    profile: tuple[DataFrame, DataFrame, DataFrame] | None = None
+    profile: Profile | None = None
 
 
-def rejected_columns(df: DataFrame, params: dict, keep: Sequence[str]) -> tuple[list[str], tuple]:
-    """Columns the profile rules reject, and the profile they were read from."""
+def rejected_columns(
+    df: DataFrame, params: dict, keep: Sequence[str], profile: Profile | None = None
+) -> tuple[list[str], Profile]:
+    """Columns the profile rules reject, and the profile they were read from.
+
+    Unless a profile is given, only what the rules read is computed.
+    """
     cols = [c for c in df.columns if c not in keep]
     settings = params["clean"]
-    tables = profiling.profile(df, cols, settings["correlation_metric"])
+    tables = profile or profiling.profile(df, cols, settings["correlation_metric"], True, False)
     gone = clean.removable_columns(
         tables[0],
         tables[1],
@@ -64,7 +73,12 @@ def rejected_columns(df: DataFrame, params: dict, keep: Sequence[str]) -> tuple[
 
 
 def prepare(
-    df: DataFrame, params: dict, series: Sequence[str], order: Sequence[str], by_series: bool = False
+    df: DataFrame,
+    params: dict,
+    series: Sequence[str],
+    order: Sequence[str],
+    by_series: bool = False,
+    profile: Profile | None = None,
 ) -> Prepared:
     """Profile, clean, featurize, split, scale and cut into windows.
 
@@ -76,7 +90,7 @@ def prepare(
     if settings["combine_files"]:
         series, order = [], [*series, *order]
     target, keys = settings["target"], list(dict.fromkeys([*series, *order]))
-    gone, tables = rejected_columns(df, params, keys)
+    gone, tables = rejected_columns(df, params, keys, profile)
     rows = clean.drop_null_rows(clean.drop_columns(df, [c for c in gone if c not in keys]))
     classes: list = []
     outputs = [target]
@@ -148,11 +162,16 @@ def _with_rolling(rows, base, settings, series, order):
 
 
 def create_sensor(
-    df: DataFrame, params: dict, series: Sequence[str], order: Sequence[str], by_series: bool = False
+    df: DataFrame,
+    params: dict,
+    series: Sequence[str],
+    order: Sequence[str],
+    by_series: bool = False,
+    profile: Profile | None = None,
 ) -> tuple[Sensor, DataFrame]:
     """Fit a sensor; returns it with its predictions on the test part."""
     params = registry.merge_params(params)
-    made = prepare(df, params, series, order, by_series)
+    made = prepare(df, params, series, order, by_series, profile)
     settings = params["train"]
     classification = params["clean"]["classification"]
     n_outputs = 1 if classification else params["sequentialize"]["target_size"]
