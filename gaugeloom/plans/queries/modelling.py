@@ -1,21 +1,24 @@
 """Queries that fit models on windows of the given tables and score the test part.
 
-Spark ML fits have no SQL twin; tests compare the discriminants with a direct computation.
+Models of one input have SQL twins: the fit is a regression line or a mean and variance per class.
+The others have none; tests compare the discriminants with a direct computation.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeloom.operators import models, registry, windows as win
+from gaugeloom.operators import encode, models, registry, windows as win
 from gaugeloom.operators.scale import apply_scaler, fit_scaler
 from gaugeloom.operators.split import split_rows, validation_tail
 from gaugeloom.plans import sensor
 from gaugeloom.plans.queries.catalog import (
     EVENT_ORDER,
     EVENT_SERIES,
+    EVENTS,
     LINE_ORDER,
     LINE_SERIES,
+    event_parts,
     events,
     lines,
     query,
@@ -23,6 +26,7 @@ from gaugeloom.plans.queries.catalog import (
     table,
 )
 from gaugeloom.session import new_table_path
+from gaugeloom.sources.tables import write_metrics
 
 
 def _value_windows(spark, folder):
@@ -92,6 +96,31 @@ query("M7_linear_discriminant")(_discriminant("lda"))
 query("M8_quadratic_discriminant")(_discriminant("qda"))
 
 
+def _class_scores(variance):
+    """Posterior scores of one input per class, as SQL; the highest wins."""
+    return f"""WITH rows AS (SELECT event_id, k AS x, dense_rank() OVER (ORDER BY event_type) - 1.0::DOUBLE AS y FROM {EVENTS}),
+c AS (SELECT y, avg(x) AS m, count(*) AS n, var_samp(x) AS v FROM rows GROUP BY y),
+d AS (SELECT y, m, {variance} AS v, ln(n / sum(n) OVER ()) AS prior FROM c)
+SELECT event_id, max(rows.y) AS truth, arg_max(d.y, prior - 0.5 * ((x - m) * (x - m) / v + ln(v))) AS predicted
+FROM rows, d GROUP BY event_id"""
+
+
+def _one_input_discriminant(method):
+    def run(spark, folder):
+        df = encode.label_encode(events(spark, folder), "event_type")
+        code = F.col("event_type").cast("double")
+        samples = df.select("event_id", F.array("k").alias("X"), F.array(code).alias("y"))
+        model = models.train(samples, method, True)
+        return models.predict(model, samples).select("event_id", F.col("y")[0].alias("truth"), "predicted")
+
+    return run
+
+
+POOLED = "sum((n - 1) * v) OVER () / (sum(n) OVER () - count(*) OVER ())"
+query("M7_linear_discriminant_one_input", _class_scores(POOLED))(_one_input_discriminant("lda"))
+query("M8_quadratic_discriminant_one_input", _class_scores("v"))(_one_input_discriminant("qda"))
+
+
 @query("M10_early_stopping")
 def early_stopping(spark, folder):
     samples = _value_windows(spark, folder)
@@ -135,6 +164,67 @@ def infer(spark, folder):
     return sensor.infer(sensor.load_sensor(spark, row), df.drop("price"), LINE_SERIES, LINE_ORDER)
 
 
+# A regression line on one scaled input, cut into windows of one row.
+LINE_PARAMS = {
+    "profile": {"dataset": "events"},
+    "clean": {"target": "value"},
+    "featurize": {"features": ["k"]},
+    "split": {"train_split": 0.5, "calibrate_split": 0.2},
+    "scale": {"input": "standard", "output": "minmax"},
+    "sequentialize": {"window_size": 1},
+    "train": {"learning_method": "dnn", "early_stopping": False},
+}
+LINE_FIT = f"""WITH p AS (SELECT * FROM {event_parts(0.5, 0.2)}),
+s AS (SELECT avg(k) AS mk, stddev_pop(k) AS sk, min(value) AS lo, max(value) - min(value) AS w FROM p WHERE part = 'train'),
+z AS (SELECT user_id, part, idx, (k - mk) / sk AS x, (value - lo) / w AS y FROM p, s),
+m AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM z WHERE part = 'train'),
+g AS (SELECT z.*, a * x + b AS guess FROM z, m),
+e AS (SELECT abs(y - guess) AS e, row_number() OVER (ORDER BY abs(y - guess) DESC) AS r, count(*) OVER () AS n FROM g
+  WHERE part = 'calibrate'),
+t AS (SELECT e AS border FROM e WHERE r = least(greatest(floor(0.05::DOUBLE * (n + 1)), 1), n))"""
+
+
+def _line_sensor(spark, folder):
+    df = events(spark, folder).select("user_id", "ts", "event_id", "value", "k")
+    return df, *sensor.create_sensor(df, LINE_PARAMS, EVENT_SERIES, EVENT_ORDER)
+
+
+@query(
+    "V1_M1_linear_sensor",
+    LINE_FIT
+    + """ SELECT user_id, part, idx, round(y, 6) AS ground_truth, round(guess, 6) + 0.0 AS predicted,
+  round(guess - border, 6) + 0.0 AS lower_bound, round(guess + border, 6) + 0.0 AS upper_bound FROM g, t WHERE part = 'test'""",
+)
+def linear_sensor(spark, folder):
+    """Clean, split, scale, cut, fit, calibrate and score."""
+    _, _, scores = _line_sensor(spark, folder)
+    return rounded(scores, "ground_truth", "predicted", "lower_bound", "upper_bound")
+
+
+@query(
+    "V1_S11_linear_sensor_metrics",
+    LINE_FIT
+    + """ SELECT round(avg((y - guess) * (y - guess)), 6) AS mse,
+  round(1 - sum((y - guess) * (y - guess)) / (var_pop(y) * count(*)), 6) + 0.0 AS r2 FROM g WHERE part = 'test'""",
+)
+def linear_sensor_metrics(spark, folder):
+    _, made, _ = _line_sensor(spark, folder)
+    path = new_table_path(spark, "metrics")
+    write_metrics(spark.createDataFrame([(made.metrics["mse"], made.metrics["r2"])], "mse double, r2 double"), path)
+    return rounded(spark.read.schema("mse double, r2 double").json(path), "mse", "r2")
+
+
+@query(
+    "I1_linear_inference",
+    LINE_FIT + " SELECT user_id, idx, round(guess * w + lo, 4) + 0.0 AS predicted FROM g, s",
+)
+def linear_inference(spark, folder):
+    """All rows scored without their target, in original units."""
+    df, made, _ = _line_sensor(spark, folder)
+    found = sensor.infer(made, df.drop("value"), EVENT_SERIES, EVENT_ORDER)
+    return rounded(found.select("user_id", "idx", "predicted"), "predicted", places=4)
+
+
 @query("E2_E6_onehot_sensor")
 def onehot_sensor(spark, folder):
     """Event type, one-hot encoded, from value and k."""
