@@ -120,10 +120,11 @@ def _estimator(method, classification, n_classes, n_inputs, params, validation):
     if method == "rf":
         return (RandomForestClassifier if classification else RandomForestRegressor)(**seed, **params)
     if method == "xgboost":
+        if classification and n_classes > 2:
+            return OneVsRest(classifier=GBTClassifier(**seed, **params))
         if validation:
             params = {"validationIndicatorCol": "validation", **params}
-        booster = (GBTClassifier if classification else GBTRegressor)(**seed, **params)
-        return OneVsRest(classifier=booster) if classification and n_classes > 2 else booster
+        return (GBTClassifier if classification else GBTRegressor)(**seed, **params)
     if method == "svm":
         machine = LinearSVC(**params)
         return OneVsRest(classifier=machine) if n_classes > 2 else machine
@@ -149,7 +150,8 @@ def train(
     ``dt``, ``rf`` and ``xgboost`` are tree models, ``dnn`` a multilayer perceptron for classes and,
     as its stand-in for values, a linear model. ``svm``, ``lda`` and ``qda`` need classes, given as
     codes from 0. ``n_epochs`` is the number of rounds or iterations; with early stopping
-    ``xgboost`` is allowed at least ten rounds and watches the last quarter of the samples.
+    ``xgboost`` is allowed at least ten rounds and watches the last quarter of the samples (with more
+    than two classes it is fitted one against the rest, for all rounds).
     The estimators keep their own packed copy of the data, so the windows stay lazy here.
     """
     known = REGRESSORS + CLASSIFIERS_ONLY

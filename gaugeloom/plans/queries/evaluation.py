@@ -10,7 +10,6 @@ from gaugeloom.plans.queries.catalog import (
     EVENT_ORDER,
     EVENT_ROWS,
     EVENT_SERIES,
-    EVENTS,
     event_guess,
     events,
     query,

@@ -84,7 +84,7 @@ def prepare(
 
     The split rows are written once: scalers, training and scoring all read them. A one-hot target
     makes ``y`` the class code again once its columns went through the windows. ``combine_files``
-    makes one series of all of them, in their order.
+    makes one series of all of them, in their order, and that is always split by rows.
     """
     settings = params["clean"]
     if settings["combine_files"]:
@@ -96,14 +96,16 @@ def prepare(
     outputs = [target]
     if settings["classification"]:
         codes = encode.fit_label_encoder(rows, target)
-        classes = [r[0] for r in codes.orderBy("code").limit(models.MAX_CLASSES).collect()]
+        classes = [r[0] for r in codes.orderBy("code").limit(models.MAX_CLASSES + 1).collect()]
+        if len(classes) > models.MAX_CLASSES:
+            raise ValueError(f"{target} has more than {models.MAX_CLASSES} classes")
         if settings["onehot_encode_target"]:
             rows, outputs = encode.onehot_encode(rows, target)
         else:
             rows = encode.apply_label_encoder(rows, codes, target)
     rows, base, inputs = _featurize(rows, params, keys, outputs, series, order)
     settings = params["split"]
-    if by_series:
+    if by_series and series:
         parted = split_series(
             rows, settings["train_split"], settings["calibrate_split"], series, settings["shuffle_files"]
         )

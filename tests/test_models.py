@@ -153,6 +153,12 @@ def test_one_against_rest_is_saved(spark, classes, tmp_path):
     assert hits > 0.7 * classes.count()
 
 
+def test_boosting_of_three_classes(spark, classes):
+    samples = classes.withColumn("idx", F.monotonically_increasing_id())
+    model = models.train(samples, "xgboost", True, n_epochs=5, early_stopping=True)
+    assert models.predict(model, samples).where("predicted = y[0]").count() > 0.8 * classes.count()
+
+
 def test_inference_drops_null_rows_before_rolling(spark):
     params = {
         "clean": {"target": "position"},
