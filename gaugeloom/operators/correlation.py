@@ -15,7 +15,7 @@ from gaugeloom.operators.ordered import MAX_SERIES_ROWS, positions, running_tota
 from gaugeloom.session import staged
 
 # Below this share of the raw second moment a variance is rounding error of the sums.
-ROUNDING = 1e-11
+ROUNDING = 1e-12
 
 
 def _moments(columns, shift):

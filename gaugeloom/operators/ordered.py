@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gaugeloom.functions.columns import choose
 from gaugeloom.session import staged
 
-MAX_SERIES_ROWS = 4_000_000
+MAX_SERIES_ROWS = 1_000_000
 PIECE_ROWS = 20_000_000
 BLOCK_ROWS = 1_000_000
 EXACT_ROWS = 100_000

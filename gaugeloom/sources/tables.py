@@ -70,7 +70,8 @@ def write_series(df: DataFrame, path: str, series: str, fmt: str = "parquet") ->
     """One folder per series.
 
     The rebalance hint brings rows of a series together, splits a series too large for one task and
-    merges small ones, all by measured sizes.
+    merges small ones, all by measured sizes. Read it back with a schema if names look like numbers:
+    without one, ``01`` comes back as 1.
     """
     writer = df.hint("rebalance", series).write.mode("errorifexists").partitionBy(series).format(fmt)
     if fmt == "csv":

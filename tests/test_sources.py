@@ -59,6 +59,13 @@ def test_write_series_makes_one_folder_each(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "out").glob("s=*")) == ["s=0", "s=1", "s=2"]
 
 
+def test_series_names_stay_text_with_a_schema(spark, tmp_path):
+    df = spark.createDataFrame([("01", 1.0), ("10", 2.0)], "s string, x double")
+    io.write_series(df, str(tmp_path / "out"), "s")
+    back = io.read_series(spark, str(tmp_path / "out"), "parquet", "x double, s string")
+    assert sorted((r.s, r.x) for r in back.collect()) == [("01", 1.0), ("10", 2.0)]
+
+
 def test_staged_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, [[1.0, 2.0]], None)], "a long, X array<array<double>>, gap double")
     back = session.staged(df, "check")
