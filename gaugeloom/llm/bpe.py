@@ -26,13 +26,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WORD_END = "</w>"
 #: Offset between the symbol of a byte inside a word and the symbol of the same byte at its end.
 END_SHIFT = 0x4000
 #: Words and pairs that a Python worker remembers; they are forgotten all at once beyond that.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 _MODELS: dict[str, WordBpe] = {}
 
 
@@ -69,9 +70,7 @@ class WordBpe:
         spec = json.loads(spec)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         ids = {self._symbols(piece): i for piece, i in vocab.items()}
-        self.texts = {i: piece for piece, i in vocab.items()}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.texts |= {i: s for s, i in self.special.items()}
         self.halves: dict[int, tuple[int, int]] = {}
         self.rank: dict[int, int] = {}
         self.merged: dict[tuple[int, int], int] = {}
@@ -185,9 +184,12 @@ class WordBpe:
                 else:
                     yield chain.from_iterable(map(self.chunks.__getitem__, part.split()))
 
-    def decode(self, ids) -> str:
-        """The tokens' texts joined by spaces: the vocabulary has no decoder. Unknown ids are left out."""
-        return " ".join([self.texts[i] for i in ids if i in self.texts])
+    @staticmethod
+    def texts_of(spec: str) -> dict[int, str]:
+        """The text of each id, special tokens included."""
+        spec = json.loads(spec)
+        texts = {i: piece for piece, i in spec["model"]["vocab"].items()}
+        return texts | {x["id"]: x["content"] for x in spec["added_tokens"]}
 
 
 def model_of(spec: str) -> WordBpe:
@@ -231,17 +233,12 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add ``out``, the text of each row's ids; null ids give an empty text."""
-    _new_column(df, out)
-    spec, at = _read(path), df.columns.index(ids)
+    """Add ``out``, the text of each row's ids: their tokens joined by spaces, as the vocabulary has no decoder.
 
-    def run(batches):
-        model = model_of(spec)
-        for batch in batches:
-            column = batch.column(at)
-            texts = [model.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ()) for x in column]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out]
-            )
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))
+    Ids that no token has are left out; null ids give an empty text. The vocabulary is one literal array.
+    """
+    _new_column(df, out)
+    texts = WordBpe.texts_of(_read(path))
+    listed = F.split(F.lit("\n".join(texts.get(i, "") for i in range(max(texts) + 1))), "\n", -1)
+    found = F.transform(F.col(ids), lambda i: F.nullif(F.get(listed, i), F.lit("")))
+    return df.withColumn(out, F.coalesce(F.array_join(found, " "), F.lit("")))
