@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.llm.components import components
-from gaugeloom.llm.runs import by_key, runs
+from gaugeloom.llm.runs import by_key, fewer, runs
 from gaugeloom.llm.shingles import shingle_sets
 from gaugeloom.session import staged
 
@@ -156,7 +156,7 @@ def _likely_links(classes: DataFrame, bands: int, rows: int, least: float) -> Da
             if len(other):
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[root[other]])], names=["a", "b"])
 
-    return met.mapInArrow(run, "a long, b long")
+    return met.mapInArrow(lambda batches: fewer(run(batches)), "a long, b long")
 
 
 def shared_grams(sets: list[np.ndarray]) -> np.ndarray:
@@ -208,7 +208,7 @@ def _verified(members: DataFrame, words: int, threshold: float) -> DataFrame:
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(n)], names=["a", "b", "links"])
 
-    return members.mapInArrow(run, "a long, b long, links long")
+    return members.mapInArrow(lambda batches: fewer(run(batches)), "a long, b long, links long")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.llm import bpe, language, near_duplicates
+from gaugeloom.llm import (
+    bpe,
+    language,
+    line_dedup,
+    mixing,
+    near_duplicates,
+    pii,
+    sketches,
+    suffix_dedup,
+    token_files,
+    vectors,
+)
+from gaugeloom.session import new_table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +41,12 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@query("op1_mixing")
+def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
+    taken = mixing.mix(documents(spark, folder), weights=(5, 2, 1), share=1.5, cap=2.0)
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 @query("op2_bpe")
 def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
@@ -41,6 +59,107 @@ def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_line_dedup",
+    r"""
+WITH rows AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+    unnest(range(len(string_split(text, chr(10))))) AS no FROM rows),
+placed AS (
+  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s,
+    trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS normal FROM lines),
+units AS (
+  SELECT *, row_number() OVER (PARTITION BY normal ORDER BY doc_id NULLS LAST, no) AS rank FROM placed
+  WHERE normal <> '' AND length(normal) - length(replace(normal, ' ', '')) >= 4),
+gone AS (SELECT doc_id, text, no FROM units WHERE rank > 1),
+kept AS (
+  SELECT p.doc_id, p.text, string_agg(p.line, chr(10) ORDER BY p.no) FILTER (g.no IS NULL) AS kept,
+    string_agg(p.s::BIGINT || ':' || (p.s + length(p.line))::BIGINT, ',' ORDER BY p.no) FILTER (g.no IS NOT NULL) AS removed,
+    count(g.no) AS n_removed, count(*) AS n_lines
+  FROM placed p LEFT JOIN gone g ON p.doc_id IS NOT DISTINCT FROM g.doc_id AND p.text = g.text AND p.no = g.no
+  GROUP BY p.doc_id, p.text)
+SELECT d.doc_id, k.n_lines, k.n_removed, coalesce(k.removed, '') AS removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM documents d JOIN kept k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND coalesce(d.text, '') = k.text""",
+)
+def lines_met_before(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.without_repeated_lines(documents(spark, folder).select("doc_id", "text"))
+    spans = F.transform("_removed", lambda x: F.concat_ws(":", x["s"], x["e"]))
+    return found.select(
+        "doc_id",
+        F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"),
+        F.size("_removed").cast("long").alias("n_removed"),
+        F.array_join(spans, ",").alias("removed"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
+@query("op4_token_counts")
+def tokens_of_flat_files(spark: SparkSession, folder: str) -> DataFrame:
+    ids = bpe.encode(documents(spark, folder).select("text"), public_tokenizers.path(TOKENIZER)).select("ids")
+    path = new_table_path(spark, "tokens")
+    token_files.write_token_files(ids, "ids", path)
+    found = token_files.token_counts(spark, path)
+    file_no = F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file_no")
+    return found.select(file_no, "doc_no", "start", "n_tokens", "closed")
+
+
+@query("op5_vectors")
+def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = vectors.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query("op6_sketches")
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = sketches.with_sketch(docs.withColumn("mark", F.xxhash64("text")), "text", "sketch")
+    docs = sketches.with_next(docs, "doc_id", ["mark", "text"], {"next_text": "text", "next_sketch": "sketch"})
+    docs = docs.withColumn("n_chars", F.length("text"))
+    part = F.floor(F.col("n_chars") / 4).cast("int")
+    kept = F.substring(F.col("text"), F.lit(1), F.col("n_chars") - part)
+    docs = docs.withColumn("edited", F.concat(kept, F.substring(F.col("next_text"), F.lit(1), part)))
+    docs = sketches.with_sketch(docs, "edited", "edited_sketch")
+    return docs.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.written(F.col("sketch")).alias("fingerprint"),
+        sketches.written(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketches.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketches.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+@query("op7_suffix_dedup")
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(documents(spark, folder))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        length.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query("op8_pii")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    found = pii.of_documents(pii.findings(docs)).withColumnsRenamed({"doc_id": "_d", "mark": "_m"})
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m")), "left")
+    rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast(pii.SPANS)))
+    counts = [
+        F.size(pii.of_kind(F.col("spans"), n)).cast("long").alias(f"n_{kind}")
+        for n, kind in enumerate((*pii.KINDS, pii.TERM))
+    ]
+    base = F.sha2(pii.described(F.col("spans"), len(pii.KINDS)), 256).alias("base_sha256")
+    return rows.select("doc_id", *counts, base, pii.described(F.col("spans"), len(pii.KINDS) + 1).alias("spans"))
+
+
 @query("op9_near_duplicates")
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.near_duplicates(documents(spark, folder))

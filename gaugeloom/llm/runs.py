@@ -9,8 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[int]) -> Iterator[pa.Table]:
-    """A table for each run of equal values in the key columns (integers without null)."""
+def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[int], most: int | None = None) -> Iterator[pa.Table]:
+    """A table for each run of equal values in the key columns (integers without null).
+
+    With ``most`` a run comes in several tables of that many rows, and of one batch's rows beyond it at most.
+    """
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -23,7 +26,7 @@ def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[int]) -> Iterator[pa.
         cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
         for begin, end in zip(cuts, cuts[1:], strict=False):
             key = tuple(c[begin] for c in columns)
-            if held and key != last:
+            if held and (key != last or most and sum(x.num_rows for x in held) >= most):
                 yield pa.Table.from_batches(held)
                 held = []
             held.append(batch.slice(begin, end - begin))
@@ -35,3 +38,17 @@ def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[int]) -> Iterator[pa.
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of a key in one partition, one after another."""
     return df.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def fewer(batches: Iterator[pa.RecordBatch], most_bytes: int = 4_000_000, most: int = 500) -> Iterator[pa.RecordBatch]:
+    """The rows of many small batches in few, as each batch costs a message between the processes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes or len(held) >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
