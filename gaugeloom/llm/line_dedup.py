@@ -30,7 +30,7 @@ def _units(rows: DataFrame, words: int) -> DataFrame:
     """(doc_id, mark, no, s, e, digest) of the lines long enough."""
     rows = rows.withColumn("lines", F.split("text", "\n", -1))
     rows = with_before(rows.withColumn("steps", F.transform("lines", lambda x: F.length(x) + 1)), "steps", "starts")
-    units = rows.select("doc_id", "mark", F.posexplode(F.arrays_zip("lines", "starts")).alias("no", "x"))
+    units = rows.select("doc_id", "mark", F.posexplode_outer(F.arrays_zip("lines", "starts")).alias("no", "x"))
     line, start = F.col("x.lines"), F.col("x.starts")
     units = units.select("doc_id", "mark", "no", start.alias("s"), (start + F.length(line)).alias("e"), normal(line).alias("line"))
     enough = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= words - 1

@@ -113,7 +113,8 @@ def _masked(text: Column, spans: Column) -> Column:
 
 def _terms_beside(df: DataFrame, settings: Settings) -> DataFrame:
     """(word, kinds): the disclosing terms, from counts over all lines of ``df`` (column text)."""
-    lines = df.select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    # outer explodes: the others add filters, which would repeat all that their arrays are made of
+    lines = df.select(F.explode_outer(F.split("text", "\n", -1)).alias("line"))
     lines = base_findings(lines, "line", "base")
     some = F.size("base") > 0
     words = F.regexp_extract_all(F.lower(F.when(some, _masked(F.col("line"), F.col("base"))).otherwise(F.col("line"))), F.lit(WORD), F.lit(0))
@@ -122,7 +123,7 @@ def _terms_beside(df: DataFrame, settings: Settings) -> DataFrame:
     rows = lines.select(
         F.when(some, F.xxhash64("line")).alias("seen"),
         *beside,
-        F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words))).alias("word"),
+        F.explode_outer(F.concat(F.array(F.lit("")), F.array_distinct(words))).alias("word"),
     )
     kinds = [f"k{n}" for n in range(len(KINDS))]
     first = rows.groupBy("word", "seen").agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in kinds])
@@ -160,16 +161,18 @@ def findings(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings
     hidden = narrow.where(F.col("text").rlike("[0-9@]")).withColumn("lines", F.split("text", "\n", -1))
     hidden = hidden.withColumn("steps", F.transform("lines", lambda x: F.length(x) + 1))
     hidden = with_before(hidden, "steps", "starts")
-    lines = hidden.select("doc_id", "mark", F.posexplode(F.arrays_zip("lines", "starts")).alias("no", "x"))
+    lines = hidden.select("doc_id", "mark", F.posexplode_outer(F.arrays_zip("lines", "starts")).alias("no", "x"))
     lines = lines.select("doc_id", "mark", "no", F.col("x.starts").alias("at"), F.col("x.lines").alias("line"))
-    lines = base_findings(lines.where(F.col("line").rlike("[0-9@]")), "line", "base").where(F.size("base") > 0)
+    lines = base_findings(lines.where(F.col("line").rlike("[0-9@]")), "line", "all")
+    some = F.explode_outer(F.when(F.size("all") > 0, F.array("all"))).alias("base")
+    lines = lines.select("doc_id", "mark", "no", "at", "line", some).where(F.col("base").isNotNull())
     lines = staged(lines.dropDuplicates(["doc_id", "mark", "no"]), "entity_lines")
 
     terms = _terms_beside(narrow, settings)
     masked = lines.withColumn("masked", _masked(F.col("line"), F.col("base")))
     masked = _matches(masked, "masked", None, WORD, "words")
     kinds = F.array_distinct(F.transform("base", lambda x: x["kind"])).alias("beside")
-    words = masked.select("doc_id", "mark", "no", kinds, F.explode("words").alias("w"))
+    words = masked.select("doc_id", "mark", "no", kinds, F.explode_outer("words").alias("w"))
     words = words.select("doc_id", "mark", "no", "beside", F.lower("w.found").alias("word"), "w.s", "w.e")
     told = words.join(terms, "word").where(F.arrays_overlap("kinds", "beside"))
     span = F.struct(F.lit(len(KINDS)).alias("kind"), "s", "e")
