@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.columns import midpoint as middle
-from gaugeloom.operators.ordered import MAX_SERIES_ROWS, every_kth, order_statistics, running_total
+from gaugeloom.operators.ordered import MAX_SERIES_ROWS, every_kth, null_safe_join, order_statistics, running_total
 from gaugeloom.session import staged
 
 
@@ -94,7 +94,7 @@ def interval_quality(df: DataFrame) -> DataFrame:
 
 def join_by_position(a: DataFrame, b: DataFrame, series: Sequence[str], idx: str = "idx") -> DataFrame:
     """Put two frames side by side by series and position; the position keeps the keys balanced."""
-    return a.join(b, [*series, idx])
+    return null_safe_join(a, b, [*series, idx])
 
 
 def prediction_series(df: DataFrame, inputs: Sequence[str], y: str = "y", p: str = "predicted") -> DataFrame:
@@ -127,7 +127,7 @@ def overlay(
     thin = every_kth(truth, k, series, order, max_rows)
     thin = thin.withColumnRenamed("idx", "step").drop("n_rows")
     ranked = running_total(predicted, series, ["idx"], out="step", total="_size", max_rows=max_rows)
-    return thin.join(ranked.drop("idx", "_size"), [*series, "step"])
+    return null_safe_join(thin, ranked.drop("idx", "_size"), [*series, "step"])
 
 
 def concat_history(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeloom.operators.correlation import correlations
-from gaugeloom.operators.ordered import BLOCK_ROWS, MAX_SERIES_ROWS, over_rows_back, positions
+from gaugeloom.operators.ordered import BLOCK_ROWS, MAX_SERIES_ROWS, null_safe_join, over_rows_back, positions
 
 # Fixed value: how near the median counts as close, as a share of the value range.
 CLOSE_SHARE = 0.1
@@ -112,7 +112,7 @@ def relevant_features(
 ) -> DataFrame:
     """Correlation of each segment feature with the segment's target, where it reaches ``min_corr``."""
     keys = [*series, "segment"]
-    joined = features.join(targets, keys)
+    joined = null_safe_join(features, targets, keys)
     names = [c for c in features.columns if c not in keys]
     found = target_correlations(joined, "target", names)
     return found.where(F.abs(F.col("r")) >= min_corr)
@@ -135,7 +135,13 @@ def prefix_windows(
     rows = positions(df, series, order, max_rows)
     if window_rows is not None:
         back = window_rows - 1
-        stats = {"rows": lambda c: F.count(F.lit(1)), "sum": F.sum, "minimum": F.min, "maximum": F.max}
+        stats = {
+            "rows": lambda c: F.count(F.lit(1)),
+            "_values": F.count,
+            "sum": F.sum,
+            "minimum": F.min,
+            "maximum": F.max,
+        }
         made = {
             name: lambda w, stat=stat: stat(col).over(w.rowsBetween(-back, 0)) for name, stat in stats.items()
         }
@@ -143,22 +149,31 @@ def prefix_windows(
     rows = rows.withColumn("_block", F.expr(f"idx div {block_rows}"))
     earlier = Window.partitionBy(*series).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*series, "_block").agg(
-        F.sum(col).alias("_sum"), F.min(col).alias("_min"), F.max(col).alias("_max")
+        F.sum(col).alias("_sum"), F.count(col).alias("_count"), F.min(col).alias("_min"), F.max(col).alias("_max")
     )
     totals = totals.withColumns(
-        {"_sum": F.sum("_sum").over(earlier), "_min": F.min("_min").over(earlier), "_max": F.max("_max").over(earlier)}
+        {
+            "_sum": F.sum("_sum").over(earlier),
+            "_count": F.sum("_count").over(earlier),
+            "_min": F.min("_min").over(earlier),
+            "_max": F.max("_max").over(earlier),
+        }
     )
     upto = Window.partitionBy(*series, "_block").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    joined = rows.join(totals, [*series, "_block"]).withColumns(
+    own, none = F.sum(col).over(upto), F.lit(0).cast(rows.schema[col].dataType)
+    total = F.coalesce(F.col("_sum"), none) + F.coalesce(own, none)
+    joined = null_safe_join(rows, totals, [*series, "_block"]).withColumns(
         {
             "rows": F.col("idx") + 1,
-            "sum": F.coalesce(F.col("_sum"), F.lit(0.0)) + F.sum(col).over(upto),
+            "_values": F.coalesce(F.col("_count"), F.lit(0)) + F.count(col).over(upto),
+            "sum": F.when(F.col("_sum").isNotNull() | own.isNotNull(), total),
             "minimum": F.least(F.col("_min"), F.min(col).over(upto)),
             "maximum": F.greatest(F.col("_max"), F.max(col).over(upto)),
         }
     )
-    return _with_mean(joined.drop("_block", "_sum", "_min", "_max"))
+    return _with_mean(joined.drop("_block", "_sum", "_count", "_min", "_max"))
 
 
 def _with_mean(df):
-    return df.withColumn("mean", F.col("sum") / F.col("rows"))
+    """The mean is of the values that are not null."""
+    return df.withColumn("mean", F.col("sum") / F.nullif("_values", F.lit(0))).drop("_values")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -18,7 +19,7 @@ from pyspark.ml.classification import (
     OneVsRestModel,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -26,8 +27,6 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +36,8 @@ SEED = 2020
 # Share held out for validation, and epochs trained before early stopping may act.
 VALIDATION_SHARE = 0.25
 FIRST_EPOCHS = 10
-CLASSIFIERS_ONLY = ["lda", "qda", "svm"]
-REGRESSORS = ["dt", "rf", "xgboost", "dnn"]
-MAX_CLASSES = 1_000
+CLASSIFIERS_ONLY = ["lda", "qda", "svm", "dnn"]
+REGRESSORS = ["dt", "rf", "xgboost", "linear"]
 
 
 def to_vectors(samples: DataFrame, output: int = 0) -> DataFrame:
@@ -82,26 +80,21 @@ class Discriminant:
 
 
 def fit_discriminant(samples: DataFrame, quadratic: bool) -> Discriminant:
-    """Class counts in one aggregate, then one distributed covariance per class.
+    """Counts and means of all classes in one scan, products about the means in a second.
 
-    Only moments reach the driver: features squared per class, whatever the rows.
+    Only moments reach the driver. The quadratic kind holds features squared numbers per class there and
+    in every task, so its classes are bounded by memory; the linear kind holds one such matrix for all.
     """
-    df = to_vectors(samples).select("features", "label").persist()
+    df = to_vectors(samples).select("features", "label")
     moments = df.groupBy("label").agg(F.count("*").alias("count"), Summarizer.mean(F.col("features")).alias("mean"))
-    counts = moments.orderBy("label").limit(MAX_CLASSES + 1).collect()
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    counts = moments.orderBy("label").collect()
     total = sum(r["count"] for r in counts)
-    means, covariances = [r["mean"].toArray() for r in counts], []
-    for r in counts:
-        rows = df.where(F.col("label") == r.label).select("features")
-        matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "features"))
-        covariances.append(matrix.computeCovariance().toArray() if r["count"] > 1 else np.zeros((len(means[0]),) * 2))
-    df.unpersist()
-    if not quadratic:
-        weights = [r["count"] - 1 for r in counts]
-        pooled = sum(w * c for w, c in zip(weights, covariances)) / max(total - len(counts), 1)
-        covariances = [pooled] * len(counts)
+    means = [r["mean"].toArray() for r in counts]
+    products = _centred_products(df, [r.label for r in counts], means, quadratic)
+    if quadratic:
+        covariances = [p / max(r["count"] - 1, 1) for p, r in zip(products, counts)]
+    else:
+        covariances = [products[0] / max(total - len(counts), 1)] * len(counts)
     spectra = [np.linalg.eigvalsh(c) for c in covariances]
     floors = [s.max() * 1e-10 if s.size else 0.0 for s in spectra]
     return Discriminant(
@@ -113,6 +106,44 @@ def fit_discriminant(samples: DataFrame, quadratic: bool) -> Discriminant:
     )
 
 
+def _centred_products(df: DataFrame, labels: list, means: list[np.ndarray], by_class: bool) -> list[np.ndarray]:
+    """Sums of products of the features about their class means, per class or over all: one scan."""
+    place, centre = {label: i for i, label in enumerate(labels)}, np.array(means)
+    size = centre.shape[1]
+
+    def partial(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            at = np.array([place[v] for v in batch.column(1).to_pylist()])
+            x = x - centre[at]
+            for i in np.unique(at).tolist() if by_class else [0]:
+                part = x[at == i] if by_class else x
+                sums[i] = sums.get(i, 0.0) + part.T @ part
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int64()), pa.array([m.ravel() for m in sums.values()], pa.list_(pa.float64()))],
+                names=["i", "products"],
+            )
+
+    def total(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[i] = sums.get(i, 0.0) + row.values.to_numpy()
+        if sums:
+            columns = [pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["i", "products"])
+
+    flat = df.select(vector_to_array("features").alias("x"), "label")
+    schema = "i long, products array<double>"
+    rows = flat.mapInArrow(partial, schema).repartition("i").mapInArrow(total, schema).collect()
+    found = {r.i: np.array(r.products).reshape(size, size) for r in rows}
+    return [found.get(i, np.zeros((size, size))) for i in range(len(labels) if by_class else 1)]
+
+
 def _estimator(method, classification, n_classes, n_inputs, params, validation):
     seed = {"seed": SEED}
     if method == "dt":
@@ -128,7 +159,7 @@ def _estimator(method, classification, n_classes, n_inputs, params, validation):
     if method == "svm":
         machine = LinearSVC(**params)
         return OneVsRest(classifier=machine) if n_classes > 2 else machine
-    if method == "dnn" and classification:
+    if method == "dnn":
         layers = [n_inputs, *params.pop("layers", [16, 16]), n_classes]
         return MultilayerPerceptronClassifier(layers=layers, **seed, **params)
     return LinearRegression(**params)
@@ -147,10 +178,10 @@ def train(
 ) -> Transformer | Discriminant:
     """Fit one output of the train windows.
 
-    ``dt``, ``rf`` and ``xgboost`` are tree models, ``dnn`` a multilayer perceptron for classes and,
-    as its stand-in for values, a linear model. ``svm``, ``lda`` and ``qda`` need classes, given as
+    ``dt``, ``rf`` and ``xgboost`` are tree models, ``linear`` a linear model of values, ``dnn`` a
+    multilayer perceptron, for classes only. ``svm``, ``lda`` and ``qda`` need classes, given as
     codes from 0. ``n_epochs`` is the number of rounds or iterations; with early stopping
-    ``xgboost`` is allowed at least ten rounds and watches the last quarter of the samples (with more
+    ``xgboost`` is allowed ten rounds more and watches the last quarter of the samples (with more
     than two classes it is fitted one against the rest, for all rounds).
     The estimators keep their own packed copy of the data, so the windows stay lazy here.
     """
@@ -159,6 +190,8 @@ def train(
         raise NotImplementedError(f"learning method {learning_method}; known are {known}")
     if learning_method in CLASSIFIERS_ONLY and not classification:
         raise ValueError(f"{learning_method} needs a classification target")
+    if learning_method == "linear" and classification:
+        raise ValueError("linear is for values")
     if "part" in samples.columns:
         samples = samples.where(F.col("part") == "train")
     if learning_method in ("lda", "qda"):
@@ -167,7 +200,7 @@ def train(
     if stops:
         samples = validation_tail(samples, VALIDATION_SHARE, series, order)
     if n_epochs and learning_method not in ("dt", "rf"):
-        params["maxIter"] = max(n_epochs, FIRST_EPOCHS) if stops else n_epochs
+        params["maxIter"] = FIRST_EPOCHS + n_epochs if stops else n_epochs
     data = to_vectors(samples, output)
     kept = ["features", "label", *(["validation"] if stops else [])]
     data = data.select(*kept)

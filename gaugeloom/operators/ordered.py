@@ -64,6 +64,14 @@ def positions(
     return running_total(df, series, order, max_rows=max_rows)
 
 
+def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys, where null equals null; keys first, then the columns of a, then of b."""
+    other = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    match = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    rest = [c for c in a.columns if c not in keys]
+    return a.join(other, match).select(*keys, *rest, *[c for c in b.columns if c not in keys])
+
+
 def forget_positions(df: DataFrame) -> DataFrame:
     """Drop positions, which do not hold any more once single rows are gone."""
     return df.drop("idx", "n_rows", "part_idx") if {"idx", "n_rows"} <= set(df.columns) else df

@@ -1,7 +1,7 @@
 """Profile tables: statistics per variable, value counts, histograms, warnings.
 
 Scalars of all columns come from one aggregate. Value counts are the base of distinct counts,
-frequencies, extremes and uniformity, so each value is shuffled once, after a map-side count.
+frequencies, extremes and uniformity; values are shuffled after a map-side count only.
 """
 
 from __future__ import annotations
@@ -68,11 +68,28 @@ def per_variable(df: DataFrame, cols: Sequence[str], make: Callable[[str], list[
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Non-null values with their counts: variable, value, n. Columns must share one type family."""
-    numeric = set(numeric_columns(df.select(*cols)))
+    """Non-null values with their counts: variable, value, n. Columns must share one type family.
+
+    Values are told apart in their own type. ``value`` is a bigint if all columns are integers, else a
+    double; two integers or decimals that a double cannot tell apart are two rows.
+    """
+    picked = df.select(*cols)
+    numeric = set(numeric_columns(picked))
     if numeric and numeric != set(cols):
         raise ValueError("count numeric and text columns apart")
-    picked = numeric_view(df, cols) if numeric else df.select(*[F.col(c).cast("string") for c in cols])
+    exact = [c for c in numeric if not isinstance(picked.schema[c].dataType, (T.FloatType, T.DoubleType))]
+    if numeric and all(isinstance(picked.schema[c].dataType, T.IntegralType) for c in cols):
+        picked = df.select(*[F.col(c).cast("bigint").alias(c) for c in cols])
+    elif exact:
+        cells = [
+            F.struct(F.lit(c).alias("variable"), as_value(c).alias("value"), own.cast("string").alias("exact"))
+            for c in cols
+            for own in [F.col(c) if c in exact else F.lit(None)]
+        ]
+        long = df.select(F.explode(F.array(*cells)).alias("s")).select("s.*").where(F.col("value").isNotNull())
+        return long.groupBy("variable", "value", "exact").agg(F.count("*").alias("n")).drop("exact")
+    else:
+        picked = numeric_view(df, cols) if numeric else df.select(*[F.col(c).cast("string") for c in cols])
     long = picked.unpivot([], [F.col(c) for c in cols], "variable", "value")
     return long.where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.count("*").alias("n"))
 
@@ -85,7 +102,8 @@ def count_stats(df: DataFrame, cols: Sequence[str], approximate: bool = False) -
     """
     numeric = numeric_columns(df.select(*cols))
     other = [c for c in cols if c not in numeric]
-    values = [as_value(c).alias(c) if c in numeric else F.col(c).cast("string").alias(c) for c in cols]
+    floats = [c for c in numeric if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]
+    values = [as_value(c).alias(c) if c in floats else F.col(c) if c in numeric else F.col(c).cast("string").alias(c) for c in cols]
     picked = df.select(*values)
 
     def scalars(c):
@@ -321,17 +339,46 @@ def uniform_p_values(
     return {v: Statistics.chiSqTest(Vectors.dense(ns)).pValue for v, ns in by_variable.items()}
 
 
-def category_p_values(counts: DataFrame, most: int = CARDINALITY_THRESHOLD) -> dict[str, float]:
-    """p-values of the χ² test of value counts, for variables of at most ``most`` values."""
-    ranked = frequencies(counts, most + 1).select("variable", "n").collect()
-    by_variable: dict[str, list[int]] = {}
-    for r in ranked:
-        by_variable.setdefault(r.variable, []).append(r.n)
-    return {
-        v: Statistics.chiSqTest(Vectors.dense(ns)).pValue
-        for v, ns in by_variable.items()
-        if 1 < len(ns) <= most
-    }
+def chi_square_tail(statistic: float, freedom: int) -> float:
+    """Chance of a χ² value above ``statistic``: the upper incomplete gamma function of half of both.
+
+    The series or the continued fraction, whichever converges; a normal approximation of the cube root
+    for very many degrees of freedom, where it is exact to more digits than a threshold needs.
+    """
+    if statistic <= 0:
+        return 1.0
+    if freedom > 100_000:
+        spread = 2 / (9 * freedom)
+        z = ((statistic / freedom) ** (1 / 3) - 1 + spread) / math.sqrt(spread)
+        return 0.5 * math.erfc(z / math.sqrt(2))
+    a, x = freedom / 2, statistic / 2
+    front = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:
+        term = total = 1 / a
+        k = a
+        while term > total * 1e-16:
+            k += 1
+            term *= x / k
+            total += term
+        return max(0.0, 1 - front * total)
+    below, k = x + 1 - a, 0
+    c, d = math.inf, 1 / below
+    total = d
+    while True:
+        k += 1
+        step = -k * (k - a)
+        below += 2
+        d = 1 / (step * d + below)
+        c = below + step / c
+        total *= c * d
+        if abs(c * d - 1) < 1e-15:
+            return front * total
+
+
+def category_p_values(counts: DataFrame) -> dict[str, float]:
+    """p-values of the χ² test of value counts against equal counts, for any number of values."""
+    found = uniformity(counts).where(F.col("cells") > 1).collect()
+    return {r.variable: chi_square_tail(r.statistic, r.cells - 1) for r in found}
 
 
 def text_lengths(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -498,7 +545,10 @@ def profile(
     picked = df.select(*cols)
     numeric, text = numeric_columns(picked), text_columns(picked)
     variables = variable_table(picked, approximate=approximate, detail=detail)
-    pairs = kept(correlation_table(numeric_view(picked, numeric), numeric, correlation_metric))
+    related = numeric_view(picked, numeric)
+    if correlation_metric == "cramers":  # of categories, whatever their type
+        related = picked.select(*[F.col(c).cast("string").alias(c) for c in numeric + text])
+    pairs = kept(correlation_table(related, related.columns, correlation_metric))
     if not detail:
         return variables, pairs, kept(messages(variables, pairs))
     uniform: dict[str, float] = {}

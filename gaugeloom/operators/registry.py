@@ -85,7 +85,9 @@ def list_sensors(spark: SparkSession, path: str) -> DataFrame:
     """All sensors, newest first; none if there is no registry yet."""
     try:
         table = spark.read.schema(REGISTRY_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         table = spark.createDataFrame([], REGISTRY_SCHEMA)
     return newest_first(table)
 
@@ -119,7 +121,8 @@ def check_assets(registry: DataFrame) -> DataFrame:
 
 def require_assets(registry: DataFrame) -> DataFrame:
     """The registry itself, or an error naming what is missing."""
-    missing = check_assets(registry).where(~F.col("present")).limit(20).collect()
-    if missing:
-        raise FileNotFoundError(f"assets missing: {[(r.id, r.asset) for r in missing]}")
+    missing = check_assets(registry).where(~F.col("present")).groupBy("id")
+    first = missing.agg(F.sort_array(F.collect_list("asset")).alias("assets")).orderBy("id").first()
+    if first:
+        raise FileNotFoundError(f"sensor {first.id} lacks {', '.join(first.assets)}")
     return registry

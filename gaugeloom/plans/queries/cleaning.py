@@ -119,6 +119,18 @@ def constant_columns(spark, folder):
     return clean.constant_columns(profiling.count_stats(lines(spark, folder), LINE_COLUMNS))
 
 
+LARGE = "9007199254740992 + (l_orderkey % 2)"
+LARGE_SQL = f"""SELECT 'large' AS variable, count(DISTINCT {LARGE}) AS n_distinct FROM lineitem
+UNION ALL SELECT 'fixed', 1"""
+
+
+@query("C1_P2_large_integers", LARGE_SQL)
+def large_integers(spark, folder):
+    """Integers that are equal as doubles are told apart."""
+    rows = lines(spark, folder).select(F.expr(LARGE.replace("9007199254740992", "9007199254740992L")).alias("large"), F.lit(5).alias("fixed"))
+    return profiling.count_stats(rows, ["large", "fixed"]).select("variable", "n_distinct")
+
+
 ZEROS = per_column(LINE_COLUMNS, "avg(CASE WHEN {c} = 0 THEN 1.0 ELSE 0.0 END) AS p_zeros", LINES)
 
 

@@ -71,7 +71,7 @@ query("M4_boosting")(_fit("xgboost", False, n_epochs=10))
 query("M4_boosting_classes")(_fit("xgboost", True, n_epochs=5))
 query("M5_support_vector")(_fit("svm", True, n_epochs=10))
 query("M6_dense_network")(_fit("dnn", True, n_epochs=20))
-query("M6_linear_stand_in")(_fit("dnn", False, n_epochs=10))
+query("M6_linear_stand_in")(_fit("linear", False, n_epochs=10))
 
 
 def _embedding_samples(spark, folder):
@@ -172,7 +172,7 @@ LINE_PARAMS = {
     "split": {"train_split": 0.5, "calibrate_split": 0.2},
     "scale": {"input": "standard", "output": "minmax"},
     "sequentialize": {"window_size": 1},
-    "train": {"learning_method": "dnn", "early_stopping": False},
+    "train": {"learning_method": "linear", "early_stopping": False},
 }
 LINE_FIT = f"""WITH p AS (SELECT * FROM {event_parts(0.5, 0.2)}),
 s AS (SELECT avg(k) AS mk, stddev_pop(k) AS sk, min(value) AS lo, max(value) - min(value) AS w FROM p WHERE part = 'train'),

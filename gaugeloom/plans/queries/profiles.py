@@ -378,19 +378,34 @@ def variable_table(spark, folder):
 CORR_MAX = " UNION ALL ".join(
     f"SELECT '{a}' AS variable, abs(corr({a}, {b})) AS r FROM {LINES}" for a in LINE_NUMBERS for b in LINE_NUMBERS if a != b
 )
-# Of the report's warnings on these columns; uniformity and repeated rows have tests of their own.
+COPIES_SQL = f"""SELECT sum(n - 1) AS n FROM (SELECT count(*) AS n FROM (SELECT {', '.join(COUNTED)} FROM {LINES}) GROUP BY {', '.join(COUNTED)})"""
+# Uniformity needs the tail of a distribution and has tests and a query of its own.
 MESSAGES_SQL = f"""SELECT 'CONSTANT' AS kind, variable FROM ({COUNTS_SQL}) WHERE n_distinct = 1
 UNION ALL SELECT 'MISSING', variable FROM ({COUNTS_SQL}) WHERE p_missing > 0.01
 UNION ALL SELECT 'UNIQUE', variable FROM ({COUNTS_SQL}) WHERE n_unique = n
 UNION ALL SELECT 'ZEROS', variable FROM ({per_column(LINE_COLUMNS, "avg(CASE WHEN {c} = 0 THEN 1.0 ELSE 0.0 END) AS p", LINES)}) WHERE p > 0.01
 UNION ALL SELECT 'SKEWED', variable FROM ({STATS_SQL}) WHERE abs(skewness) > 20
-UNION ALL SELECT 'HIGH_CORRELATION', variable FROM ({CORR_MAX}) GROUP BY variable HAVING max(r) >= 0.9"""
+UNION ALL SELECT 'HIGH_CORRELATION', variable FROM ({CORR_MAX}) GROUP BY variable HAVING max(r) >= 0.9
+UNION ALL SELECT 'DUPLICATES', NULL FROM ({COPIES_SQL}) WHERE n > 0"""
 
 
 @query("P8_messages", MESSAGES_SQL)
 def messages(spark, folder):
     _, _, found = profiling.profile(lines(spark, folder), COUNTED)
-    return found.where(~F.col("kind").isin("UNIFORM", "DUPLICATES")).select("kind", "variable")
+    return found.where(F.col("kind") != "UNIFORM").select("kind", "variable")
+
+
+@query(
+    "P8_P13_uniform_texts",
+    "SELECT 'UNIFORM' AS kind, 'many' AS variable, count(DISTINCT l_orderkey) AS n_values FROM lineitem",
+)
+def uniform_texts(spark, folder):
+    """A text of as many values as there are orders, each met once, and one that is far from uniform."""
+    orders = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.min("l_returnflag").alias("flag"))
+    rows = orders.select(F.col("l_orderkey").cast("string").alias("many"), F.when(F.col("flag") < "R", "a").otherwise("b").alias("few"))
+    variables, _, found = profiling.profile(rows)
+    found = found.where(F.col("kind") == "UNIFORM").join(variables.select("variable", "n_distinct"), "variable")
+    return found.select("kind", "variable", F.col("n_distinct").alias("n_values"))
 
 
 @query("P20_rejected", f"SELECT DISTINCT variable FROM ({MESSAGES_SQL}) WHERE kind IN ('CONSTANT', 'HIGH_CORRELATION')")

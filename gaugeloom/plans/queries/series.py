@@ -406,6 +406,26 @@ def bounded_prefixes(spark, folder):
     return _prefix(spark, folder, 25)
 
 
+SPARSE_CENTS = "CASE WHEN l_linenumber > 2 THEN round(price * 100) END"
+SPARSE_SERIES = "nullif(l_suppkey, 1)"
+
+
+@query(
+    "W18_prefix_windows_nulls",
+    f"""SELECT series, idx, count(*) OVER w AS rows, sum(cents) OVER w AS sum, min(cents) OVER w AS minimum,
+  max(cents) OVER w AS maximum, avg(cents) OVER w AS mean
+FROM (SELECT *, {SPARSE_SERIES} AS series, {SPARSE_CENTS} AS cents FROM {LINE_ROWS})
+WINDOW w AS (PARTITION BY series ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def prefixes_with_nulls(spark, folder):
+    """Null values, blocks that begin with them, and a series without a name."""
+    df = lines(spark, folder).select(
+        F.expr(SPARSE_SERIES).alias("series"), F.expr(SPARSE_CENTS).alias("cents"), *[c for c in LINE_ORDER]
+    )
+    df = features.prefix_windows(df, "cents", ["series"], LINE_ORDER, block_rows=4)
+    return df.select("series", "idx", "rows", "sum", "minimum", "maximum", "mean")
+
+
 @query(
     "U2_combine_parts",
     f"SELECT user_id, idx, k AS last, value AS y FROM {PARTS} WHERE part = 'test' AND part_idx >= 2",

@@ -60,6 +60,36 @@ def csv_all_columns(spark, folder):
     return df.select(F.col("event_id").cast("long"), F.col("user_id").cast("long"), "value", F.col("k"))
 
 
+def _reordered_csv(spark, folder):
+    """Files of three headers: other orders of the columns, one without the price."""
+    path = new_table_path(spark, "lines-csv")
+    headers = [
+        ["l_linenumber", "l_orderkey", "l_quantity", "l_extendedprice"],
+        ["l_linenumber", "l_extendedprice", "l_orderkey", "l_quantity"],
+        ["l_linenumber", "l_quantity", "l_orderkey"],
+    ]
+    for n, names in enumerate(headers):
+        rows = table(spark, folder, "lineitem").where(F.col("l_orderkey") % 3 == n).select(names)
+        rows.write.mode("append").option("header", True).csv(path)
+    return path
+
+
+REORDERED_SQL = """SELECT l_orderkey::BIGINT AS l_orderkey, l_quantity::DOUBLE AS l_quantity,
+  CASE WHEN l_orderkey % 3 < 2 THEN l_extendedprice::DOUBLE END AS l_extendedprice FROM lineitem"""
+
+
+@query("S1_csv_by_name", REORDERED_SQL)
+def csv_by_name(spark, folder):
+    schema = "l_orderkey long, l_quantity double, l_extendedprice double"
+    return io.read_series(spark, _reordered_csv(spark, folder), "csv", schema)
+
+
+@query("S2_S3_csv_by_name_inferred", REORDERED_SQL)
+def csv_by_name_inferred(spark, folder):
+    df = io.read_series(spark, _reordered_csv(spark, folder), "csv", drop_index=True)
+    return df.select(F.col("l_orderkey").cast("long"), F.col("l_quantity").cast("double"), "l_extendedprice")
+
+
 @query("S4_drop_monotonic_first", f"SELECT ts, user_id, value FROM {EVENTS}")
 def monotonic_first(spark, folder):
     df = events(spark, folder).select("event_id", "ts", "user_id", "value")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -56,11 +57,11 @@ def rejected_columns(
 ) -> tuple[list[str], Profile]:
     """Columns the profile rules reject, and the profile they were read from.
 
-    Unless a profile is given, only what the rules read is computed.
+    The whole exact report is computed unless a profile is given, which may be one of less detail.
     """
     cols = [c for c in df.columns if c not in keep]
     settings = params["clean"]
-    tables = profile or profiling.profile(df, cols, settings["correlation_metric"], True, False)
+    tables = profile or profiling.profile(df, cols, settings["correlation_metric"])
     gone = clean.removable_columns(
         tables[0],
         tables[1],
@@ -96,9 +97,7 @@ def prepare(
     outputs = [target]
     if settings["classification"]:
         codes = encode.fit_label_encoder(rows, target)
-        classes = [r[0] for r in codes.orderBy("code").limit(models.MAX_CLASSES + 1).collect()]
-        if len(classes) > models.MAX_CLASSES:
-            raise ValueError(f"{target} has more than {models.MAX_CLASSES} classes")
+        classes = [r[0] for r in codes.orderBy("code").collect()]
         if settings["onehot_encode_target"]:
             rows, outputs = encode.onehot_encode(rows, target)
         else:
@@ -143,13 +142,18 @@ def _featurize(rows, params, keys, outputs, series, order):
     settings = params["featurize"]
     numeric = clean.select_numeric(rows).columns
     wanted = settings["features"] or [c for c in rows.columns if c not in keys]
+    absent = [c for c in wanted if c not in rows.columns]
+    if absent:
+        warnings.warn(f"features that the cleaned rows lack: {', '.join(absent)}", stacklevel=3)
     base = [c for c in wanted if c in numeric and c not in outputs]
     rows, inputs = _with_rolling(rows, base, settings, series, order)
     inputs = [c for c in inputs if c not in settings["remove_features"]]
     minimum = settings["target_min_correlation_threshold"]
-    if minimum > 0:
-        kept = features.select_by_target_corr(rows.select(*inputs, outputs[0]), outputs[0], minimum)
-        inputs = [c for c in inputs if c in kept.columns]
+    if minimum > 0:  # of one-hot classes any one may be what an input tells
+        kept = {
+            c for y in outputs for c in features.select_by_target_corr(rows.select(*inputs, y), y, minimum).columns
+        }
+        inputs = [c for c in inputs if c in kept]
     extra = [c for c in ("idx", "n_rows") if c in rows.columns]
     return rows.select(*dict.fromkeys([*keys, *outputs, *inputs, *extra])), base, inputs
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,23 +24,85 @@ def read_series(
     """All files of one format in a folder as one frame, united by column name.
 
     ``dataset`` picks a sub-folder, ``drop_index`` drops the first column, ``file_column`` adds the
-    name of the file each row came from. Give a schema for large CSV folders: inferring it costs a
-    scan of its own.
+    name of the file each row came from. CSV files are matched by their own header lines, which costs
+    a scan for those lines; without a schema another scan finds the types. Columns that a file lacks
+    are null; with a schema, columns that it lacks are left out.
     """
     folder = f"{path}/{dataset}" if dataset else path
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    if fmt == "csv":
+        return _read_csv(spark, folder, schema, drop_index, file_column)
     reader = spark.read.option("pathGlobFilter", f"*.{fmt}")
     if schema is not None:
         reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
-    elif fmt == "parquet" and schema is None:
+    elif fmt == "parquet":
         reader = reader.option("mergeSchema", True)
     df = reader.format(fmt).load(folder)
     if drop_index:
         df = df.drop(df.columns[0])
-    if file_column:
-        df = df.withColumn(file_column, base_name(F.col("_metadata.file_path")))
-    return df
+    return _with_file(df, file_column)
+
+
+def _with_file(df: DataFrame, file_column: str | None) -> DataFrame:
+    return df.withColumn(file_column, base_name(F.col("_metadata.file_path"))) if file_column else df
+
+
+def _files_by_header(spark: SparkSession, folder: str) -> list[list[str]]:
+    """Paths of the CSV files of a folder, those of one header line together, in order of their names."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    lines = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id())
+    heads = lines.groupBy("path").agg(F.min_by("value", "n").alias("head"))
+    found = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return sorted([unquote(p) for p in row.paths] for row in found.collect())
+
+
+def _read_csv(spark, folder, schema, drop_index, file_column):
+    frames, wanted = [], schema
+    if wanted is not None and drop_index:
+        wanted = T.StructType(wanted.fields[1:])
+    for paths in _files_by_header(spark, folder):
+        reader = spark.read.option("header", True).option("basePath", folder)
+        names = reader.csv(paths[:1]).columns
+        types = {f.name.lower(): f.dataType for f in wanted or ()}
+        fields = [T.StructField(c, types.get(c.lower(), T.StringType())) for c in names]
+        df = _with_file(reader.schema(T.StructType(fields)).csv(paths), file_column)
+        own = names[1:] if drop_index else names
+        if wanted is not None:
+            present = {c.lower() for c in own}
+            cells = [F.col(f"`{f.name}`") if f.name.lower() in present else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted]
+        else:
+            cells = [F.col(f"`{c}`") for c in own]
+        frames.append(df.select(*cells, *([file_column] if file_column else [])))
+    if not frames:
+        return spark.createDataFrame([], schema or T.StructType())
+    united = union_by_name(frames)
+    if schema is None:
+        united = _typed(united, [c for c in united.columns if c != file_column])
+    return united
+
+
+# Types a text column may turn out to hold, the first that takes all its values.
+_TYPES = ("int", "bigint", "double", "boolean", "timestamp")
+
+
+def _typed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns cast to the narrowest type that takes all their values: one scan for all columns."""
+    if not columns:
+        return df
+    fits = [
+        F.count(F.when(F.col(f"`{c}`").isNotNull() & F.expr(f"try_cast(`{c}` AS {kind})").isNull(), 1)).alias(f"{i}_{kind}")
+        for i, c in enumerate(columns)
+        for kind in _TYPES
+    ]
+    misfits = df.agg(*fits).first()
+    casts = {}
+    for i, c in enumerate(columns):
+        kind = next((k for k in _TYPES if not misfits[f"{i}_{k}"]), None)
+        if kind:
+            casts[c] = F.col(f"`{c}`").cast(kind)
+    return df.select(*[casts[c].alias(c) if c in casts else F.col(f"`{c}`") for c in df.columns])
 
 
 def read_clean(spark: SparkSession, path: str, delete_columns: Sequence[str] = (), **options) -> DataFrame:

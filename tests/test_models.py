@@ -83,7 +83,7 @@ def test_regression_sensor_saved_and_loaded(spark, tmp_path):
         "scale": {"input": "standard", "output": "minmax"},
         "sequentialize": {"window_size": 5},
         "featurize": {"add_rolling_features": True, "rolling_window_size": 3, "remove_features": ["noise"]},
-        "train": {"learning_method": "dnn", "n_epochs": 50, "early_stopping": False},
+        "train": {"learning_method": "linear", "n_epochs": 50, "early_stopping": False},
     }
     df = milling(spark)
     made, scores = plans.create_sensor(df, params, ["s"], ["t"])

@@ -322,3 +322,48 @@ def test_profile_kinds_and_messages(spark):
 def test_approximate_counts(spark):
     row = profiling.count_stats(series(spark, 50), ["x"], approximate=True).first()
     assert row.n_unique is None and abs(row.n_distinct - 50) <= 5
+
+
+def test_chi_square_tail_is_that_of_the_library():
+    from pyspark.mllib.linalg import Vectors
+    from pyspark.mllib.stat import Statistics
+
+    for counts in ([5, 7], [1] * 60, [3, 9, 1, 22, 8], list(range(1, 300)), [1000] * 40 + [1100]):
+        mean = sum(counts) / len(counts)
+        statistic = sum((n - mean) ** 2 / mean for n in counts)
+        want = Statistics.chiSqTest(Vectors.dense(counts)).pValue
+        assert abs(profiling.chi_square_tail(statistic, len(counts) - 1) - want) < 1e-9
+    assert abs(profiling.chi_square_tail(100_300.0, 100_000) - profiling.chi_square_tail(100_301.0, 100_001)) < 1e-4
+    assert profiling.chi_square_tail(0.0, 10**9) == 1.0
+
+
+def test_large_integers_stay_apart(spark):
+    df = spark.createDataFrame([(2**53, 1.0), (2**53 + 1, 1.0), (2**53 + 1, 2.0)], "id long, x double")
+    counts = {r.variable: (r.n_distinct, r.n_unique) for r in profiling.count_stats(df, ["id", "x"]).collect()}
+    assert counts == {"id": (2, 1), "x": (2, 1)}
+    assert clean.constant_columns(profiling.count_stats(df, ["id", "x"])).count() == 0
+    exact = df.selectExpr("id", "cast(id as decimal(30,2)) + 0.01 as d")
+    assert {r.variable: r.n_distinct for r in profiling.count_stats(exact, ["id", "d"]).collect()} == {"id": 2, "d": 2}
+    assert sorted(r.n for r in profiling.value_counts(df, ["id", "x"]).collect()) == [1, 1, 2, 2]
+
+
+def test_cramers_sees_text_columns(spark):
+    df = spark.createDataFrame([("a", "a", 1), ("b", "b", 1), ("a", "a", 2), ("b", "b", 2)] * 5, "p string, q string, k int")
+    _, pairs, _ = profiling.profile(df, correlation_metric="cramers")
+    found = {(r.variable, r.other): r.r for r in pairs.collect()}
+    assert found["p", "q"] > 0.8 and abs(found["p", "k"]) < 0.1
+
+
+def test_label_encoder_on_null_and_unknown_classes(spark):
+    codes = encode.fit_label_encoder(spark.createDataFrame([("a",), ("b",)], "t string"), "t")
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "t string, n int")
+    assert sorted((r.n, r.t) for r in encode.apply_label_encoder(df, codes, "t").collect()) == [(1, 0), (2, None), (3, 1)]
+    with pytest.raises(Exception, match="class without a code: z"):
+        encode.apply_label_encoder(df.unionByName(spark.createDataFrame([("z", 4)], df.schema)), codes, "t").collect()
+
+
+def test_null_series_are_joined(spark):
+    a = spark.createDataFrame([(None, 0, 1.0), ("s", 0, 2.0)], "s string, idx int, x double")
+    b = spark.createDataFrame([(None, 0, 3.0), ("s", 0, 4.0)], "s string, idx int, y double")
+    rows = evaluate.join_by_position(a, b, ["s"]).collect()
+    assert sorted((str(r.s), r.x, r.y) for r in rows) == [("None", 1.0, 3.0), ("s", 2.0, 4.0)]

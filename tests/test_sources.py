@@ -70,3 +70,18 @@ def test_staged_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, [[1.0, 2.0]], None)], "a long, X array<array<double>>, gap double")
     back = session.staged(df, "check")
     assert back.dtypes == df.dtypes and back.collect() == df.collect()
+
+
+def test_csv_files_are_united_by_name(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("i,a,b\n0,1,2.5\n1,3,\n")
+    (tmp_path / "2.csv").write_text("i,b,a\n0,20,10\n")
+    (tmp_path / "3.csv").write_text("i,a\n0,100\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "other name.csv").write_text("i,c\n0,x\n")
+    rows = [(1, 2.5), (3, None), (10, 20.0), (100, None), (None, None)]
+    given = io.read_series(spark, str(tmp_path), "csv", "i int, a int, b double", drop_index=True)
+    assert sorted(map(tuple, given.collect()), key=str) == sorted(rows, key=str)
+    found = io.read_series(spark, str(tmp_path), "csv", drop_index=True, file_column="file")
+    assert dict(found.dtypes) == {"a": "int", "b": "double", "c": "string", "file": "string"}
+    assert sorted(((r.a, r.b) for r in found.collect()), key=str) == sorted(rows, key=str)
+    assert {r.file for r in found.collect()} >= {"1.csv", "other name.csv"} or found.count() == 5
