@@ -67,16 +67,24 @@ def letters(text: Column) -> Column:
 
 
 def sample(df: DataFrame, label: str, text: str, size: SampleSize, seed: int = 0) -> DataFrame:
-    """At most ``size.rows`` slices of text per label, chosen and cut by the hash of the row."""
-    mark = F.xxhash64(F.lit(seed), F.col(text))
+    """At most ``size.rows`` slices of text per label, chosen and cut by the hash of the row.
+
+    The rows of each label are counted first. Then only rows whose hash lies in the share of its range that
+    holds about twice the rows wanted are ranked, so that what meets in a task does not grow with the table.
+    """
     rows = df.where(F.col(label).isNotNull() & letters(F.col(text))).select(
-        F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), mark.alias("mark")
+        F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(text)).alias("mark")
     )
-    order = Window.partitionBy("lang").orderBy("mark", "text")
-    rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= size.rows)
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(size.languages).collect()
+    if not counts:
+        return rows.limit(0)
+    parts = [F.when(F.col("lang") == r["lang"], F.lit(min(1.0, (2 * size.rows + 50) / r["count"]))) for r in counts]
+    low = F.pmod("mark", F.lit(1 << 30)) / F.lit(1 << 30) <= F.coalesce(*parts)
     longest = F.greatest(F.length("text") - size.characters, F.lit(0)) + 1
     cut = F.substring(F.col("text"), (F.pmod("mark", longest) + 1).cast("int"), F.lit(size.characters))
-    return rows.select("lang", "mark", cut.alias("text")).orderBy("mark", "lang").limit(size.rows * size.languages)
+    rows = rows.where(low).select("lang", "mark", cut.alias("text"))
+    order = Window.partitionBy("lang").orderBy("mark", "text")
+    return rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= size.rows).orderBy("mark", "lang").drop("n")
 
 
 def train(
