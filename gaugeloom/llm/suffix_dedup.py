@@ -39,8 +39,9 @@ LOT = 6_000_000
 HOT = 10_000
 
 
-def _digest(data) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+def _digest(data) -> int:
+    """64 bits; with the hash of the anchor they name a fragment or a window."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big", signed=True)
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -75,7 +76,7 @@ def anchors_of(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _narrow(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return df.select(F.col(doc_id).cast("string").alias("id"), F.xxhash64(body).alias("mark"), body.alias("body"))
+    return df.select(F.col(doc_id).alias("id"), F.xxhash64(body).alias("mark"), body.alias("body"))
 
 
 def fragments(narrow: DataFrame, length: int) -> DataFrame:
@@ -94,17 +95,20 @@ def fragments(narrow: DataFrame, length: int) -> DataFrame:
                     n = len(first)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([batch.column(0)[i].as_py()] * n, pa.string()),
+                            pa.array([batch.column(0)[i].as_py()] * n, batch.schema.field(0).type),
                             pa.array(np.full(n, batch.column(1)[i].as_py())),
                             pa.array(hashes),
-                            pa.array(digests, pa.binary()),
+                            pa.array(digests, pa.int64()),
                             pa.array(first + begin),
                             pa.array(last - first + 1),
                         ],
                         names=["id", "mark", "hash", "digest", "s", "n"],
                     )
 
-    return narrow.mapInArrow(lambda batches: fewer(run(batches)), "id string, mark long, hash long, digest binary, s long, n long")
+    schema = T.StructType([narrow.schema["id"]])
+    for name in ("mark", "hash", "digest", "s", "n"):
+        schema.add(name, T.LongType())
+    return narrow.mapInArrow(lambda batches: fewer(run(batches)), schema)
 
 
 def _with_text(narrow: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -124,7 +128,7 @@ def _with_text(narrow: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 columns = [parts.field("hash"), parts.field("digest"), parts.field("times"), pa.array(bodies, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["hash", "digest", "times", "body"])
 
-    return rows.mapInArrow(lambda batches: fewer(run(batches)), "hash long, digest binary, times long, body binary")
+    return rows.mapInArrow(lambda batches: fewer(run(batches)), "hash long, digest long, times long, body binary")
 
 
 def _spans(flags: np.ndarray) -> list[dict]:
@@ -167,7 +171,7 @@ def _merged(texts: DataFrame, length: int, symbol: int) -> DataFrame:
                     names=["hash", "digest", "windows"],
                 )
 
-    return by_key(texts, "hash").mapInArrow(lambda batches: fewer(run(batches)), "hash long, digest binary, windows array<struct<s:long,e:long>>")
+    return by_key(texts, "hash").mapInArrow(lambda batches: fewer(run(batches)), "hash long, digest long, windows array<struct<s:long,e:long>>")
 
 
 def _by_window(texts: DataFrame, length: int) -> DataFrame:
@@ -182,15 +186,15 @@ def _by_window(texts: DataFrame, length: int) -> DataFrame:
                     [
                         *(pa.array([batch.column(k)[i].as_py()] * n, batch.schema.field(k).type) for k in range(3)),
                         pa.array(np.arange(n)),
-                        pa.array([_digest(view[p : p + length]) for p in range(n)], pa.binary()),
+                        pa.array([_digest(view[p : p + length]) for p in range(n)], pa.int64()),
                     ],
                     names=["hash", "digest", "times", "at", "window"],
                 )
 
-    rows = texts.mapInArrow(lambda batches: fewer(run(batches)), "hash long, digest binary, times long, at long, window binary")
-    several = rows.groupBy("window").agg(F.sum("times").alias("all")).where(F.col("all") > 1).select("window")
+    rows = texts.mapInArrow(lambda batches: fewer(run(batches)), "hash long, digest long, times long, at long, window long")
+    several = rows.groupBy("hash", "window").agg(F.sum("times").alias("all")).where(F.col("all") > 1).drop("all")
     place = F.struct(F.col("at").alias("s"), F.col("at").alias("e"))
-    return rows.join(several, "window").groupBy("hash", "digest").agg(F.collect_list(place).alias("windows"))
+    return rows.join(several, ["hash", "window"]).groupBy("hash", "digest").agg(F.collect_list(place).alias("windows"))
 
 
 def repeated_spans(
@@ -222,7 +226,7 @@ def without_repeats(
 ) -> DataFrame:
     """(doc_id, n_bytes, spans, kept): maximal removed byte runs [s, e), and the bytes that stay."""
     found = repeated_spans(df, doc_id, text, length, symbol, hot).withColumnsRenamed({"id": "_id", "mark": "_mark"})
-    rows = _narrow(df, doc_id, text).withColumn("doc_id", F.col("id").cast(df.schema[doc_id].dataType))
+    rows = _narrow(df, doc_id, text).withColumn("doc_id", F.col("id"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
     rows = rows.join(found, same, "left").select("doc_id", "body", "runs")
 
