@@ -11,7 +11,7 @@ import statistics
 import time
 
 from gaugeloom.plans.queries import QUERIES
-from gaugeloom.session import local_session
+from gaugeloom.session import local_session, stages
 
 HEADLINE = [
     "flagship_scaled_windows",
@@ -48,9 +48,10 @@ HEADLINE = [
 
 
 def run(function, spark, folder) -> float:
-    start = time.perf_counter()
-    function(spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with stages(spark):
+        start = time.perf_counter()
+        function(spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:

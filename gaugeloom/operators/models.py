@@ -144,7 +144,7 @@ def _centred_products(df: DataFrame, labels: list, means: list[np.ndarray], by_c
     return [found.get(i, np.zeros((size, size))) for i in range(len(labels) if by_class else 1)]
 
 
-def _estimator(method, classification, n_classes, n_inputs, params, validation):
+def _estimator(method, classification, n_classes, n_inputs, params):
     seed = {"seed": SEED}
     if method == "dt":
         return (DecisionTreeClassifier if classification else DecisionTreeRegressor)(**seed, **params)
@@ -153,8 +153,6 @@ def _estimator(method, classification, n_classes, n_inputs, params, validation):
     if method == "xgboost":
         if classification and n_classes > 2:
             return OneVsRest(classifier=GBTClassifier(**seed, **params))
-        if validation:
-            params = {"validationIndicatorCol": "validation", **params}
         return (GBTClassifier if classification else GBTRegressor)(**seed, **params)
     if method == "svm":
         machine = LinearSVC(**params)
@@ -172,6 +170,7 @@ def train(
     output: int = 0,
     n_epochs: int | None = None,
     early_stopping: bool = False,
+    patience: int | None = None,
     series: Sequence[str] = (),
     order: Sequence[str] = ("idx",),
     **params,
@@ -181,7 +180,8 @@ def train(
     ``dt``, ``rf`` and ``xgboost`` are tree models, ``linear`` a linear model of values, ``dnn`` a
     multilayer perceptron, for classes only. ``svm``, ``lda`` and ``qda`` need classes, given as
     codes from 0. ``n_epochs`` is the number of rounds or iterations; with early stopping
-    ``xgboost`` is allowed ten rounds more and watches the last quarter of the samples (with more
+    ``xgboost`` trains ten rounds more first, watches the last quarter of the samples and ends when their
+    loss has not improved for ``patience`` rounds, or at the last round without ``patience`` (with more
     than two classes it is fitted one against the rest, for all rounds).
     The estimators keep their own packed copy of the data, so the windows stay lazy here.
     """
@@ -206,7 +206,28 @@ def train(
     data = data.select(*kept)
     n_classes = int(data.agg(F.max("label")).first()[0]) + 1 if classification else 0
     n_inputs = data.first().features.size if learning_method == "dnn" and classification else 0
-    return _estimator(learning_method, classification, n_classes, n_inputs, dict(params), stops).fit(data)
+    estimator = _estimator(learning_method, classification, n_classes, n_inputs, dict(params))
+    if not stops or n_classes > 2:
+        return estimator.fit(data)
+    model = estimator.fit(data.where("not validation"))
+    held = data.where("validation")
+    losses = model.evaluateEachIteration(held) if classification else model.evaluateEachIteration(held, "squared")
+    rounds = patient_rounds(losses, FIRST_EPOCHS, patience)
+    if rounds == len(losses):
+        return model
+    return estimator.copy({estimator.maxIter: rounds}).fit(data.where("not validation"))
+
+
+def patient_rounds(losses: Sequence[float], first: int, patience: int | None) -> int:
+    """Rounds until the loss has not improved for ``patience`` rounds, not counting the ``first`` ones."""
+    best, since = float("inf"), 0
+    for n, loss in enumerate(losses, 1):
+        if n <= first or patience is None:
+            continue
+        best, since = (loss, 0) if loss < best else (best, since + 1)
+        if since >= patience:
+            return n
+    return len(losses)
 
 
 @dataclass(frozen=True)

@@ -147,7 +147,7 @@ def _line_rows(spark, folder):
 
 @query("V1_M1_create_and_evaluate")
 def create_and_evaluate(spark, folder):
-    _, scores = sensor.create_sensor(_line_rows(spark, folder), SENSOR_PARAMS, LINE_SERIES, LINE_ORDER)
+    _, scores = sensor.create_sensor(_line_rows(spark, folder), SENSOR_PARAMS, LINE_SERIES, LINE_ORDER, by_series=False)
     return scores
 
 
@@ -156,7 +156,7 @@ def infer(spark, folder):
     """Fit, save, register, look up, load and score."""
     df = _line_rows(spark, folder)
     params = registry.merge_params(SENSOR_PARAMS)
-    made, _ = sensor.create_sensor(df, params, LINE_SERIES, LINE_ORDER)
+    made, _ = sensor.create_sensor(df, params, LINE_SERIES, LINE_ORDER, by_series=False)
     assets = sensor.save_sensor(spark, made)
     path = new_table_path(spark, "registry")
     registry.register(registry.registry_row(spark, made.params, made.metrics, assets, 1), path)
@@ -186,7 +186,7 @@ t AS (SELECT e AS border FROM e WHERE r = least(greatest(floor(0.05::DOUBLE * (n
 
 def _line_sensor(spark, folder):
     df = events(spark, folder).select("user_id", "ts", "event_id", "value", "k")
-    return df, *sensor.create_sensor(df, LINE_PARAMS, EVENT_SERIES, EVENT_ORDER)
+    return df, *sensor.create_sensor(df, LINE_PARAMS, EVENT_SERIES, EVENT_ORDER, by_series=False)
 
 
 @query(
@@ -236,5 +236,5 @@ def onehot_sensor(spark, folder):
         "train": {"learning_method": "rf", "early_stopping": False},
     }
     df = events(spark, folder).select("user_id", "ts", "event_id", "event_type", "value", "k")
-    _, scores = sensor.create_sensor(df, params, EVENT_SERIES, EVENT_ORDER)
+    _, scores = sensor.create_sensor(df, params, EVENT_SERIES, EVENT_ORDER, by_series=False)
     return scores

@@ -16,7 +16,7 @@ from gaugeloom.operators.scale import Scaler, apply_scaler, invert_scaler, scale
 from gaugeloom.operators.split import split_rows, split_series
 from gaugeloom.operators.windows import shuffle_samples, windows, x_windows
 from gaugeloom.session import new_table_path, staged
-from gaugeloom.sources.tables import write_profile
+from gaugeloom.sources.tables import write_metrics, write_profile, write_table
 
 
 # Variables, correlations and messages.
@@ -78,11 +78,14 @@ def prepare(
     params: dict,
     series: Sequence[str],
     order: Sequence[str],
-    by_series: bool = False,
+    by_series: bool | None = None,
     profile: Profile | None = None,
 ) -> Prepared:
     """Profile, clean, featurize, split, scale and cut into windows.
 
+    Several series are split into whole series, a single one into runs of rows; ``by_series`` decides
+    otherwise.
+
     The split rows are written once: scalers, training and scoring all read them. A one-hot target
     makes ``y`` the class code again once its columns went through the windows. ``combine_files``
     makes one series of all of them, in their order, and that is always split by rows.
@@ -104,6 +107,8 @@ def prepare(
             rows = encode.apply_label_encoder(rows, codes, target)
     rows, base, inputs = _featurize(rows, params, keys, outputs, series, order)
     settings = params["split"]
+    if by_series is None:
+        by_series = bool(series) and len(rows.select(*series).distinct().head(2)) > 1
     if by_series and series:
         parted = split_series(
             rows, settings["train_split"], settings["calibrate_split"], series, settings["shuffle_files"]
@@ -172,7 +177,7 @@ def create_sensor(
     params: dict,
     series: Sequence[str],
     order: Sequence[str],
-    by_series: bool = False,
+    by_series: bool | None = None,
     profile: Profile | None = None,
 ) -> tuple[Sensor, DataFrame]:
     """Fit a sensor; returns it with its predictions on the test part."""
@@ -191,6 +196,7 @@ def create_sensor(
         classification=classification,
         n_epochs=settings["n_epochs"],
         early_stopping=settings["early_stopping"],
+        patience=settings["patience"],
         series=[] if params["clean"]["combine_files"] else series,
         order=["sample" if params["sequentialize"]["shuffle_samples"] else "idx"],
     )
@@ -246,8 +252,10 @@ def infer(sensor: Sensor, df: DataFrame, series: Sequence[str], order: Sequence[
     return scored.withColumn("predicted", code).drop("X")
 
 
-def save_sensor(spark: SparkSession, sensor: Sensor, path: str | None = None) -> dict[str, str]:
-    """Write every asset of a newly made sensor; returns their paths."""
+def save_sensor(
+    spark: SparkSession, sensor: Sensor, path: str | None = None, predictions: DataFrame | None = None
+) -> dict[str, str]:
+    """Write every asset of a newly made sensor, its metrics and, if given, its predictions; returns their paths."""
     base = path or new_table_path(spark, "sensor")
     assets = {name: f"{base}/{name}" for name in registry.REQUIRED_ASSETS}
     write_profile(*sensor.profile, assets["profile"])
@@ -256,6 +264,11 @@ def save_sensor(spark: SparkSession, sensor: Sensor, path: str | None = None) ->
     sensor.input_scaler.table(spark).write.parquet(assets["input_scaler"])
     sensor.output_scaler.table(spark).write.parquet(assets["output_scaler"])
     models.save_model(spark, sensor.model, assets["model"])
+    assets["metrics"] = f"{base}/metrics"
+    write_metrics(spark.createDataFrame([(k, float(v)) for k, v in sensor.metrics.items()], "name string, value double"), assets["metrics"])
+    if predictions is not None:
+        assets["predictions"] = f"{base}/predictions"
+        write_table(predictions, assets["predictions"])
     assets["kind"] = models.model_kind(sensor.model)
     assets["classes"] = json.dumps(sensor.classes)
     return assets

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the stage tables that this process has made and not deleted.
+_TABLES: list[str] = []
+
 
 def local_session(cores: int | str = "*", app: str = "gaugeloom") -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
@@ -53,4 +58,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one stage table inside the shared folder."""
-    return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    _TABLES.append(path)
+    return path
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Stage tables made inside are deleted at the end, when what was made of them is written or collected."""
+    before = len(_TABLES)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        while len(_TABLES) > before:
+            path = jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -86,7 +86,7 @@ def test_regression_sensor_saved_and_loaded(spark, tmp_path):
         "train": {"learning_method": "linear", "n_epochs": 50, "early_stopping": False},
     }
     df = milling(spark)
-    made, scores = plans.create_sensor(df, params, ["s"], ["t"])
+    made, scores = plans.create_sensor(df, params, ["s"], ["t"], by_series=False)
     assert made.metrics["r2"] > 0.8 and "noise" not in made.inputs
     assert scores.where("lower_bound > predicted OR predicted > upper_bound").count() == 0
     assets = plans.save_sensor(spark, made, str(tmp_path / "sensor"))
@@ -111,11 +111,11 @@ def test_several_target_steps(spark):
         "train": {"learning_method": "dt", "early_stopping": False},
     }
     df = milling(spark)
-    made, scores = plans.create_sensor(df, params, ["s"], ["t"])
+    made, scores = plans.create_sensor(df, params, ["s"], ["t"], by_series=False)
     assert len(scores.first().predicted) == 2 and made.metrics["r2"] > 0.8
     assert len(plans.infer(made, df.drop("position"), ["s"], ["t"]).first().predicted) == 2
     with pytest.raises(ValueError):
-        plans.create_sensor(df, params | {"split": {"calibrate_split": 0.2}}, ["s"], ["t"])
+        plans.create_sensor(df, params | {"split": {"calibrate_split": 0.2}}, ["s"], ["t"], by_series=False)
 
 
 def test_boosting_stops_early(spark):
@@ -124,10 +124,10 @@ def test_boosting_stops_early(spark):
         "clean": {"target": "noise"},
         "featurize": {"features": ["command"]},
         "sequentialize": {"window_size": 3},
-        "train": {"learning_method": "xgboost", "n_epochs": 12},
+        "train": {"learning_method": "xgboost", "n_epochs": 12, "patience": 3},
     }
-    made, _ = plans.create_sensor(df, params, ["s"], ["t"])
-    assert made.model.getNumTrees <= 12
+    made, _ = plans.create_sensor(df, params, ["s"], ["t"], by_series=False)
+    assert models.FIRST_EPOCHS + 3 <= made.model.getNumTrees < models.FIRST_EPOCHS + 12
 
 
 def test_combined_and_shuffled(spark):
@@ -138,7 +138,7 @@ def test_combined_and_shuffled(spark):
         "train": {"learning_method": "xgboost", "n_epochs": 10},
     }
     df = milling(spark).select("s", "t", "command", "vibration", "position")
-    made, scores = plans.create_sensor(df, params, ["s"], ["t"])
+    made, scores = plans.create_sensor(df, params, ["s"], ["t"], by_series=False)
     assert made.inputs == ["command"] and "s" not in scores.columns
     assert scores.count() == 300 - 2 and made.metrics["r2"] > 0.8
 
@@ -167,7 +167,29 @@ def test_inference_drops_null_rows_before_rolling(spark):
         "train": {"learning_method": "dt", "early_stopping": False},
     }
     df = milling(spark)
-    made, _ = plans.create_sensor(df, params, ["s"], ["t"])
+    made, _ = plans.create_sensor(df, params, ["s"], ["t"], by_series=False)
     assert made.base == ["command"] and len(made.inputs) == 5
     gaps = df.withColumn("command", F.when(F.col("t") % 10 != 3, F.col("command")))
     assert plans.infer(made, gaps, ["s"], ["t"]).count() == 10 * (54 // 4)
+
+
+def test_several_series_are_split_by_series(spark):
+    params = {
+        "clean": {"target": "position"},
+        "featurize": {"features": ["command"]},
+        "split": {"train_split": 0.6, "calibrate_split": 0.2},
+        "sequentialize": {"window_size": 2},
+        "train": {"learning_method": "linear", "early_stopping": False},
+    }
+    df = milling(spark)
+    several = plans.prepare(df, registry.merge_params(params), ["s"], ["t"]).samples
+    assert several.select("s", "part").distinct().groupBy("s").count().where("count > 1").count() == 0
+    one = plans.prepare(df.where("s = '01'"), registry.merge_params(params), ["s"], ["t"]).samples
+    assert one.select("part").distinct().count() == 3
+
+
+def test_patience():
+    assert models.patient_rounds([5, 4, 3, 3, 3, 3], 2, 2) == 5
+    assert models.patient_rounds([1, 9, 8, 7, 6], 1, 2) == 5
+    assert models.patient_rounds([1, 2, 2, 2], 0, 2) == 3
+    assert models.patient_rounds([3, 3, 3, 3], 0, None) == 4

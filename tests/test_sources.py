@@ -85,3 +85,14 @@ def test_csv_files_are_united_by_name(spark, tmp_path):
     assert dict(found.dtypes) == {"a": "int", "b": "double", "c": "string", "file": "string"}
     assert sorted(((r.a, r.b) for r in found.collect()), key=str) == sorted(rows, key=str)
     assert {r.file for r in found.collect()} >= {"1.csv", "other name.csv"} or found.count() == 5
+
+
+def test_stage_tables_are_deleted_with_their_scope(spark):
+    outer = session.staged(spark.range(3), "outer")
+    with session.stages(spark):
+        inner = session.staged(spark.range(4), "inner")
+        path = inner.inputFiles()[0]
+        assert inner.count() == 4 and io.list_files(spark, path).count() == 1
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+    assert outer.count() == 3
