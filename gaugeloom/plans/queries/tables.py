@@ -43,7 +43,7 @@ def _events_csv(spark, folder, df=None):
 )
 def series_folder(spark, folder):
     path = new_table_path(spark, "series")
-    io.write_series(events(spark, folder).select("user_id", "value"), path, "user_id", "csv")
+    io.write_series(events(spark, folder).select("user_id", "value"), path, "user_id", "csv", folders=True)
     df = io.read_series(spark, path, "csv", "value double, user_id long")
     return df.groupBy("user_id").agg(F.count("*").alias("n"), r6(F.sum("value"), 2).alias("total"))
 
@@ -118,7 +118,7 @@ def read_clean(spark, folder):
 @query("S6_dataset_folder", "SELECT event_id, value FROM events WHERE event_type = 'click'")
 def dataset_folder(spark, folder):
     path = new_table_path(spark, "datasets")
-    io.write_series(events(spark, folder).select("event_id", "value", "event_type"), path, "event_type")
+    io.write_series(events(spark, folder).select("event_id", "value", "event_type"), path, "event_type", folders=True)
     return io.read_series(spark, path, "parquet", dataset="event_type=click").select("event_id", "value")
 
 

@@ -129,14 +129,19 @@ def list_files(spark: SparkSession, path: str, extension: str = "") -> DataFrame
     )
 
 
-def write_series(df: DataFrame, path: str, series: str, fmt: str = "parquet") -> None:
-    """One folder per series.
+def write_series(df: DataFrame, path: str, series: str, fmt: str = "parquet", folders: bool = False) -> None:
+    """Files of whole series, each file sorted by series; with ``folders`` a folder per series.
 
     The rebalance hint brings rows of a series together, splits a series too large for one task and
-    merges small ones, all by measured sizes. Read it back with a schema if names look like numbers:
-    without one, ``01`` comes back as 1.
+    merges small ones, all by measured sizes. So there are as many files as tasks, and readers skip
+    files by their ranges. Folders suit few series: read them back with a schema if names look like
+    numbers, as without one ``01`` comes back as 1.
     """
-    writer = df.hint("rebalance", series).write.mode("errorifexists").partitionBy(series).format(fmt)
+    dealt = df.hint("rebalance", series)
+    writer = dealt if folders else dealt.sortWithinPartitions(series)
+    writer = writer.write.mode("errorifexists").format(fmt)
+    if folders:
+        writer = writer.partitionBy(series)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(path)

@@ -55,13 +55,13 @@ def test_report_under_either_name(spark, tmp_path, name):
 
 def test_write_series_makes_one_folder_each(spark, tmp_path):
     df = spark.range(20).withColumn("s", F.col("id") % 3)
-    io.write_series(df, str(tmp_path / "out"), "s", "csv")
+    io.write_series(df, str(tmp_path / "out"), "s", "csv", folders=True)
     assert sorted(p.name for p in (tmp_path / "out").glob("s=*")) == ["s=0", "s=1", "s=2"]
 
 
 def test_series_names_stay_text_with_a_schema(spark, tmp_path):
     df = spark.createDataFrame([("01", 1.0), ("10", 2.0)], "s string, x double")
-    io.write_series(df, str(tmp_path / "out"), "s")
+    io.write_series(df, str(tmp_path / "out"), "s", folders=True)
     back = io.read_series(spark, str(tmp_path / "out"), "parquet", "x double, s string")
     assert sorted((r.s, r.x) for r in back.collect()) == [("01", 1.0), ("10", 2.0)]
 
@@ -96,3 +96,11 @@ def test_stage_tables_are_deleted_with_their_scope(spark):
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
     assert outer.count() == 3
+
+
+def test_write_series_makes_no_more_files_than_tasks(spark, tmp_path):
+    df = spark.range(3_000).select((F.col("id") % 700).cast("string").alias("s"), "id")
+    io.write_series(df, str(tmp_path / "out"), "s")
+    files = io.list_files(spark, str(tmp_path / "out"), ".parquet")
+    assert files.count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert io.read_series(spark, str(tmp_path / "out"), "parquet").exceptAll(df).count() == 0
