@@ -66,18 +66,18 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float
     return ranked.withColumn("target", F.least(F.col("weight") * level, ceiling) if row[2] else ceiling)
 
 
-def _step(a: float, b: float, c: float, pa_: float, pb: float, pc: float, draw: float) -> tuple[float, float, float]:
+def _step(a: float, b: float, c: float, p: float, q: float, r: float, draw: float) -> tuple[float, float, float]:
     """Move three probabilities so that their sum and the sum weighted by sizes a, b, c stay."""
     u, v, w = b - c, c - a, a - b
     if not (u or v or w):
         u, v, w = 1.0, -1.0, 0.0
     up = down = float("inf")
-    for x, p in ((u, pa_), (v, pb), (w, pc)):
+    for x, chance in ((u, p), (v, q), (w, r)):
         if x:
-            up = min(up, ((1 - p) if x > 0 else p) / abs(x))
-            down = min(down, (p if x > 0 else (1 - p)) / abs(x))
+            up = min(up, ((1 - chance) if x > 0 else chance) / abs(x))
+            down = min(down, (chance if x > 0 else (1 - chance)) / abs(x))
     move = up if draw * (up + down) < down else -down
-    return pa_ + move * u, pb + move * v, pc + move * w
+    return p + move * u, q + move * v, r + move * w
 
 
 def flight(sizes: np.ndarray, chance: np.ndarray, random: np.random.Generator, land: bool) -> np.ndarray:
