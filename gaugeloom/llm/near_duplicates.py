@@ -6,8 +6,8 @@ Documents with equal sets form a class, found by one aggregate, and only one of
 shuffled on their band hashes; band hashes met by one class, or by the same classes as another band hash,
 are dropped. The classes of a bucket compare whole signatures in their task, which returns a spanning
 forest of the likely links, never the pairs. A class then travels to its group of likely links, where
-full n-gram sets are compared; a group beyond ``BLOCK`` classes is dealt as pairs of blocks over many
-tasks. Links are counted, and contracted to a forest, where they are found.
+full n-gram sets are compared. A bucket or a group beyond ``BLOCK`` classes is dealt as pairs of blocks
+over many tasks, so that every two of its classes meet. Links are counted, and contracted to a forest, where they are found.
 
 Defined cases: words are maximal runs without ASCII white space, in lower case. Null texts and texts
 without words link with nothing. Null identifiers are allowed; a component is named by its smallest
@@ -114,10 +114,9 @@ def joined_roots(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.nd
 
 
 def _buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(bucket, part, node): band buckets of several classes, each set of classes once.
+    """(bucket, parts, node): band buckets of several classes, each set of classes once.
 
-    A bucket beyond ``BLOCK`` classes is dealt in parts; its first class is in every part and holds them
-    together. Like classes that a cut parts meet through it, or in another band.
+    ``parts`` is the number of blocks of about ``BLOCK`` classes that the bucket is dealt in.
     """
     width = 2 * rows
     place = F.posexplode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band", "n")
@@ -130,32 +129,40 @@ def _buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"),
     )
     sets = sets.where("size > 1").groupBy("size", "first", "members").agg(F.min("bucket").alias("bucket"))
-    sets = sets.withColumn("parts", F.ceil(F.col("size") / BLOCK)).select("bucket", "first", "parts")
-    dealt = met.join(sets, "bucket")
-    own = F.pmod(F.xxhash64("node"), F.col("parts"))
-    where = F.when(F.col("node") == F.col("first"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    return dealt.select("bucket", "node", F.explode(F.coalesce(where, F.array(own))).alias("part"))
+    sets = sets.withColumn("parts", F.ceil(F.col("size") / BLOCK)).select("bucket", "parts")
+    return met.join(sets, "bucket").select("bucket", "parts", "node")
 
 
 def _likely_links(classes: DataFrame, bands: int, rows: int, least: float) -> DataFrame:
+    """A forest (a, b) of the classes alike in some bucket; all pairs of blocks of a bucket meet."""
     met = _buckets(classes, bands, rows).join(classes.select("node", "signature"), "node")
-    met = by_key(met.select("bucket", "part", "node", "signature"), "bucket", "part")
+    met = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")))
+    meetings = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
+    met = met.select("bucket", "block", "node", "signature", meetings)
+    met = met.select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "signature"
+    )
 
     def run(batches):
-        for rows_ in runs(batches, (0, 1)):
-            nodes = rows_.column(2).to_numpy()
-            marks = np.frombuffer(b"".join(rows_.column(3).to_pylist()), np.uint16).reshape(len(nodes), -1)
+        for rows_ in runs(batches, (0, 1, 2)):
+            nodes = rows_.column(4).to_numpy()
+            marks = np.frombuffer(b"".join(rows_.column(5).to_pylist()), np.uint16).reshape(len(nodes), -1)
             order = np.argsort(nodes, kind="stable")
-            nodes, marks = nodes[order], marks[order]
+            nodes, marks, block = nodes[order], marks[order], rows_.column(3).to_numpy()[order]
+            i, j = rows_.column(1)[0].as_py(), rows_.column(2)[0].as_py()
+            ones, others = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            theirs = marks[others]
             root = np.arange(len(nodes))
-            for i in range(0, len(nodes), 16):
-                alike = (marks[i : i + 16, None] == marks[None, i:]).mean(2) >= least
+            for k in range(0, len(ones), 16):
+                begin = k if i == j else 0  # within a block each pair is met once
+                alike = (marks[ones[k : k + 16], None] == theirs[None, begin:]).mean(2) >= least
                 left, right = np.nonzero(alike)
-                root = joined_roots(root, left + i, right + i)
+                root = joined_roots(root, ones[left + k], others[right + begin])
             other = np.flatnonzero(root != np.arange(len(nodes)))
             if len(other):
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[root[other]])], names=["a", "b"])
 
+    met = by_key(met, "bucket", "i", "j")
     return met.mapInArrow(lambda batches: fewer(run(batches)), "a long, b long")
 
 

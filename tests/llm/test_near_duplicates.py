@@ -77,6 +77,19 @@ def test_large_groups_are_dealt_in_blocks(spark, monkeypatch):
     assert found(spark, rows) == brute_force(rows)
 
 
+def test_all_pairs_of_a_large_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    r = np.random.default_rng(3)
+    rows = []
+    for k in range(40):  # one bucket; two classes are alike, and unlike the first and all others
+        marks = r.integers(0, 2**16, 40).astype(np.uint16)
+        marks[:4] = 7
+        rows += [(2 * k, marks.tobytes()), (2 * k + 1, marks.tobytes())]
+    classes = spark.createDataFrame(rows, "node long, signature binary")
+    links = near_duplicates._likely_links(classes, 1, 4, 0.6).collect()
+    assert {(x.a, x.b) for x in links} == {(2 * k + 1, 2 * k) for k in range(40)}
+
+
 def test_one_of_each(spark):
     rows = odd_rows() + [(50, prose(5, 50)), (51, changed(prose(9, 100), 1, 1)), (52, prose(9, 100))]
     table = docs(spark, rows)
