@@ -219,10 +219,11 @@ def _verified(members: DataFrame, words: int, threshold: float) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row per row of ``df``: doc_id, mark (hash of the text), n_links, component_id.
+    """One row per row of ``df``: doc_id, mark (hash of the text), n_links, component_id, component.
 
     ``n_links`` counts the other rows of similarity ``threshold`` or more; ``component_id`` is the smallest
-    doc_id reachable over links (the row's own without links).
+    doc_id reachable over links (the row's own without links). Components of null or repeated identifiers may
+    share that name; ``component`` tells them apart (null for texts without words).
     """
     bands, rows = settings.banding()
     narrow = _narrow(df, doc_id, text)
@@ -254,7 +255,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     result = named.join(names, "component").join(counts, "node", "left")
     result = result.select(
-        F.col("key").alias("_key"), "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        F.col("key").alias("_key"), "component_id", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     joined = signed.join(result, F.col("key") == F.col("_key"), "left")
     return joined.select(
@@ -262,6 +263,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
         "mark",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "component",
     )
 
 
@@ -273,10 +275,11 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", setti
     """
     found = near_duplicates(df, doc_id, text, settings)
     linked = found.where("n_links > 0")
-    stays = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("mark").alias("mark"))
-    goes = linked.select(F.col("doc_id").alias("_gl_id"), F.col("mark").alias("_gl_mark"), "component_id").distinct()
-    stays = stays.select(F.col("component_id").alias("_c"), F.col("mark").alias("_m"))
-    same = F.col("component_id").eqNullSafe(F.col("_c")) & F.col("_gl_id").eqNullSafe(F.col("_c")) & (F.col("_gl_mark") == F.col("_m"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    stays = linked.groupBy(F.col("component").alias("_c")).agg(F.min(place).alias("least"))
+    stays = stays.select("_c", F.col("least.doc_id").alias("_d"), F.col("least.mark").alias("_m"))
+    goes = linked.select(F.col("doc_id").alias("_gl_id"), F.col("mark").alias("_gl_mark"), "component").distinct()
+    same = (F.col("component") == F.col("_c")) & F.col("_gl_id").eqNullSafe(F.col("_d")) & (F.col("_gl_mark") == F.col("_m"))
     marked = goes.join(stays, same, "left").select("_gl_id", "_gl_mark", F.col("_m").isNotNull().alias("_gl_stays"))
     rows = df.withColumn("_gl_text", F.xxhash64(F.col(text)))
     match = F.col(doc_id).cast("long").eqNullSafe(F.col("_gl_id")) & (F.col("_gl_text") == F.col("_gl_mark"))

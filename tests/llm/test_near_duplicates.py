@@ -100,6 +100,16 @@ def test_one_of_each(spark):
     assert near_duplicates.one_of_each(table.where("false")).count() == 0
 
 
+def test_one_of_each_of_groups_under_one_name(spark):
+    a, b, c, d = (prose(k, 100) for k in (20, 21, 22, 23))
+    rows = [(5, a), (6, changed(a, 1, 1)), (5, b), (7, changed(b, 1, 1))]
+    rows += [(None, t) for x in (c, d) for t in (x, x, changed(x, 1, 1))]
+    kept = [(r.doc_id, r.text) for r in near_duplicates.one_of_each(docs(spark, rows)).collect()]
+    assert sorted(t for i, t in kept if i is not None) == sorted([a, b])
+    left = [t for i, t in kept if i is None]
+    assert len(kept) == 4 and {t in (c, changed(c, 1, 1)) for t in left} == {True, False}
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_components(spark, seed):
     r = np.random.default_rng(seed)
