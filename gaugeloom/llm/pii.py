@@ -4,9 +4,9 @@ Base findings are emails, ip addresses, card and phone numbers. They are the pro
 lines of the corpus, counts of terms and of terms beside an entity estimate how much a term tells: the
 pointwise mutual information of term and kind of entity, log2(p(kind | term) / p(kind)), as a share of the
 kind's whole information, -log2 p(kind). A term is disclosing for a kind if that share reaches
-``threshold`` and it stands beside ``support`` different lines of that kind at least. Where such a term
-stands in a line with an entity of that kind it is found too. Findings are replaced by the name of their
-kind, terms by a general ``<TERM>``.
+``threshold`` and it stands in ``support`` different lines of that kind at least. Such a term is found
+wherever it stands, in lines and documents without an entity too, as it discloses the kind there as well.
+Findings are replaced by the name of their kind, terms by a general ``<TERM>``.
 
 Patterns never match across a line end, so all work is done on lines and a long text is many rows. They
 are written with possessive steps, to stay linear on any text; they match what the plain patterns match.
@@ -151,36 +151,46 @@ def _narrow(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("mark"), body.alias("text"))
 
 
+def _lines(narrow: DataFrame) -> DataFrame:
+    """(doc_id, mark, no, at, line): the lines of each text and their offsets."""
+    rows = narrow.withColumn("lines", F.split("text", "\n", -1))
+    rows = rows.withColumn("steps", F.transform("lines", lambda x: F.length(x) + 1))
+    rows = with_before(rows, "steps", "starts")
+    lines = rows.select("doc_id", "mark", F.posexplode_outer(F.arrays_zip("lines", "starts")).alias("no", "x"))
+    return lines.select("doc_id", "mark", "no", F.col("x.starts").alias("at"), F.col("x.lines").alias("line"))
+
+
 def findings(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """Lines with findings: doc_id, mark (hash of the text), at (offset), no, line, found.
+    """Lines with findings: doc_id, mark (hash of the text), no, at (offset), found.
 
-    ``found`` is an array of (kind, s, e), kinds numbered as in ``KINDS`` and a term last; offsets are code
-    points in the line. Lines of equal rows come once.
+    ``found`` is an array of (kind, s, e), kinds numbered as in ``KINDS`` and terms as the next number; offsets
+    are code points in the line. Lines of equal rows come once.
     """
     narrow = _narrow(df, doc_id, text)
-    hidden = narrow.where(F.col("text").rlike("[0-9@]")).withColumn("lines", F.split("text", "\n", -1))
-    hidden = hidden.withColumn("steps", F.transform("lines", lambda x: F.length(x) + 1))
-    hidden = with_before(hidden, "steps", "starts")
-    lines = hidden.select("doc_id", "mark", F.posexplode_outer(F.arrays_zip("lines", "starts")).alias("no", "x"))
-    lines = lines.select("doc_id", "mark", "no", F.col("x.starts").alias("at"), F.col("x.lines").alias("line"))
+    place = ["doc_id", "mark", "no", "at"]
+    lines = _lines(narrow.where(F.col("text").rlike("[0-9@]")))
     lines = base_findings(lines.where(F.col("line").rlike("[0-9@]")), "line", "all")
-    some = F.explode_outer(F.when(F.size("all") > 0, F.array("all"))).alias("base")
-    lines = lines.select("doc_id", "mark", "no", "at", "line", some).where(F.col("base").isNotNull())
+    some = F.explode_outer(F.when(F.size("all") > 0, F.array("all"))).alias("found")
+    lines = lines.select(*place, some).where(F.col("found").isNotNull())
     lines = staged(lines.dropDuplicates(["doc_id", "mark", "no"]), "entity_lines")
 
-    terms = _terms_beside(narrow, settings)
-    masked = lines.withColumn("masked", _masked(F.col("line"), F.col("base")))
+    # few terms, so that adaptive execution can send them to the lines and no word is shuffled
+    terms = staged(_terms_beside(narrow, settings).select("word"), "disclosing")
+    # places are sought only in texts that hold a term, or an entity that might hide the end of one
+    words = F.explode_outer(F.array_distinct(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)))).alias("word")
+    hits = narrow.select("doc_id", "mark", words).select("doc_id", "mark", F.lower("word").alias("word")).join(terms, "word")
+    hits = hits.select("doc_id", "mark").unionByName(lines.select("doc_id", "mark")).distinct()
+    hits = staged(hits.select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m")), "hits")
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m"))
+    masked = base_findings(_lines(narrow.join(hits, same, "left_semi")), "line", "base")
+    masked = masked.withColumn("masked", F.when(F.size("base") > 0, _masked(F.col("line"), F.col("base"))).otherwise(F.col("line")))
     masked = _matches(masked, "masked", None, WORD, "words")
-    kinds = F.array_distinct(F.transform("base", lambda x: x["kind"])).alias("beside")
-    words = masked.select("doc_id", "mark", "no", kinds, F.explode_outer("words").alias("w"))
-    words = words.select("doc_id", "mark", "no", "beside", F.lower("w.found").alias("word"), "w.s", "w.e")
-    told = words.join(terms, "word").where(F.arrays_overlap("kinds", "beside"))
+    words = masked.select(*place, F.explode_outer("words").alias("w"))
+    told = words.select(*place, F.lower("w.found").alias("word"), "w.s", "w.e").join(terms, "word")
     span = F.struct(F.lit(len(KINDS)).alias("kind"), "s", "e")
-    told = told.groupBy("doc_id", "mark", "no").agg(F.sort_array(F.collect_list(span)).alias("told"))
-    told = told.select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), F.col("no").alias("_n"), "told")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m")) & (F.col("no") == F.col("_n"))
-    found = F.concat("base", F.coalesce("told", F.array().cast(SPANS)))
-    return lines.join(told, same, "left").select("doc_id", "mark", "no", "at", "line", found.alias("found"))
+    told = told.groupBy(*place).agg(F.sort_array(F.collect_set(span)).alias("found"))
+    every = lines.unionByName(told).groupBy(*place)
+    return every.agg(F.flatten(F.collect_list("found")).alias("found"))
 
 
 def of_documents(found: DataFrame) -> DataFrame:
@@ -205,21 +215,25 @@ def sanitised(df: DataFrame, doc_id: str = "doc_id", text: str = "text", setting
         return F.when(F.size(done) == 0, F.array(x)).when(x["s"] < last["e"], joined).otherwise(F.concat(done, F.array(x)))
 
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in (*KINDS, TERM)])
-    clean = F.aggregate(
-        F.reverse(F.col("merged")),
-        F.col("line"),
-        lambda t, x: F.overlay(t, F.get(names, x["kind"]), x["s"] + 1, x["e"] - x["s"]),
-    )
-    lines = found.withColumn("merged", F.aggregate(order, empty, merge)).withColumn("clean", clean)
-    pair = F.struct("no", "clean")
-    new = lines.groupBy("doc_id", "mark").agg(F.map_from_entries(F.collect_list(pair)).alias("_gl_lines"))
-    new = new.select(F.col("doc_id").alias("_gl_d"), F.col("mark").alias("_gl_m"), "_gl_lines")
+
+    def clean(line: Column, spans: Column) -> Column:
+        return F.aggregate(
+            F.reverse(spans), line, lambda t, x: F.overlay(t, F.get(names, x["kind"]), x["s"] + 1, x["e"] - x["s"])
+        )
+
+    lines = found.withColumn("merged", F.aggregate(order, empty, merge))
+    new = lines.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("no", "merged"))).alias("some"))
+    # the spans of line i at place i, null for lines without
+    before = lambda k: F.coalesce(F.get("some", k - 1)["no"], F.lit(-1))
+    gap = lambda x, k: F.array_repeat(F.lit(None).cast(SPANS), x["no"] - before(k) - 1)
+    spans = F.flatten(F.transform("some", lambda x, k: F.concat(gap(x, k), F.array(x["merged"]))))
+    new = new.select(F.col("doc_id").alias("_gl_d"), F.col("mark").alias("_gl_m"), spans.alias("_gl_spans"))
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = df.withColumn("_gl_mark", mark).join(
         new, F.col(doc_id).eqNullSafe(F.col("_gl_d")) & (F.col("_gl_mark") == F.col("_gl_m")), "left"
     )
-    lines_of = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.coalesce(F.col("_gl_lines")[i], x))
-    cleaned = F.when(F.col("_gl_lines").isNotNull(), F.array_join(lines_of, "\n")).otherwise(F.col(text))
+    lines_of = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.coalesce(clean(x, F.get("_gl_spans", i)), x))
+    cleaned = F.when(F.col("_gl_spans").isNotNull(), F.array_join(lines_of, "\n")).otherwise(F.col(text))
     return rows.withColumn(text, cleaned).select(*[F.col(f"`{c}`") for c in df.columns])
 
 

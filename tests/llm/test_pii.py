@@ -83,6 +83,20 @@ def test_disclosing_terms(spark):
     assert set(spans) == set(range(12))
 
 
+def test_disclosing_terms_without_an_entity(spark):
+    people = [f"please call kontakt {prose(i, 1)} at +1 (555) 555-{1000 + i} today" for i in range(12)]
+    rows = [(i, prose(i, 30) + "\n" + line + "\n" + prose(500 + i, 30)) for i, line in enumerate(people)]
+    rows[3] = (3, "Kontakt before\n\n" + people[3] + "\na kontakt after")
+    rows += [(100 + i, f"please read this {prose(i, 20)} today at home") for i in range(200)]
+    rows += [(400, "no\nnumber, kontakt: kontakt."), (400, "no\nnumber, kontakt: kontakt."), (None, "kontakt")]
+    out = [(r.doc_id, r.text) for r in pii.sanitised(docs(spark, rows)).collect()]
+    texts = dict(out)
+    assert texts[3].startswith("<TERM> before\n\nplease <TERM> <TERM> ") and texts[3].endswith(" today\na <TERM> after")
+    assert out.count((400, "no\nnumber, <TERM>: <TERM>.")) == 2 and texts[None] == "<TERM>"
+    spans = {r.doc_id: r.all for r in found(spark, rows)}
+    assert spans[400] == "term:11:18,term:20:27" and spans[None] == "term:0:7"
+
+
 def test_odd_rows(spark):
     rows = odd_rows() + [(None, "mail a@b.cd"), (None, "mail a@b.cd"), (30, "x a@b.cd 1.2.3.4\n+1 (269) 555-3296")]
     table = docs(spark, rows)
