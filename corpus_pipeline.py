@@ -18,7 +18,10 @@ LEAST_SCORE = 0.4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that have no letters or whose language is not told with ``LEAST_SCORE``."""
+    """Documents go that have no letters or whose language is not told with ``LEAST_SCORE``.
+
+    If no row outside the held-out quarter is labelled, no language is told and all documents go.
+    """
     network = language.fit(docs.where(~language.held_out()))
     found = language.identify(docs, network, lang="_gl_lang", score="_gl_score")
     kept = (F.col("_gl_lang") != language.UNDETERMINED) & (F.col("_gl_score") >= LEAST_SCORE)
