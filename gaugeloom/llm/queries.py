@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from gaugeloom.llm import (
     bpe,
+    hard_negatives,
     language,
     line_dedup,
     mixing,
     near_duplicates,
     pii,
+    quality,
     sketches,
+    spelling,
     suffix_dedup,
     token_files,
     vectors,
@@ -173,3 +176,88 @@ def language_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     network = language.fit(docs.where("not held_out"))
     found = language.identify(docs.select("doc_id", "held_out", "text"), network)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query(
+    "op11_spelling",
+    r"""
+WITH RECURSIVE texts AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS d,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+runs AS (SELECT d, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM texts),
+counted AS (SELECT d, run, count(*) AS k FROM runs WHERE length(run) >= 5 GROUP BY d, run),
+crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+marked AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(hex(d || run)) // 2),
+    lambda i: ('0x' || hex(d || run)[2 * i + 1 : 2 * i + 2])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM counted, crc),
+made AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k
+  FROM marked),
+vocabulary AS (
+  SELECT word, sum(k)::BIGINT AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+places AS (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary),
+shorter AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS s FROM places),
+ordered AS (
+  SELECT v.word AS a, v.n AS an, s.word AS b, s.n AS bn FROM vocabulary v JOIN shorter s ON v.word = s.s
+  UNION SELECT s.word, s.n, v.word, v.n FROM vocabulary v JOIN shorter s ON v.word = s.s
+  UNION SELECT x.word, x.n, y.word, y.n FROM shorter x JOIN shorter y ON x.s = y.s AND x.i = y.i AND x.word <> y.word),
+best AS (
+  SELECT a AS word, an AS n, count(*) AS n_near, max(bn) AS most,
+    first(b ORDER BY bn DESC, b) AS near FROM ordered GROUP BY a, an),
+forms AS (SELECT word, n_near, CASE WHEN most >= 2 * n THEN near END AS form, CASE WHEN most >= 2 * n THEN most END AS form_n FROM best),
+chains AS (
+  SELECT word, form AS root, 1 AS step FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chains c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, step) AS root FROM chains GROUP BY word)
+SELECT v.word, f.form, coalesce(r.root, v.word) AS root, v.n, coalesce(f.n_near, 0)::BIGINT AS n_near, f.form_n
+FROM vocabulary v LEFT JOIN forms f ON v.word = f.word LEFT JOIN roots r ON v.word = r.word""",
+)
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.words(documents(spark, folder)))
+
+
+@query("op12_quality")
+def quality_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).withColumn("held_out", language.held_out())
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    classifier = quality.fit(docs.where("not held_out").select("doc_id", "text").join(labels, "doc_id"))
+    found = quality.scored(docs.select("doc_id", "held_out", "text"), classifier)
+    good = (F.col("score") >= quality.GOOD).cast("int").alias("predicted")
+    return found.select("doc_id", "held_out", "score", good)
+
+
+@query(
+    "op13_hard_negatives",
+    r"""
+WITH known AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM known a JOIN known b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+positives AS (
+  SELECT anchor, other AS positive, score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5),
+ranked AS (
+  SELECT p.anchor, p.positive, p.score, n.other AS negative, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY n.score DESC, n.other) AS rank
+  FROM positives p JOIN pairs n ON p.anchor = n.anchor AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, rank::INTEGER AS rank, negative AS negative_id,
+  score AS positive_score, negative_score
+FROM ranked WHERE rank <= 3""",
+)
+def hard_negatives_of_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    value = F.transform("embedding", lambda x: x.cast("double"))
+    whole = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(
+        "vec_id", moved.alias("label"), F.when(whole, F.transform(value, lambda x: F.floor(x * 256))).alias("vector")
+    )
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)

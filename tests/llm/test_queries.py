@@ -17,8 +17,8 @@ from gaugeloom.llm.queries import ORACLES, QUERIES  # noqa: E402
 FOLDER = "/root/testdata/sf0.001"
 
 
-def test_ten_operators():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)]
+def test_operators():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     entry = importlib.import_module("__spark_entry__")
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
