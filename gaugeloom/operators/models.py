@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -30,14 +31,20 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeloom.operators.boosting import SoftmaxBoosting, fit_softmax_boosting
+from gaugeloom.operators.gradient import GradientModel, fit_dense, fit_support_vector
 from gaugeloom.operators.split import validation_tail
+from gaugeloom.session import staged
 
 SEED = 2020
 # Share held out for validation, and epochs trained before early stopping may act.
 VALIDATION_SHARE = 0.25
 FIRST_EPOCHS = 10
-CLASSIFIERS_ONLY = ["lda", "qda", "svm", "dnn"]
-REGRESSORS = ["dt", "rf", "xgboost", "linear"]
+#: Rounds of boosting if none are given.
+ROUNDS = 20
+CLASSIFIERS_ONLY = ["lda", "qda"]
+REGRESSORS = ["dt", "rf", "xgboost", "linear", "svm", "dnn"]
+STOPPABLE = ["xgboost", "dnn"]
 
 
 def to_vectors(samples: DataFrame, output: int = 0) -> DataFrame:
@@ -151,8 +158,6 @@ def _estimator(method, classification, n_classes, n_inputs, params):
     if method == "rf":
         return (RandomForestClassifier if classification else RandomForestRegressor)(**seed, **params)
     if method == "xgboost":
-        if classification and n_classes > 2:
-            return OneVsRest(classifier=GBTClassifier(**seed, **params))
         return (GBTClassifier if classification else GBTRegressor)(**seed, **params)
     if method == "svm":
         machine = LinearSVC(**params)
@@ -174,16 +179,17 @@ def train(
     series: Sequence[str] = (),
     order: Sequence[str] = ("idx",),
     **params,
-) -> Transformer | Discriminant:
+) -> Transformer | Discriminant | GradientModel | SoftmaxBoosting:
     """Fit one output of the train windows.
 
-    ``dt``, ``rf`` and ``xgboost`` are tree models, ``linear`` a linear model of values, ``dnn`` a
-    multilayer perceptron, for classes only. ``svm``, ``lda`` and ``qda`` need classes, given as
-    codes from 0. ``n_epochs`` is the number of rounds or iterations; with early stopping
-    ``xgboost`` trains ten rounds more first, watches the last quarter of the samples and ends when their
-    loss has not improved for ``patience`` rounds, or at the last round without ``patience`` (with more
-    than two classes it is fitted one against the rest, for all rounds).
-    The estimators keep their own packed copy of the data, so the windows stay lazy here.
+    ``dt``, ``rf`` and ``xgboost`` are tree models, ``linear`` a linear model of values, ``dnn`` a dense
+    network, ``svm`` a support-vector machine: linear for classes, of ``kernel`` rbf or linear for values.
+    ``lda`` and ``qda`` need classes; classes are given as codes from 0. ``n_epochs`` is the number of rounds
+    or iterations. With early stopping ``xgboost`` and ``dnn`` train ten epochs more first, watch the last
+    quarter of the samples and end when their loss has not improved for ``patience`` epochs, or at the last
+    one without ``patience``. ``dnn`` and boosting of more than two classes return what had the least loss;
+    ``training_history`` gives their losses. The other methods have no epochs to stop at and say so.
+    Networks are fitted to all samples at once, so there is no batch size, and they have no kernels.
     """
     known = REGRESSORS + CLASSIFIERS_ONLY
     if learning_method not in known:
@@ -192,11 +198,13 @@ def train(
         raise ValueError(f"{learning_method} needs a classification target")
     if learning_method == "linear" and classification:
         raise ValueError("linear is for values")
+    stops = early_stopping and learning_method in STOPPABLE
+    if early_stopping and not stops:
+        warnings.warn(f"{learning_method} has no early stopping; it is trained in full", stacklevel=2)
     if "part" in samples.columns:
         samples = samples.where(F.col("part") == "train")
     if learning_method in ("lda", "qda"):
         return fit_discriminant(samples, learning_method == "qda")
-    stops = early_stopping and learning_method == "xgboost"
     if stops:
         samples = validation_tail(samples, VALIDATION_SHARE, series, order)
     if n_epochs and learning_method not in ("dt", "rf"):
@@ -204,10 +212,16 @@ def train(
     data = to_vectors(samples, output)
     kept = ["features", "label", *(["validation"] if stops else [])]
     data = data.select(*kept)
+    if classification:
+        data = staged(data, "samples")
     n_classes = int(data.agg(F.max("label")).first()[0]) + 1 if classification else 0
-    n_inputs = data.first().features.size if learning_method == "dnn" and classification else 0
+    if learning_method in STOPPABLE + ["svm"]:
+        model = _by_epochs(data, learning_method, n_classes, stops, patience, dict(params))
+        if model is not None:
+            return model
+    n_inputs = data.first().features.size if learning_method == "dnn" else 0
     estimator = _estimator(learning_method, classification, n_classes, n_inputs, dict(params))
-    if not stops or n_classes > 2:
+    if not stops:
         return estimator.fit(data)
     model = estimator.fit(data.where("not validation"))
     held = data.where("validation")
@@ -218,6 +232,19 @@ def train(
     return estimator.copy({estimator.maxIter: rounds}).fit(data.where("not validation"))
 
 
+def _by_epochs(data, method, n_classes, stops, patience, params):
+    """The methods that this library steps through itself; None for those that Spark fits in one call."""
+    watch = {"first": FIRST_EPOCHS, "patience": patience, "keep_best": True} if stops else {}
+    epochs = params.pop("maxIter", None)
+    if method == "dnn" and (stops or not n_classes):
+        return fit_dense(data, n_classes, **({"epochs": epochs} if epochs else {}), **watch, seed=SEED, **params)
+    if method == "svm" and not n_classes:
+        return fit_support_vector(data, **({"epochs": epochs} if epochs else {}), seed=SEED, **params)
+    if method == "xgboost" and n_classes > 2:
+        return fit_softmax_boosting(data, n_classes, epochs or ROUNDS, **watch, seed=SEED, **params)
+    return None
+
+
 def patient_rounds(losses: Sequence[float], first: int, patience: int | None) -> int:
     """Rounds until the loss has not improved for ``patience`` rounds, not counting the ``first`` ones."""
     best, since = float("inf"), 0
@@ -230,6 +257,10 @@ def patient_rounds(losses: Sequence[float], first: int, patience: int | None) ->
     return len(losses)
 
 
+#: Models that are plain data; they are saved as one row.
+PLAIN = (Discriminant, GradientModel, SoftmaxBoosting)
+
+
 @dataclass(frozen=True)
 class MultiOutput:
     """One model per target step."""
@@ -250,13 +281,19 @@ def predict(model, samples: DataFrame, out: str = "predicted") -> DataFrame:
         for name, one in zip(steps, model.models):
             samples = predict(one, samples, name)
         return samples.withColumn(out, F.array(*steps)).drop(*steps)
-    if isinstance(model, Discriminant):
+    if isinstance(model, PLAIN):
         return model.transform(samples).withColumnRenamed("prediction", out)
     kept = [c for c in samples.columns if c != out]
     vectors = to_vectors(samples)
     return model.transform(vectors).select(*kept, F.col("prediction").alias(out))
 
 
+def training_history(spark: SparkSession, model) -> DataFrame:
+    """Loss of a network or of boosting of several classes after each epoch, on train and on held-out samples."""
+    rows = [(int(e), float(a), None if np.isnan(b) else float(b)) for e, a, b in model.history]
+    return spark.createDataFrame(rows, "epoch long, loss double, val_loss double")
+
+
 def boosting_history(model, samples: DataFrame) -> DataFrame:
     """Loss of a boosted regressor after each round, on train and on held-out samples."""
     data = to_vectors(samples)
@@ -280,7 +317,7 @@ def save_model(spark: SparkSession, model, path: str) -> None:
     if isinstance(model, MultiOutput):
         for i, one in enumerate(model.models):
             save_model(spark, one, f"{path}/{i}")
-    elif isinstance(model, Discriminant):
+    elif isinstance(model, PLAIN):
         row = [(json.dumps(model.__dict__),)]
         spark.createDataFrame(row, "model string").write.mode("errorifexists").json(path)
     elif isinstance(model, OneVsRestModel):
@@ -293,8 +330,8 @@ def load_model(spark: SparkSession, path: str, kind: str):
     """Load what ``save_model`` wrote; ``kind`` is what ``model_kind`` said of the model."""
     if kind.startswith("["):
         return MultiOutput([load_model(spark, f"{path}/{i}", k) for i, k in enumerate(json.loads(kind))])
-    if kind == "Discriminant":
-        return Discriminant(**json.loads(spark.read.schema("model string").json(path).first().model))
+    if kind in (plain := {c.__name__: c for c in PLAIN}):
+        return plain[kind](**json.loads(spark.read.schema("model string").json(path).first().model))
     return OneVsRestModel.load(path) if kind == "OneVsRestModel" else PipelineModel.load(path)
 
 

@@ -70,7 +70,9 @@ query("M3_random_forest_classes")(_fit("rf", True, numTrees=10))
 query("M4_boosting")(_fit("xgboost", False, n_epochs=10))
 query("M4_boosting_classes")(_fit("xgboost", True, n_epochs=5))
 query("M5_support_vector")(_fit("svm", True, n_epochs=10))
+query("M5_support_vector_values")(_fit("svm", False, n_epochs=15))
 query("M6_dense_network")(_fit("dnn", True, n_epochs=20))
+query("M6_dense_network_values")(_fit("dnn", False, n_epochs=20))
 query("M6_linear_stand_in")(_fit("linear", False, n_epochs=10))
 
 
@@ -129,6 +131,23 @@ def early_stopping(spark, folder):
     return rounded(models.boosting_history(model, train), "loss", "val_loss")
 
 
+@query("M10_early_stopping_network")
+def network_early_stopping(spark, folder):
+    """Losses of a network of values until the held-out loss has not improved for three epochs."""
+    samples = _value_windows(spark, folder)
+    model = models.train(samples, "dnn", n_epochs=25, early_stopping=True, patience=3, series=LINE_SERIES)
+    return rounded(models.training_history(spark, model), "loss", "val_loss")
+
+
+@query("M4_M10_boosting_of_event_types")
+def boosting_of_event_types(spark, folder):
+    """Losses of boosting the event type from value and k of a user's last two events, one tree a class and round."""
+    df = encode.label_encode(events(spark, folder), "event_type")
+    samples = win.windows(split_rows(df, 0.8, 0.0, EVENT_SERIES, EVENT_ORDER), ["value", "k"], "event_type", 2, 1, EVENT_SERIES, EVENT_ORDER)
+    model = models.train(samples, "xgboost", True, n_epochs=1, early_stopping=True, patience=1, series=EVENT_SERIES, depth=3)
+    return rounded(models.training_history(spark, model), "loss", "val_loss")
+
+
 SENSOR_PARAMS = {
     "profile": {"dataset": "lineitem"},
     "clean": {"target": "price"},

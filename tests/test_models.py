@@ -43,7 +43,9 @@ def test_unknown_and_unfit_methods(classes):
     with pytest.raises(NotImplementedError):
         models.train(classes, "cnn")
     with pytest.raises(ValueError):
-        models.train(classes, "svm")
+        models.train(classes, "lda")
+    with pytest.warns(UserWarning, match="no early stopping"):
+        models.train(classes, "dt", early_stopping=True)
 
 
 def milling(spark):
