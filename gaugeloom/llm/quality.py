@@ -10,8 +10,8 @@ lets the curve fall back to the labels' proportion for short texts.
 The labelled rows are learned from by a bounded sample (``SampleSize``); every text is scored whole.
 
 Defined cases: null texts count as empty, and score by the proportion alone; so does every text if one of the
-labels is missing (0.5 without any). Labels other than 0 and 1 are not learned from. Repeated rows get equal
-scores, and equal texts of one label enter the sample once. Very long texts are compressed piece by piece. An
+labels is missing (0.5 without any). Labels other than 0 and 1 and those of null identifiers are not learned
+from. Repeated rows get equal scores, and equal texts of one label enter the sample once. Very long texts are compressed piece by piece. An
 empty table gives an empty result; an output column that exists already is an error, others stay as they are.
 """
 
@@ -22,10 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeloom.session import staged
+
 #: Score from which a text is called good.
 GOOD = 0.7
 
@@ -34,7 +36,7 @@ GOOD = 0.7
 class SampleSize:
     """Bounds of what is learned from: slices of each label and code points of a slice; bytes of a dictionary."""
 
-    rows: int = 3_000
+    rows: int = 2_000
     characters: int = 1_024
     dictionary: int = 65_536
 
@@ -84,26 +86,29 @@ def _terms(sizes: np.ndarray, lengths: np.ndarray, constant: float) -> np.ndarra
     return np.column_stack([np.ones(len(lengths)), (sizes[:, 0] - sizes[:, 1]) / (lengths + constant), share])
 
 
-def sample(df: DataFrame, label: str, text: str, size: SampleSize) -> tuple[DataFrame, dict[int, int]]:
+def sample(
+    df: DataFrame, labels: DataFrame, key: str, label: str, text: str, size: SampleSize
+) -> tuple[DataFrame, dict[int, int]]:
     """At most ``size.rows`` slices (label, mark, text) of each label, and the number of its distinct texts.
 
-    Texts are drawn and cut by their hash. Only those in the share of the hashes that holds about twice the
-    wanted number are ranked, so what meets in a task does not grow with the table.
+    Texts are drawn and cut by their hash. Identifiers and hashes alone meet the labels for the counts; then
+    slices of the texts in the share of the hashes that holds about twice the wanted number. Whole texts are
+    never shuffled, and what meets in a task does not grow with the table.
     """
-    rows = df.where(F.col(label).isin(0, 1) & (F.length(text) > 0)).select(
-        F.col(label).cast("int").alias("label"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text")
-    )
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count_distinct("mark").alias("n")).collect()}
-    low = F.lit(False)
-    for value, n in counts.items():
-        share = min(1.0, (2 * size.rows + 50) / n)
-        low = F.when(F.col("label") == value, F.pmod("mark", F.lit(1 << 30)) / F.lit(1 << 30) <= share).otherwise(low)
+    labels = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
+    labels = labels.distinct()
+    rows = df.where(F.length(text) > 0).select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    counted = rows.select("key", "mark").join(labels, "key").groupBy("label").agg(F.count_distinct("mark").alias("n"))
+    counts = {r["label"]: r["n"] for r in counted.collect()}
+    shares = {k: min(1.0, (2 * size.rows + 50) / n) for k, n in counts.items()}
+    place = F.pmod("mark", F.lit(1 << 30)) / F.lit(1 << 30)
     longest = F.greatest(F.length("text") - size.characters, F.lit(0)) + 1
     cut = F.substring(F.col("text"), (F.pmod("mark", longest) + 1).cast("int"), F.lit(size.characters))
-    rows = rows.where(low).groupBy("label", "mark").agg(F.min(cut).alias("text"))
-    order = Window.partitionBy("label").orderBy("mark")
-    ranked = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= size.rows)
-    return ranked.orderBy("label", "mark").drop("n"), counts
+    low = rows.where(place <= max(shares.values(), default=0.0)).select("key", "mark", cut.alias("text"))
+    found = low.join(labels, "key").where(F.coalesce(*[F.when(F.col("label") == k, place <= v) for k, v in shares.items()], F.lit(False)))
+    found = staged(found.groupBy("label", "mark").agg(F.min("text").alias("text")), "labelled")
+    parts = [found.where(F.col("label") == k).orderBy("mark").limit(size.rows) for k in (0, 1)]
+    return parts[0].unionAll(parts[1]), counts
 
 
 def _trained(texts: list[bytes], most: int) -> bytes:
@@ -163,9 +168,11 @@ def train(rows: list[tuple[int, str]], counts: dict[int, int], size: SampleSize
     return Classifier(dictionaries, tuple(float(v) for v in curve), constant)
 
 
-def fit(df: DataFrame, label: str = "quality", text: str = "text", size: SampleSize = SampleSize()) -> Classifier:
-    """Train on a bounded sample of ``df``; the caller leaves out rows that must not be learned from."""
-    rows, counts = sample(df, label, text, size)
+def fit(
+    df: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text: str = "text", size: SampleSize = SampleSize()
+) -> Classifier:
+    """Train on a bounded sample of ``df``, labelled by ``key``; the caller leaves out rows that must not be learned from."""
+    rows, counts = sample(df, labels, key, label, text, size)
     return train([(r["label"], r["text"]) for r in rows.collect()], counts, size)
 
 

@@ -223,7 +223,7 @@ def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 def quality_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).withColumn("held_out", language.held_out())
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
-    classifier = quality.fit(docs.where("not held_out").select("doc_id", "text").join(labels, "doc_id"))
+    classifier = quality.fit(docs.where("not held_out"), labels)
     found = quality.scored(docs.select("doc_id", "held_out", "text"), classifier)
     good = (F.col("score") >= quality.GOOD).cast("int").alias("predicted")
     return found.select("doc_id", "held_out", "score", good)

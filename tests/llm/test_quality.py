@@ -72,21 +72,36 @@ def test_odd_rows(spark):
         quality.scored(table.withColumnRenamed("line", "Score"), classifier)
 
 
+def keyed(spark, rows):
+    """Texts with a clashing column, and their labels under the same identifiers."""
+    texts = spark.createDataFrame([(i, t, "x") for i, (_, t) in enumerate(rows)], "doc_id long, text string, label string")
+    return texts, spark.createDataFrame([(i, k) for i, (k, _) in enumerate(rows)], "doc_id long, quality int")
+
+
 def test_missing_labels(spark):
-    empty = spark.createDataFrame([], "quality int, text string")
-    one = spark.createDataFrame([(1, "good text"), (1, "more good text"), (None, "x"), (7, "y")], "quality int, text string")
-    few = spark.createDataFrame([(1, "good text here"), (0, "XX%% YY%%")], "quality int, text string")
+    empty = keyed(spark, [])
+    one = keyed(spark, [(1, "good text"), (1, "more good text"), (None, "x"), (7, "y"), (1, None), (0, "")])
+    few = keyed(spark, [(1, "good text here"), (0, "XX%% YY%%")])
     table = docs(spark, [(1, "any text"), (2, None)])
-    assert {r.score for r in quality.scored(table, quality.fit(empty)).collect()} == {0.5}
-    assert {r.score for r in quality.scored(table, quality.fit(one)).collect()} == {0.75}
-    assert all(0 <= r.score <= 1 for r in quality.scored(table, quality.fit(few)).collect())
+    assert {r.score for r in quality.scored(table, quality.fit(*empty)).collect()} == {0.5}
+    assert {r.score for r in quality.scored(table, quality.fit(*one)).collect()} == {0.75}
+    assert all(0 <= r.score <= 1 for r in quality.scored(table, quality.fit(*few)).collect())
+
+
+def test_repeated_labels_and_identifiers(spark):
+    texts, labels = keyed(spark, labelled(40))
+    again = texts.unionAll(texts).unionAll(spark.createDataFrame([(None, "no label", "x")], texts.schema))
+    size = quality.SampleSize()
+    wanted, counts = quality.sample(texts, labels, "doc_id", "quality", "text", size)
+    got, other = quality.sample(again, labels.unionAll(labels), "doc_id", "quality", "text", size)
+    assert counts == other == {0: 10, 1: 40}
+    assert got.collect() == wanted.collect()
 
 
 def test_sample_is_bounded_and_copies_enter_once(spark):
     rows = [(i % 2, f"text number {i} " * 30) for i in range(400)] + [(1, "one copied text " * 30)] * 500
-    table = spark.createDataFrame(rows, "quality int, text string")
     size = quality.SampleSize(rows=50, characters=64)
-    got, counts = quality.sample(table, "quality", "text", size)
+    got, counts = quality.sample(*keyed(spark, rows), "doc_id", "quality", "text", size)
     got = got.collect()
     assert counts == {0: 200, 1: 201}
     assert len(got) == 100 and all(len(r.text) <= 64 for r in got)
