@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloom.operators.ordered import MAX_SERIES_ROWS, positions, running_total
-from gaugeloom.session import staged
+from gaugeloom.operators.ordered import MAX_SERIES_ROWS
+from gaugeloom.operators.ranks import cramers_pairs, kendall_pairs, spearman_pairs
 
 # Below this share of the raw second moment a variance is rounding error of the sums.
 ROUNDING = 1e-12
@@ -76,108 +76,30 @@ def _mirrored(pairs: DataFrame) -> DataFrame:
 def correlations(
     df: DataFrame, cols: Sequence[str], method: str = "pearson", max_rows: int = MAX_SERIES_ROWS
 ) -> DataFrame:
-    """Table ``variable, other, r`` over all ordered pairs of different columns."""
+    """Table ``variable, other, r`` over all ordered pairs of different columns, in a fixed number of jobs."""
     pairs = list(combinations(cols, 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "variable string, other string, r double")
     if method == "pearson":
         return _mirrored(pearson(df, cols))
-    measures = {"spearman": spearman, "kendall": kendall, "cramers": cramers_v}
+    measures = {"spearman": spearman_pairs, "kendall": kendall_pairs, "cramers": cramers_pairs}
     if method not in measures:
         raise ValueError(f"unknown correlation {method}")
-    options = {} if method == "cramers" else {"max_rows": max_rows}
-    rows = [(a, b, measures[method](df, a, b, **options)) for a, b in pairs]
+    found = measures[method](df, pairs) if method == "cramers" else measures[method](df, pairs, max_rows)
+    rows = [(a, b, r) for (a, b), r in zip(pairs, found)]
     return _mirrored(df.sparkSession.createDataFrame(rows, "a string, b string, r double"))
 
 
-def _pair_counts(df, a, b):
-    """Distinct value pairs with their counts: repeated pairs shrink before any shuffle."""
-    x, y = F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
-    return staged(df.select(x, y).dropna().groupBy("x", "y").agg(F.count("*").alias("w")), "pairs")
-
-
 def spearman(df: DataFrame, a: str, b: str, max_rows: int = MAX_SERIES_ROWS) -> float | None:
     """Correlation of average ranks over rows where both columns have a value."""
-    pairs = _pair_counts(df, a, b)
-    for side in ("x", "y"):
-        values = pairs.groupBy(side).agg(F.sum("w").alias("k"))
-        ranked = running_total(values, [], [side], "k", "before", "total", max_rows)
-        rank = F.col("before") + (F.col("k") + 1) / 2 - (F.col("total") + 1) / 2
-        pairs = pairs.join(ranked.select(side, rank.alias(f"r{side}")), side)
-    products = [F.sum(F.col("w") * F.col(p) * F.col(q)) for p, q in (("rx", "ry"), ("rx", "rx"), ("ry", "ry"))]
-    row = pairs.agg(*[p.alias(n) for p, n in zip(products, ("xy", "xx", "yy"))]).first()
-    return row.xy / math.sqrt(row.xx * row.yy) if row.xx and row.yy else None
+    return spearman_pairs(df, [(a, b)], max_rows)[0]
 
 
 def kendall(df: DataFrame, a: str, b: str, max_rows: int = MAX_SERIES_ROWS) -> float | None:
-    """Kendall's tau-b in n log n work, without comparing rows pairwise.
-
-    Rows are put in (a, b) order. A discordant pair is then an inversion of b's rank. Two ranks
-    differ first at one binary digit, so each inversion is counted at exactly one digit: among rows
-    that share all higher digits, a row with digit 0 counts the earlier rows with digit 1.
-    """
-    pairs = _pair_counts(df, a, b)
-    ties = []
-    for side in ("x", "y"):
-        groups = pairs.groupBy(side).agg(F.sum("w").cast("double").alias("k"))
-        ties.append(groups.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("t"), F.sum("k").alias("n")).first())
-    if not ties[0].n:
-        return None
-    n = ties[0].n
-    w = F.col("w").cast("double")
-    both = pairs.agg(F.sum(w * (w - 1) / 2)).first()[0]
-    ranks = positions(pairs.select("y").distinct(), [], ["y"], max_rows)
-    sizes = pairs.agg(F.count("*").alias("pairs"), F.count_distinct("y").alias("ranks")).first()
-    digits = max(1, (sizes.ranks - 1).bit_length())
-    ranked = pairs.join(ranks.select("y", F.col("idx").alias("rank")), "y")
-    levels = F.explode(F.sequence(F.lit(0), F.lit(digits - 1)))
-    spread = ranked.select("x", "y", "w", "rank", levels.alias("digit"))
-    spread = spread.select(
-        "x",
-        "y",
-        w.alias("w"),
-        "digit",
-        F.expr("rank div cast(pow(2, digit + 1) as bigint)").alias("higher"),
-        F.expr("(rank div cast(pow(2, digit) as bigint)) % 2").alias("bit"),
-    )
-    spread = spread.withColumn("ones", F.when(F.col("bit") == 1, F.col("w")).otherwise(0.0))
-    bounds = (sizes.pairs, sizes.pairs * digits)
-    counted = running_total(
-        spread, ["digit", "higher"], ["x", "y"], "ones", "before", "total", max_rows, bounds
-    )
-    discordant = counted.agg(F.sum(F.when(F.col("bit") == 0, F.col("w") * F.col("before")))).first()[0] or 0.0
-    whole = n * (n - 1) / 2
-    concordant = whole - ties[0].t - ties[1].t + both - discordant
-    scale = math.sqrt((whole - ties[0].t) * (whole - ties[1].t))
-    return (concordant - discordant) / scale if scale else None
+    """Kendall's tau-b in n log n work, without comparing rows pairwise."""
+    return kendall_pairs(df, [(a, b)], max_rows)[0]
 
 
 def cramers_v(df: DataFrame, a: str, b: str, max_distinct: int = 100) -> float | None:
-    """Bias-corrected Cramér's V of two categorical columns; null above ``max_distinct`` values.
-
-    The contingency table is counted on Spark; at most ``max_distinct`` squared cells reach the driver.
-    """
-    sizes = df.agg(F.count_distinct(a).alias("r"), F.count_distinct(b).alias("c")).first()
-    if not sizes.r or not sizes.c or max(sizes) > max_distinct:
-        return None
-    cells = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b"))
-    observed = {(c.a, c.b): c["count"] for c in cells.count().collect()}
-    rows, columns = {}, {}
-    for (i, j), k in observed.items():
-        rows[i] = rows.get(i, 0) + k
-        columns[j] = columns.get(j, 0) + k
-    n, r, c = sum(rows.values()), len(rows), len(columns)
-    yates = r == c == 2
-    chi2 = 0.0
-    for i, ri in rows.items():
-        for j, cj in columns.items():
-            expected = ri * cj / n
-            away = abs(observed.get((i, j), 0) - expected)
-            if yates:
-                away -= min(0.5, away)
-            chi2 += away * away / expected
-    if n < 2:
-        return None
-    phi2 = max(0.0, chi2 / n - (r - 1) * (c - 1) / (n - 1))
-    rest = min(r - (r - 1) ** 2 / (n - 1), c - (c - 1) ** 2 / (n - 1)) - 1
-    return math.sqrt(phi2 / rest) if rest else 1.0
+    """Bias-corrected Cramér's V of two categorical columns; null above ``max_distinct`` values."""
+    return cramers_pairs(df, [(a, b)], max_distinct)[0]

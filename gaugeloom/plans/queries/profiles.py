@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeloom.operators import correlation, profiling
+from gaugeloom.operators import correlation, profiling, ranks
 from gaugeloom.plans.queries.catalog import (
     EVENTS,
     LINE_NUMBERS,
@@ -198,11 +198,24 @@ PAIRS = [("quantity", "price"), ("discount", "tax"), ("price", "sparse")]
 
 @query("P10_spearman", " UNION ALL ".join(_spearman_sql(a, b, LINES) for a, b in PAIRS))
 def spearman(spark, folder):
-    df = lines(spark, folder)
-    rows = [(a, b, correlation.spearman(df, a, b)) for a, b in PAIRS]
+    found = ranks.spearman_pairs(lines(spark, folder), PAIRS)
+    rows = [(a, b, r) for (a, b), r in zip(PAIRS, found)]
     return rounded(spark.createDataFrame(rows, "a string, b string, r double"), "r")
 
 
+RANKED = ["quantity", "price", "discount", "tax", "sparse"]
+RANKED_PAIRS = [(a, b) for i, a in enumerate(RANKED) for b in RANKED[i + 1 :]]
+
+
+@query("P10_spearman_all_columns", " UNION ALL ".join(_spearman_sql(a, b, LINES) for a, b in RANKED_PAIRS))
+def spearman_all_columns(spark, folder):
+    found = correlation.correlations(lines(spark, folder), RANKED, "spearman")
+    first = F.array_position(F.array(*map(F.lit, RANKED)), F.col("variable")) < F.array_position(
+        F.array(*map(F.lit, RANKED)), F.col("other")
+    )
+    return rounded(found.where(first).select(F.col("variable").alias("a"), F.col("other").alias("b"), "r"), "r")
+
+
 def _kendall_sql(a, b, source):
     ties = "(SELECT sum(w * (w - 1) / 2) FROM (SELECT sum(w) AS w FROM g GROUP BY {s}))"
     return f"""SELECT '{a}' AS a, '{b}' AS b, round(cd / sqrt((n0 - n1) * (n0 - n2)), 6) + 0.0 AS tau FROM (
@@ -213,11 +226,24 @@ SELECT (SELECT sum(p.w * q.w * sign(q.y - p.y)) FROM g p JOIN g q ON p.x < q.x)
 
 @query("P11_kendall", _kendall_sql("discount", "tax", LINES) + " UNION ALL " + _kendall_sql("quantity", "discount", LINES))
 def kendall(spark, folder):
-    df = lines(spark, folder)
-    rows = [(a, b, correlation.kendall(df, a, b)) for a, b in (("discount", "tax"), ("quantity", "discount"))]
+    return _kendall_rows(spark, folder, [("discount", "tax"), ("quantity", "discount")])
+
+
+def _kendall_rows(spark, folder, pairs, **options):
+    found = ranks.kendall_pairs(lines(spark, folder), pairs, **options)
+    rows = [(a, b, r) for (a, b), r in zip(pairs, found)]
     return rounded(spark.createDataFrame(rows, "a string, b string, tau double"), "tau")
 
 
+STEPPED_PAIRS = [("discount", "tax"), ("quantity", "discount"), ("quantity", "sparse")]
+
+
+@query("P11_kendall_in_blocks", " UNION ALL ".join(_kendall_sql(a, b, f"(SELECT * FROM {LINES} WHERE {a} IS NOT NULL AND {b} IS NOT NULL)") for a, b in STEPPED_PAIRS))
+def kendall_in_blocks(spark, folder):
+    """The way taken beyond a block's rows, forced by small blocks."""
+    return _kendall_rows(spark, folder, STEPPED_PAIRS, block_rows=40)
+
+
 def _cramers_sql(a, b, source):
     """Without zero cells the statistic is n (Σ O²/(row·column) - 1); none of the pairs is two by two."""
     return f"""SELECT '{a}' AS a, '{b}' AS b, round(sqrt(greatest(0, chi2 / n - (k - 1) * (r - 1) / (n - 1)) /
@@ -233,8 +259,8 @@ CATEGORIES = [("l_returnflag", "l_linestatus"), ("l_returnflag", "discount"), ("
 
 @query("P12_cramers_v", " UNION ALL ".join(_cramers_sql(a, b, LINES) for a, b in CATEGORIES))
 def cramers_v(spark, folder):
-    df = lines(spark, folder)
-    rows = [(a, b, correlation.cramers_v(df, a, b)) for a, b in CATEGORIES]
+    found = ranks.cramers_pairs(lines(spark, folder), CATEGORIES)
+    rows = [(a, b, v) for (a, b), v in zip(CATEGORIES, found)]
     return rounded(spark.createDataFrame(rows, "a string, b string, v double"), "v")
 
 

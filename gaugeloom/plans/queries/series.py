@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeloom.operators import features, ordered, windows as win
+from gaugeloom.operators import features, ordered, relevance, windows as win
+from gaugeloom.operators.ordered import null_safe_join
 from gaugeloom.operators.scale import Scaler, apply_scaler, fit_scaler, invert_scaler, scale_in_out, scale_pair, train_rows
 from gaugeloom.operators.split import split_rows, split_series, validation_tail
 from gaugeloom.plans.queries.catalog import (
@@ -382,6 +383,72 @@ def relevant(spark, folder):
     return rounded(features.relevant_features(stats, targets, LINE_SERIES), "r", places=5)
 
 
+#: Twice the normal tail beyond z, by Simpson's rule over 2,000 steps.
+TAIL = """greatest(0, 1 - sqrt(2 / pi()) * w / 6000 * list_sum(list_transform(range(2001), lambda i:
+  (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-(i * w / 2000) * (i * w / 2000) / 2))))"""
+
+
+def _step_up_sql(tests, independent):
+    """Tests (variable, class, n, z) with p-values and those that a step-up at 0.05 within each class keeps."""
+    divisor = "1" if independent else "list_sum(list_transform(range(1, m + 1), lambda i: 1.0::DOUBLE / i))"
+    return f"""WITH t AS ({tests}), p AS (SELECT *, CASE WHEN z IS NULL THEN 1 ELSE {TAIL} END AS p
+  FROM (SELECT *, least(abs(z), 10) AS w FROM t)),
+o AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY p) AS k, count(*) OVER (PARTITION BY class) AS m FROM p),
+l AS (SELECT *, max(CASE WHEN p <= 0.05 * k / m / {divisor} THEN p ELSE -1 END) OVER (PARTITION BY class) AS border FROM o)
+SELECT variable, class, n::BIGINT AS n, round(z, 5) + 0.0 AS z, round(p, 6) + 0.0 AS p_value, p <= border AS relevant FROM l"""
+
+
+def _kendall_sql(c):
+    """Kendall's score over its deviation, rows compared pairwise."""
+    ties = "(SELECT struct_pack(t2 := sum(k * (k - 1) / 2), t3 := sum(k * (k - 1) * (k - 2)), t5 := sum(k * (k - 1) * (2 * k + 5))) FROM (SELECT count(*)::DOUBLE AS k FROM g GROUP BY {s}))"
+    return f"""SELECT '{c}' AS variable, NULL::VARCHAR AS class, n, CASE WHEN a.t2 < n * (n - 1) / 2 AND b.t2 < n * (n - 1) / 2 THEN
+  score / sqrt((n * (n - 1) * (2 * n + 5) - a.t5 - b.t5) / 18 + 2 * a.t2 * b.t2 / (n * (n - 1)) + a.t3 * b.t3 / (9 * n * (n - 1) * (n - 2))) END AS z FROM (
+WITH g AS (SELECT round({c}, 5) AS x, target AS y FROM s WHERE {c} IS NOT NULL)
+SELECT (SELECT count(*)::DOUBLE FROM g) AS n, {ties.format(s='x')} AS a, {ties.format(s='y')} AS b,
+  (SELECT sum(sign(q.y - p.y))::DOUBLE FROM g p JOIN g q ON p.x < q.x) AS score)"""
+
+
+W19_VALUES = f"WITH s AS (SELECT * FROM ({STATS}) JOIN ({TARGETS}) USING (l_suppkey, segment)) " + " UNION ALL ".join(map(_kendall_sql, STAT_NAMES))
+
+
+@query("W19_relevance_of_statistics", _step_up_sql(W19_VALUES, False))
+def relevance_of_statistics(spark, folder):
+    """Segment statistics tested against the segment's last price; the tests depend on each other."""
+    rows = _segments(spark, folder)
+    stats = rounded(features.segment_stats(rows, "quantity", LINE_SERIES), *STAT_NAMES, places=5)
+    joined = null_safe_join(stats, features.segment_target(rows, "price", LINE_SERIES), [*LINE_SERIES, "segment"])
+    found = relevance.relevance(joined, "target", STAT_NAMES)
+    return rounded(rounded(found, "z", places=5), "p_value")
+
+
+W19_COLUMNS = ["quantity", "price", "discount", "tax", "sparse"]
+
+
+def _rank_sum_sql(c, target, classes):
+    name = f"(SELECT DISTINCT {target} AS class FROM {LINES} WHERE {target} IS NOT NULL{classes})"
+    return f"""SELECT '{c}' AS variable, class, n, CASE WHEN spread > 0 THEN sign(away) * greatest(abs(away) - 0.5, 0) / sqrt(spread) END AS z FROM (
+SELECT class, n, ranks - m * (n + 1) / 2 AS away, m * (n - m) / 12 * (n + 1 - ties / (n * (n - 1))) AS spread FROM (
+SELECT class, count(*)::DOUBLE AS n, count(*) FILTER (y = class)::DOUBLE AS m, sum(r) FILTER (y = class) AS ranks, sum((k * k - 1))::DOUBLE AS ties
+FROM (SELECT {target} AS y, count(*) OVER (PARTITION BY {c})::DOUBLE AS k, rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2 AS r
+  FROM {LINES} WHERE {c} IS NOT NULL AND {target} IS NOT NULL), {name} GROUP BY class))"""
+
+
+def _class_tests(target, classes):
+    return " UNION ALL ".join(_rank_sum_sql(c, target, classes) for c in W19_COLUMNS)
+
+
+@query("W19_relevance_for_two_classes", _step_up_sql(_class_tests("l_linestatus", " AND l_linestatus = 'O'"), True))
+def relevance_for_two_classes(spark, folder):
+    found = relevance.relevance(lines(spark, folder), "l_linestatus", W19_COLUMNS, classes=True, independent=True)
+    return rounded(rounded(found, "z", places=5), "p_value")
+
+
+@query("W19_relevance_for_three_classes", _step_up_sql(_class_tests("l_returnflag", ""), False))
+def relevance_for_three_classes(spark, folder):
+    found = relevance.relevance(lines(spark, folder), "l_returnflag", W19_COLUMNS, classes=True)
+    return rounded(rounded(found, "z", places=5), "p_value")
+
+
 def _prefix_sql(frame):
     """Whole cents, so that sums are exact and means equal to the last digit."""
     return f"""SELECT l_suppkey, idx, count(*) OVER w AS rows, sum(cents) OVER w AS sum, min(cents) OVER w AS minimum,
