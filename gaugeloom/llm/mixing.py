@@ -6,13 +6,20 @@ for certain and once more with probability ``ratio - floor(ratio)``, where ratio
 cube method draws those extra copies: it moves the probabilities along directions that leave the expected
 number of documents and of words unchanged, until a document reaches 0 or 1. Two constraints need three
 undecided documents for such a direction, so a flight over a chunk of a source ends with at most two
-undecided ones. Those of all chunks fly again, chunk by chunk, until one chunk a source is left; there the
-landing settles the last two. Documents fly from long to short, so that short ones are left to the end.
+undecided ones. Those of all chunks fly again, chunk by chunk, until one chunk a source is left. Documents fly
+from long to short, so that short ones are left to the end.
+
+The landing draws the last two and then keeps the words: where a long document among them has thrown the sum
+off, single documents of the last chunk change sides while that brings the sum nearer, the longest that help
+first. Of the ``LANDING`` shortest documents the subset nearest the target is then sought among all subsets. So
+a source's words come as near to its target as its short documents allow, and in a source of few documents the
+chances of inclusion give way to the words.
 
 Chunks and random numbers follow from the rows' content alone: reruns agree. Defined cases: a null text
 has size 0; null sources form one source, last in the order of weights; null identifiers and rows that are
 equal in identifier, source and text are documents of their own; an empty table gives no rows; a source
-without words has target 0 and is not taken.
+without words has target 0 and is not taken; a very long text is one document of many words. Only identifier,
+text and source are read; other columns of any name are returned as they are by ``mixed``.
 """
 
 from __future__ import annotations
@@ -30,6 +37,9 @@ from gaugeloom.session import staged
 
 #: Documents of a source that one task moves through the constraints.
 CHUNK = 20_000
+#: Shortest documents whose subsets are all tried at the end, and most changes of single documents before.
+LANDING = 14
+CHANGES = 64
 WORD = r"[^\x20\x09-\x0D]+"
 NEAR = 1e-9
 #: Types without a hash.
@@ -114,6 +124,32 @@ def _undecided(p: list[float], units: list[int]) -> list[int]:
     return left
 
 
+def landed(sizes: np.ndarray, chance: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+    """``drawn``, a choice of documents, changed until its words are near the expected ones, ``chance`` by size."""
+    out, size = drawn.copy(), sizes.astype(float)
+    free = np.flatnonzero((chance > NEAR) & (chance < 1 - NEAR) & (size > 0))
+    if not len(free):
+        return out
+    away = float(((out - chance) * size).sum())
+    change = np.where(out[free] > 0.5, -size[free], size[free])
+    for _ in range(CHANGES):
+        k = int(np.abs(away + change).argmin())
+        if abs(away + change[k]) >= abs(away) - NEAR:
+            break
+        away += change[k]
+        change[k] = -change[k]
+        out[free[k]] = 1 - out[free[k]]
+    last = np.argsort(size[free], kind="stable")[:LANDING]
+    totals, flips = np.zeros(1), np.zeros(1, int)
+    for c in change[last]:
+        totals, flips = np.concatenate([totals, totals + c]), np.concatenate([flips, flips + 1])
+    best = int(np.lexsort((flips, np.abs(away + totals).round(6)))[0])
+    for bit, k in enumerate(last):
+        if best >> bit & 1:
+            out[free[k]] = 1 - out[free[k]]
+    return out
+
+
 def _fly(units: DataFrame, land: bool) -> DataFrame:
     """One flight over every (source, chunk); column ``chance`` is moved."""
 
@@ -122,7 +158,10 @@ def _fly(units: DataFrame, land: bool) -> DataFrame:
         order = np.lexsort((table.column("number").to_numpy(), mark, -size))
         table = table.take(pa.array(order))
         seed = [int(x) % 2**32 for x in (mark[order[0]], len(order))]
-        moved = flight(size[order], table.column("chance").to_numpy(), np.random.default_rng(seed), land)
+        chance = table.column("chance").to_numpy()
+        moved = flight(size[order], chance, np.random.default_rng(seed), land)
+        if land:
+            moved = landed(size[order], chance, moved)
         at = table.schema.get_field_index("chance")
         return table.set_column(at, "chance", pa.array(moved))
 
