@@ -200,7 +200,8 @@ def model_of(spec: str) -> WordBpe:
     return _MODELS[spec]
 
 
-def _read(path: str) -> str:
+def specification(path: str) -> str:
+    """The tokenizer file's contents, read on the driver."""
     with open(path, encoding="utf-8") as file:
         return file.read()
 
@@ -213,7 +214,7 @@ def _new_column(df: DataFrame, name: str) -> None:
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``, the ids of each text, by the tokenizer file at ``path`` (read on the driver)."""
     _new_column(df, out)
-    spec, at = _read(path), df.columns.index(text)
+    spec, at = specification(path), df.columns.index(text)
 
     def run(batches):
         model = model_of(spec)
@@ -238,7 +239,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     Ids that no token has are left out; null ids give an empty text. The vocabulary is one literal array.
     """
     _new_column(df, out)
-    texts = WordBpe.texts_of(_read(path))
+    texts = WordBpe.texts_of(specification(path))
     listed = F.split(F.lit("\n".join(texts.get(i, "") for i in range(max(texts) + 1))), "\n", -1)
     found = F.transform(F.col(ids), lambda i: F.nullif(F.get(listed, i), F.lit("")))
     return df.withColumn(out, F.coalesce(F.array_join(found, " "), F.lit("")))

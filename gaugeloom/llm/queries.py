@@ -100,12 +100,12 @@ def lines_met_before(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_token_counts")
 def tokens_of_flat_files(spark: SparkSession, folder: str) -> DataFrame:
-    ids = bpe.encode(documents(spark, folder).select("text"), public_tokenizers.path(TOKENIZER)).select("ids")
     path = new_table_path(spark, "tokens")
-    token_files.write_token_files(ids, "ids", path)
+    token_files.write_texts(documents(spark, folder), public_tokenizers.path(TOKENIZER), path)
     found = token_files.token_counts(spark, path)
-    file_no = F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file_no")
-    return found.select(file_no, "doc_no", "start", "n_tokens", "closed")
+    # a task's later files end in c001, c002 and so on
+    part, later = (F.regexp_extract("file", p, 1).cast("long") for p in (r"part-(\d+)", r"-c(\d+)[^/]*$"))
+    return found.select((part * 1_000_000 + later).alias("file_no"), "doc_no", "start", "n_tokens", "closed")
 
 
 @query("op5_vectors")
@@ -145,6 +145,7 @@ def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
         length.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (length > 0).alias("repeats"),
     )
 
 
@@ -160,7 +161,8 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
         for n, kind in enumerate((*pii.KINDS, pii.TERM))
     ]
     base = F.sha2(pii.described(F.col("spans"), len(pii.KINDS)), 256).alias("base_sha256")
-    return rows.select("doc_id", *counts, base, pii.described(F.col("spans"), len(pii.KINDS) + 1).alias("spans"))
+    described = pii.described(F.col("spans"), len(pii.KINDS) + 1).alias("spans")
+    return rows.select("doc_id", *counts, base, described, (F.size("spans") > 0).alias("private"))
 
 
 @query("op9_near_duplicates")

@@ -5,8 +5,14 @@ ended by the identifier of end-of-document. Files are cut into blocks. A task se
 separators with numpy; what crosses block borders is stitched by prefix scans over the blocks of a file:
 tokens before a block, separators before it, and the place of the last separator before it.
 
+A file is read whole before it is cut into blocks, so files are kept small: a new one is begun after ``DOCUMENTS``
+documents. Texts go to bytes in one pass, a few rows at a time, and a block is small enough for the heap's
+ordinary regions.
+
 Defined cases: an empty document is two separators in a row and counts 0 tokens; tokens after a file's
-last separator are a document that is not closed; empty files give no rows. Documents do not cross files.
+last separator are a document that is not closed; empty files give no rows. Documents do not cross files, and
+a very long one is many blocks of one file. Null texts and null ids are empty documents. Repeated rows are
+documents of their own; an empty table gives no rows. Other columns of any name are not written.
 """
 
 from __future__ import annotations
@@ -16,28 +22,53 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gaugeloom.llm import bpe
 from gaugeloom.llm.runs import fewer
 
 #: Big-endian 16-bit identifiers. The separator lies beyond the vocabularies of up to 50,304 tokens, and
 #: its two bytes are one character in UTF-8, which lets Spark's text sink write it between documents.
 WIDTH = ">u2"
 SEPARATOR = 0xC480
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 17
+#: Documents of a file at most, and rows turned to bytes at once.
+DOCUMENTS = 2_000
+ROWS = 256
 
 
-def write_token_files(df: DataFrame, ids: str, path: str, separator: int = SEPARATOR) -> None:
+def write_token_files(df: DataFrame, ids: str, path: str, separator: int = SEPARATOR, documents: int = DOCUMENTS) -> None:
     """Write the ids of each row (array<int>, null: none) followed by the separator."""
-    end = separator.to_bytes(2, "big").decode()
     at = df.columns.index(ids)
+    _write(df, at, lambda: lambda x: x.values.to_numpy(zero_copy_only=False), path, separator, documents)
+
+
+def write_texts(
+    df: DataFrame, tokenizer: str, path: str, text: str = "text", separator: int = SEPARATOR, documents: int = DOCUMENTS
+) -> None:
+    """Write the ids of each text by the tokenizer file ``tokenizer``, followed by the separator."""
+    spec = bpe.specification(tokenizer)
+
+    def made():
+        model = bpe.model_of(spec)
+        return lambda x: np.fromiter(model.encode(x.as_py()), np.int64)
+
+    _write(df.select(text), 0, made, path, separator, documents)
+
+
+def _write(df: DataFrame, at: int, made, path: str, separator: int, documents: int) -> None:
+    """``made()`` gives, inside a task, the function from a value that is not null to its ids."""
+    end = separator.to_bytes(2, "big").decode()
 
     def run(batches):
+        ids_of = made()
         for batch in batches:
-            column = batch.column(at)
-            flat = [x.values.to_numpy(zero_copy_only=False).astype(WIDTH).tobytes() if x.is_valid else b"" for x in column]
-            yield pa.RecordBatch.from_arrays([pa.array(flat, pa.binary())], names=["value"])
+            for begin in range(0, batch.num_rows, ROWS):
+                column = batch.column(at).slice(begin, ROWS)
+                flat = [ids_of(x).astype(WIDTH).tobytes() if x.is_valid else b"" for x in column]
+                yield pa.RecordBatch.from_arrays([pa.array(flat, pa.binary())], names=["value"])
 
     written = df.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-    written.write.option("lineSep", end).option("compression", "none").text(path)
+    options = {"lineSep": end, "compression": "none", "maxRecordsPerFile": documents}
+    written.write.options(**options).text(path)
 
 
 def blocks_of(spark: SparkSession, path: str, width: str = WIDTH, block_tokens: int = BLOCK_TOKENS) -> DataFrame:

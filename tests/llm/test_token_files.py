@@ -45,3 +45,31 @@ def test_empty(spark):
     path = new_table_path(spark, "tokens")
     token_files.write_token_files(spark.createDataFrame([], "ids array<int>"), "ids", path)
     assert token_files.token_counts(spark, path).count() == 0
+
+
+def test_a_file_of_many_blocks_and_files_of_few_documents(spark):
+    """One document over several blocks of the size that is used, and a task's documents in several files."""
+    r = np.random.default_rng(0)
+    long_ = r.integers(0, 50_000, 3 * token_files.BLOCK_TOKENS + 77).tolist()
+    lists = [*([7] * k for k in range(40)), long_, *([8] * k for k in range(40))]
+    path = new_table_path(spark, "tokens")
+    df = spark.createDataFrame([(x,) for x in lists], "ids array<int>").coalesce(1)
+    token_files.write_token_files(df, "ids", path, documents=60)
+    blocks = token_files.blocks_of(spark, path)
+    assert blocks.count() == 5 and blocks.select("file").distinct().count() == 2
+    found = token_files.token_counts(spark, path).collect()
+    assert [x.n_tokens for x in sorted(found, key=lambda x: (x.file.split("-c")[-1], x.doc_no))] == [len(x) for x in lists]
+
+
+def test_texts_are_written_as_the_encoder_has_them(spark):
+    from helpers import docs, odd_rows
+
+    from gaugeloom.llm import bpe
+    from gaugeloom.llm.queries import TOKENIZER
+
+    tokenizer = __import__("public_tokenizers").path(TOKENIZER)
+    table = docs(spark, odd_rows())
+    path = new_table_path(spark, "tokens")
+    token_files.write_texts(table, tokenizer, path, documents=3)
+    wanted = sorted(len(x.ids) for x in bpe.encode(table.select("text"), tokenizer).collect())
+    assert sorted(x.n_tokens for x in token_files.token_counts(spark, path).collect()) == wanted
