@@ -26,10 +26,13 @@ def with_before(df: DataFrame, sizes: str, out: str) -> DataFrame:
     of_block = F.transform(
         F.sequence(F.lit(0), F.size("_blocks") - 1), lambda b: total(F.slice(F.col("_blocks"), F.lit(1), b))
     )
-    before = F.transform(
-        F.sequence(F.lit(0), F.size(sizes) - 1),
-        lambda i: F.get(F.col("_bases"), F.floor(i / BLOCK).cast("int"))
-        + total(F.slice(F.col(sizes), F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK)),
-    )
-    df = df.withColumn("_blocks", F.when(some, blocks)).withColumn("_bases", F.when(some, of_block))
-    return df.withColumn(out, F.when(some, before)).drop("_blocks", "_bases")
+    # the sums before the blocks are a lambda's argument: a column would be put in and summed again for each place
+    def places(bases: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size(sizes) - 1),
+            lambda i: F.get(bases, F.floor(i / BLOCK).cast("int"))
+            + total(F.slice(F.col(sizes), F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK)),
+        )
+
+    before = F.get(F.transform(F.array(of_block), places), F.lit(0))
+    return df.withColumn("_blocks", F.when(some, blocks)).withColumn(out, F.when(some, before)).drop("_blocks")

@@ -8,7 +8,9 @@ the original text.
 
 Defined cases: null texts are empty; a null identifier ranks after all others; lines of fewer than
 ``words`` words are never removed; rows equal in identifier and text are one document, whose result each
-of them gets. The line end goes with a removed line.
+of them gets. The line end goes with a removed line. Ties cannot be: place decides within a text. A very long
+text is many lines, and what is left of it is put together from the runs of lines between removed ones. An
+empty table gives an empty result. An output column that exists already is an error, others stay as they are.
 """
 
 from __future__ import annotations
@@ -51,17 +53,29 @@ def repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
 
 def without_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """``df`` with ``_removed`` (array of (s, e) in code points) and ``_kept`` (the rest of the text)."""
+    for name in ("_removed", "_kept"):
+        if name in map(str.lower, df.columns):
+            raise ValueError(f"column {name} exists")
     gone = repeated_lines(df, doc_id, text, words).groupBy("doc_id", "mark")
-    gone = gone.agg(F.sort_array(F.collect_list(F.struct("no", "s", "e"))).alias("_gone"))
+    gone = gone.agg(F.sort_array(F.collect_list(F.struct("no", "s", "e"))).alias("_gl_gone"))
     gone = gone.withColumnsRenamed({"doc_id": "_gl_d", "mark": "_gl_m"})
     body = F.coalesce(F.col(text), F.lit(""))
     rows = df.withColumn("_gl_mark", F.xxhash64(body))
     rows = rows.join(gone, F.col(doc_id).eqNullSafe(F.col("_gl_d")) & (F.col("_gl_mark") == F.col("_gl_m")), "left")
-    nothing = F.array().cast("array<struct<no:int,s:int,e:int>>")
-    rows = rows.withColumn("_gone", F.coalesce("_gone", nothing))
-    numbers = F.transform("_gone", lambda x: x["no"])
-    lines = F.filter(F.split(body, "\n", -1), lambda x, i: ~F.array_contains(numbers, i))
-    kept = F.when(F.size("_gone") > 0, F.array_join(lines, "\n")).otherwise(body)
-    removed = F.transform("_gone", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-    rows = rows.withColumns({"_removed": removed, "_kept": kept})
+    some = F.col("_gl_gone").isNotNull()
+
+    def between(lines: Column) -> Column:
+        """Runs of lines before, between and after the removed ones."""
+        first = lambda k: F.coalesce(F.get("_gl_gone", k - 1)["no"] + 1, F.lit(0))
+        runs = F.transform("_gl_gone", lambda x, k: F.slice(lines, first(k) + 1, x["no"] - first(k)))
+        rest = F.slice(lines, F.element_at("_gl_gone", -1)["no"] + 2, F.size(lines))
+        return F.concat(F.flatten(runs), rest)
+
+    # the lines are a lambda's argument, so that the text is split once and not once a run
+    left = F.get(F.transform(F.array(F.split(body, "\n", -1)), between), F.lit(0))
+    removed = F.transform("_gl_gone", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    nothing = F.array().cast("array<struct<s:int,e:int>>")
+    rows = rows.withColumns(
+        {"_removed": F.coalesce(removed, nothing), "_kept": F.when(some, F.array_join(left, "\n")).otherwise(body)}
+    )
     return rows.select(*[F.col(f"`{c}`") for c in df.columns], "_removed", "_kept")

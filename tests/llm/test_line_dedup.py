@@ -1,3 +1,4 @@
+import pytest
 import re
 
 from helpers import docs, odd_rows, prose
@@ -40,3 +41,21 @@ def test_empty(spark):
     df = docs(spark, [(1, "x")]).where("false")
     assert line_dedup.without_repeated_lines(df).columns[:-2] == df.columns
     assert line_dedup.without_repeated_lines(df).count() == 0
+
+
+def test_many_repeated_lines(spark):
+    """One text of very many equal lines among others: the work grows with the lines, not with their square."""
+    line = "five words are in here"
+    text = "\n".join([line] * 40_000 + ["another line of five words", ""] + [line] * 40_000)
+    rows = line_dedup.without_repeated_lines(docs(spark, [(1, text), (2, line), (3, "short\n" + line + "\nlast")])).collect()
+    kept = {r.doc_id: (len(r["_removed"]), r["_kept"]) for r in rows}
+    assert kept == {1: (79_999, line + "\nanother line of five words\n"), 2: (1, ""), 3: (1, "short\nlast")}
+
+
+def test_output_columns_that_exist(spark):
+    table = docs(spark, [(1, "x")])
+    for name in ("_removed", "_Kept"):
+        with pytest.raises(ValueError):
+            line_dedup.without_repeated_lines(table.withColumnRenamed("line", name))
+    taken = table.withColumnsRenamed({"line": "_gone", "node": "no"})
+    assert line_dedup.without_repeated_lines(taken).columns == [*taken.columns, "_removed", "_kept"]
