@@ -9,7 +9,9 @@ probabilities, weighted by the bytes they hold; every window of every text count
 
 Null texts and texts without a letter get the language ``und`` and score 0; so does every text if there
 is no labelled one. Ties go to the first language in code point order. Rows are judged one by one, so
-repeated rows get equal results. Other columns of the input stay as they are.
+repeated rows get equal results, and copies enter the sample once. The ``SampleSize.languages`` labels of most
+texts are learned, rarer ones cannot be predicted. An empty table gives an empty result. An output column that
+exists already is an error, others stay as they are.
 """
 
 from __future__ import annotations
@@ -69,20 +71,22 @@ def letters(text: Column) -> Column:
 def sample(df: DataFrame, label: str, text: str, size: SampleSize, seed: int = 0) -> DataFrame:
     """At most ``size.rows`` slices of text per label, chosen and cut by the hash of the row.
 
-    The rows of each label are counted first. Then only rows whose hash lies in the share of its range that
-    holds about twice the rows wanted are ranked, so that what meets in a task does not grow with the table.
+    The distinct texts of each label are counted first. Then only texts whose hash lies in the share of its
+    range that holds about twice the rows wanted are ranked, copies once, so that what meets in a task does not
+    grow with the table.
     """
     rows = df.where(F.col(label).isNotNull() & letters(F.col(text))).select(
         F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(text)).alias("mark")
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(size.languages).collect()
+    counted = rows.groupBy("lang").agg(F.count_distinct("mark").alias("count"))
+    counts = counted.orderBy(F.desc("count"), "lang").limit(size.languages).collect()
     if not counts:
         return rows.limit(0)
     parts = [F.when(F.col("lang") == r["lang"], F.lit(min(1.0, (2 * size.rows + 50) / r["count"]))) for r in counts]
     low = F.pmod("mark", F.lit(1 << 30)) / F.lit(1 << 30) <= F.coalesce(*parts)
     longest = F.greatest(F.length("text") - size.characters, F.lit(0)) + 1
     cut = F.substring(F.col("text"), (F.pmod("mark", longest) + 1).cast("int"), F.lit(size.characters))
-    rows = rows.where(low).select("lang", "mark", cut.alias("text"))
+    rows = rows.where(low).select("lang", "mark", cut.alias("text")).groupBy("lang", "mark").agg(F.min("text").alias("text"))
     order = Window.partitionBy("lang").orderBy("mark", "text")
     return rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= size.rows).orderBy("mark", "lang").drop("n")
 

@@ -49,3 +49,9 @@ def test_sample_is_bounded(spark):
     size = language.SampleSize(rows=10, languages=2, characters=8)
     rows = language.sample(table, "lang", "text", size).collect()
     assert len(rows) == 20 and all(len(r.text) <= 8 for r in rows)
+
+
+def test_copies_enter_the_sample_once(spark):
+    rows = [(i, f"word number {i}", "en", None) for i in range(40)] + [(100 + i, "a copied text", "en", None) for i in range(3000)]
+    got = language.sample(docs(spark, rows), "lang", "text", language.SampleSize(rows=41)).collect()
+    assert len(got) == 41 and sum(r.text == "a copied text" for r in got) == 1
