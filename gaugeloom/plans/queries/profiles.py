@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeloom.operators import correlation, profiling, ranks
+from gaugeloom.operators import correlation, profile_state, profiling, ranks
 from gaugeloom.plans.queries.catalog import (
     EVENTS,
     LINE_NUMBERS,
@@ -17,6 +17,7 @@ from gaugeloom.plans.queries.catalog import (
     rounded,
     table,
 )
+from gaugeloom.session import new_table_path
 
 LINE_COLUMNS = [*LINE_NUMBERS, "fixed"]
 COUNTED = [*LINE_COLUMNS, "l_returnflag"]
@@ -62,6 +63,27 @@ def numeric_stats(spark, folder):
     return rounded(rounded(df, "skewness", "kurtosis", places=5), "variance", "sum", places=2)
 
 
+MERGED_SQL = per_column(
+    LINE_NUMBERS,
+    "count(*) AS n, count(*) - count({c}) AS n_missing, count(*) FILTER ({c} = 0) AS n_zeros, round(min({c}), 6) AS min, "
+    "round(max({c}), 6) AS max, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
+    "round(skewness({c}), 5) + 0.0 AS skewness, round(kurtosis({c}), 5) + 0.0 AS kurtosis",
+    LINES,
+)
+
+
+@query("P0_P2_P3_merged_profile", MERGED_SQL)
+def merged_profile(spark, folder):
+    """States per month of shipping, written as a table in two goes, then merged."""
+    df = lines(spark, folder).withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    path = new_table_path(spark, "states")
+    profile_state.add_pieces(df.where("month < '1995-01'"), path, "month", LINE_NUMBERS)
+    rows = profile_state.add_pieces(df, path, "month", LINE_NUMBERS)
+    found = profile_state.described(profile_state.merged(rows))
+    kept = ["variable", "n", "n_missing", "n_zeros", "min", "max", "mean", "std", "skewness", "kurtosis"]
+    return rounded(rounded(rounded(found.select(*kept), "min", "max"), "mean", "std", places=4), "skewness", "kurtosis", places=5)
+
+
 @query(
     "P3_deviation_stats",
     per_column(

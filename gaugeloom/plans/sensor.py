@@ -53,15 +53,17 @@ class Sensor:
 
 
 def rejected_columns(
-    df: DataFrame, params: dict, keep: Sequence[str], profile: Profile | None = None
+    df: DataFrame, params: dict, keep: Sequence[str], profile: Profile | None = None, report: bool = False
 ) -> tuple[list[str], Profile]:
     """Columns the profile rules reject, and the profile they were read from.
 
-    The whole exact report is computed unless a profile is given, which may be one of less detail.
+    Unless a profile is given, what the rules read is computed in a few scans: constants, shares of zeros and
+    correlations are exact, distinct counts estimated. ``report`` asks for the whole exact report.
     """
     cols = [c for c in df.columns if c not in keep]
     settings = params["clean"]
-    tables = profile or profiling.profile(df, cols, settings["correlation_metric"])
+    metric = settings["correlation_metric"]
+    tables = profile or profiling.profile(df, cols, metric, approximate=not report, detail=report)
     gone = clean.removable_columns(
         tables[0],
         tables[1],
@@ -80,6 +82,7 @@ def prepare(
     order: Sequence[str],
     by_series: bool | None = None,
     profile: Profile | None = None,
+    report: bool = False,
 ) -> Prepared:
     """Profile, clean, featurize, split, scale and cut into windows.
 
@@ -94,7 +97,7 @@ def prepare(
     if settings["combine_files"]:
         series, order = [], [*series, *order]
     target, keys = settings["target"], list(dict.fromkeys([*series, *order]))
-    gone, tables = rejected_columns(df, params, keys, profile)
+    gone, tables = rejected_columns(df, params, keys, profile, report)
     rows = clean.drop_null_rows(clean.drop_columns(df, [c for c in gone if c not in keys]))
     classes: list = []
     outputs = [target]
@@ -179,10 +182,14 @@ def create_sensor(
     order: Sequence[str],
     by_series: bool | None = None,
     profile: Profile | None = None,
+    report: bool = False,
 ) -> tuple[Sensor, DataFrame]:
-    """Fit a sensor; returns it with its predictions on the test part."""
+    """Fit a sensor; returns it with its predictions on the test part.
+
+    ``report`` makes the whole profile report on the way, as an asset of the sensor.
+    """
     params = registry.merge_params(params)
-    made = prepare(df, params, series, order, by_series, profile)
+    made = prepare(df, params, series, order, by_series, profile, report)
     settings = params["train"]
     classification = params["clean"]["classification"]
     n_outputs = 1 if classification else params["sequentialize"]["target_size"]
