@@ -8,7 +8,7 @@ it, that is, if merging would never cross the border between the two. Following
 backwards from the end gives the ids of the greedy merge order, without running merges.
 
 Nulls count as empty texts, which have no ids. Every row is encoded by itself, so ties and repeated rows
-change nothing; other columns of the input stay as they are, and an output name that is taken raises.
+change nothing, a very long text is encoded whole, word by word, and an empty table gives an empty result; other columns of the input stay as they are, and an output name that is taken raises.
 Letters that only the newest Unicode versions know may be cut otherwise than by a library of another version.
 """
 

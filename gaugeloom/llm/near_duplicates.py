@@ -11,7 +11,10 @@ over many tasks, so that every two of its classes meet. Links are counted, and c
 
 Defined cases: words are maximal runs without ASCII white space, in lower case. Null texts and texts
 without words link with nothing. Null identifiers are allowed; a component is named by its smallest
-identifier that is not null. Rows that repeat an identifier are documents of their own.
+identifier that is not null. Rows that repeat an identifier are documents of their own, and equal texts, of
+any number, one class. A very long text is hashed whole. An empty table gives an empty result. Identifier and
+text alone are read for the links; ``one_of_each`` returns the other columns as they are, but for names
+beginning with ``_gl_``, which are the operator's own.
 """
 
 from __future__ import annotations

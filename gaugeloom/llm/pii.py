@@ -13,7 +13,12 @@ are written with possessive steps, to stay linear on any text; they match what t
 
 Defined cases: null texts are empty and have no findings. A term is a run of letters and digits outside
 base findings, in lower case. Rows of equal identifier and text get equal findings; null identifiers are
-allowed. Only built-in functions are used.
+allowed. Ties cannot be: spans are sorted by kind and place. An empty table gives an empty result. Columns
+beside identifier and text stay as they are, those beginning with ``_gl_`` are the operator's own. Only
+built-in functions are used.
+
+Terms are judged against kinds of entities, not against single ones: the same entity beside the same word in
+several different lines is, in a corpus, nearly always a near copy of a text, and would flag its plain words.
 """
 
 from __future__ import annotations

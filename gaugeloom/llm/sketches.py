@@ -7,7 +7,10 @@ merged by union and cut again, and the share of one sketch found in another esti
 unequal the texts are. Only built-in functions are used.
 
 Defined cases: words are maximal runs without ASCII white space, in lower case. Null texts are empty;
-texts without words have the empty sketch, which is like another empty one and unlike all others.
+texts without words have the empty sketch, which is like another empty one and unlike all others. Repeated rows
+have equal sketches; in ``with_next`` they follow one another, ties in an order of their content. A very long
+text is one row whose sketch grows with it. An empty table gives an empty result. Other columns stay as they
+are; names beginning with ``_`` and the names of the columns added are the operator's own.
 """
 
 from __future__ import annotations

@@ -11,7 +11,10 @@ An anchor hash of more than ``HOT`` different fragments would be too much for a
 a fragment of its own, collapsed like the others, and equal windows meet in the count.
 
 Defined cases: null texts are empty; texts shorter than ``length`` have nothing removed; matches never
-cross documents; rows that are equal, identifier included, repeat each other and lose what they share.
+cross documents; rows that are equal, identifier included, repeat each other and lose what they share. Null
+identifiers are allowed. Ties between equal hashes go to the first place. A very long text is one row, whose
+windows are dealt like others. An empty table gives an empty result. Only identifier and text are read, so
+other columns of any name do not matter.
 """
 
 from __future__ import annotations

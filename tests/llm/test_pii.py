@@ -124,3 +124,19 @@ def test_query(spark):
         kinds = [x.split(":")[0] for x in want]
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds.count(k) for k in PLAIN]
         assert [x for x in r.spans.split(",") if x and not x.startswith("term")] == want
+
+
+def test_query_returns_terms(spark, tmp_path):
+    """On a table whose words tell of numbers, the query adds their spans; without the method it does not."""
+    rows = [(i, f"{prose(i, 30)}\nplease call kontakt {prose(900 + i, 1)} at +1 (555) 555-{1000 + i} today") for i in range(15)]
+    rows += [(100 + i, f"please read this {prose(i, 20)} today at home") for i in range(300)]
+    rows += [(500, "kontakt without a number\nand Kontakt again")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in QUERIES["op8_pii"](spark, str(tmp_path)).collect()}
+    texts = dict(rows)
+    for i in range(15):
+        terms = [s.split(":")[1:] for s in found[i].spans.split(",") if s.startswith("term")]
+        assert "kontakt" in {texts[i][int(a) : int(b)] for a, b in terms}
+        assert found[i].n_term == len(terms) >= 1 and found[i].n_phone == 1 and found[i].private
+    assert found[500].spans == "term:0:7,term:29:36" and found[500].private and found[500].n_term == 2
+    assert all(not found[100 + i].private and found[100 + i].n_term == 0 for i in range(300))
