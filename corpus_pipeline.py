@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again
 as the next stage's docs. All but the last return the columns of documents.
+
+All stages: an empty table gives an empty one. Columns beyond those of documents, of any name that does not
+begin with ``_gl_``, go through unchanged up to the last stage. Very long texts are worked on whole. Null
+identifiers are allowed, and rows with equal identifiers are documents of their own.
 """
 
 from __future__ import annotations
@@ -20,7 +24,9 @@ LEAST_SCORE = 0.4
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that have no letters or whose language is not told with ``LEAST_SCORE``.
 
-    If no row outside the held-out quarter is labelled, no language is told and all documents go.
+    Null and empty texts have no letters and go. Repeated rows get equal scores and stay or go together; a tie
+    between languages goes to the first in code point order. If no row outside the held-out quarter is
+    labelled, no language is told and all documents go.
     """
     network = language.fit(docs.where(~language.held_out()))
     found = language.identify(docs, network, lang="_gl_lang", score="_gl_score")
@@ -29,23 +35,39 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays.
+
+    Null and empty texts, and those without words, are near to nothing and stay. Of a group the row of the
+    smallest identifier that is not null stays; of several rows of it, one.
+    """
     return near_duplicates.one_of_each(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and the terms that disclose it are replaced; ``n_chars`` follows the text."""
+    """Personal data and the terms that disclose it are replaced; ``n_chars`` follows the text.
+
+    Null texts stay null, empty ones empty, and all rows stay. Repeated rows get equal texts. Findings that
+    overlap are replaced as one, by the kind of the first.
+    """
     clean = pii.sanitised(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document comes as often as the mix takes it."""
+    """Sources at their target weights: a document comes as often as the mix takes it.
+
+    Documents are taken whole, at most twice. Null and empty texts have no words and are drawn like others of
+    their source; null sources form one source. Repeated rows are drawn one by one, ties by their content.
+    """
     return mixing.mixed(docs, weights=(5, 2, 1), share=1.5, cap=2.0)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, their number and their text as decoded."""
+    """Token ids of each document, their number and their text as decoded.
+
+    Null and empty texts have no ids. Every row is encoded by itself, repeated ones alike; of the columns only
+    identifier, source and text are kept, besides those made.
+    """
     path = public_tokenizers.path("word_bpe_49k.json")
     ids = bpe.encode(docs.select("doc_id", "source", "text"), path).select("doc_id", "source", "ids")
     return bpe.decode(ids, path).withColumn("n_tokens", F.size("ids").cast("long"))
