@@ -15,6 +15,7 @@ are; names beginning with ``_`` and the names of the columns added are the opera
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 WORDS = 5
 FRACTION = 1 / 8
+#: Borders of ranges that a value is compared with at once.
+GROUP = 256
 
 
 def _most(fraction: float) -> int:
@@ -69,7 +72,23 @@ def written(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda g: F.lpad(F.lower(F.hex(g)), 16, "0")), "")
 
 
-def with_next(df: DataFrame, order: str, ties: list[str], next_of: dict[str, str], rows: int = 20_000) -> DataFrame:
+def _range_of(borders: list[int], value: Column) -> tuple[Column, Column]:
+    """How many of the sorted borders are not above the value, and whether one is equal to it.
+
+    Borders are literals in groups of ``GROUP``: a value is compared with the groups' first ones, then with one group.
+    """
+    if not borders:
+        return F.lit(0), F.lit(False)
+    groups = [borders[i : i + GROUP] for i in range(0, len(borders), GROUP)]
+    firsts = F.from_json(F.lit(json.dumps([g[0] for g in groups])), "array<bigint>")
+    nested = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
+    group = F.size(F.filter(firsts, lambda x: x <= value)) - 1
+    within = F.get(nested, group)
+    place = group * GROUP + F.size(F.filter(within, lambda x: x <= value))
+    return F.when(group >= 0, place).otherwise(0), (group >= 0) & F.coalesce(F.array_contains(within, value), F.lit(False))
+
+
+def with_next(df: DataFrame, order: str, ties: list[str], next_of: dict[str, str], rows: int = 100_000) -> DataFrame:
     """Add for each row columns of the next one, by ``order`` (null first) and ``ties``; the last's is the first.
 
     Rows are dealt in ranges of ``order`` of about ``rows`` rows. Borders are values of the column, so the
@@ -81,11 +100,10 @@ def with_next(df: DataFrame, order: str, ties: list[str], next_of: dict[str, str
     borders = df.agg(F.percentile_approx(order, F.array(*map(F.lit, at)), 10 * parts)).first()[0] or []
     least = df.agg(F.min(order)).first()[0]
     borders = sorted({x for x in borders if x is not None and x > least})
-    list_ = F.array(*[F.lit(x).cast("long") for x in borders]) if borders else F.array().cast("array<bigint>")
-    own = F.coalesce(F.size(F.filter(list_, lambda x: x <= F.col(order))), F.lit(0))
+    own, at_border = _range_of(borders, F.col(order))
     own = F.when(F.col(order).isNull(), 0).otherwise(own)
     place = lambda part, lent: F.struct(part.cast("int").alias("part"), F.lit(lent).alias("lent"))
-    both = F.when(F.array_contains(list_, F.col(order)), F.array(place(own, False), place(own - 1, True)))
+    both = F.when(at_border, F.array(place(own, False), place(own - 1, True)))
     dealt = df.withColumn("_at", F.explode(both.otherwise(F.array(place(own, False)))))
     sort = [F.col(order).asc_nulls_first(), *[F.col(t) for t in ties]]
     first = df.orderBy(*sort).limit(1).withColumn("_at", place(F.lit(len(borders)), True))

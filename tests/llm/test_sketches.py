@@ -75,3 +75,14 @@ def test_query(spark):
         a, b = grams(text), grams(edited)
         off += abs(r.near_edited - len(a & b) / len(a | b)) if a | b else 0
     assert off / len(rows) < 0.1
+
+
+def test_next_row_over_groups_of_borders(spark, monkeypatch):
+    """Many ranges, whose borders are sought group by group; null, repeated and negative identifiers too."""
+    monkeypatch.setattr(sketches, "GROUP", 3)
+    ids = [None, None, -5, -5, *range(0, 400, 3), 7, 7, 7, 1000]
+    df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string").repartition(3)
+    rows = sketches.with_next(df, "doc_id", ["text"], {"next": "text"}, rows=4).collect()
+    order = sorted(((i, f"t{k}") for k, i in enumerate(ids)), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    wanted = {(a[0], a[1], b[1]) for a, b in zip(order, [*order[1:], order[0]])}
+    assert len(rows) == len(ids) and {(r.doc_id, r.text, r.next) for r in rows} == wanted
