@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloom.operators import evaluate, ordered, profiling, registry
@@ -296,3 +299,37 @@ def get_sensor(spark, folder):
 )
 def check_assets(spark, folder):
     return registry.check_assets(_registry(spark, folder))
+
+
+FORM = """SELECT r_regionkey AS id, r_name AS dataset, 'value' AS target, 'dt' AS learning_method,
+  (r_regionkey + 3) / 10.0::DOUBLE AS train_split, 10::BIGINT AS window_size, 200::BIGINT AS n_epochs, 'minmax' AS input_scaler FROM region"""
+
+
+@query("G4_parameters_of_a_form", FORM)
+def parameters_of_a_form(spark, folder):
+    """A form for each region, laid over the default parameters and read back from the registry's text."""
+    forms = table(spark, folder, "region").select("r_regionkey", "r_name").collect()
+    rows = [
+        registry.registry_row(spark, registry.params_from_form(r.r_name, "value", "dt", r.r_regionkey + 3), {}, sensor_id=r.r_regionkey)
+        for r in forms
+    ]
+    found = reduce(DataFrame.unionByName, rows)
+    fields = {
+        "dataset": ("profile.dataset", "string"),
+        "target": ("clean.target", "string"),
+        "learning_method": ("train.learning_method", "string"),
+        "train_split": ("split.train_split", "double"),
+        "window_size": ("sequentialize.window_size", "long"),
+        "n_epochs": ("train.n_epochs", "long"),
+        "input_scaler": ("scale.input", "string"),
+    }
+    cells = [F.get_json_object("params", f"$.{place}").cast(kind).alias(name) for name, (place, kind) in fields.items()]
+    return found.select("id", *cells)
+
+
+@query("X8_second_as_id", "SELECT epoch(max(ts))::BIGINT AS id, 'events' AS dataset FROM events")
+def second_as_id(spark, folder):
+    """The second of the newest event as the id of a sensor, where a caller gives one."""
+    newest = events(spark, folder).agg(F.max(F.unix_timestamp("ts"))).first()[0]
+    row = registry.registry_row(spark, {"profile": {"dataset": "events"}}, {}, sensor_id=newest)
+    return row.select("id", F.get_json_object("params", "$.profile.dataset").alias("dataset"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +26,9 @@ def read_series(
     """All files of one format in a folder as one frame, united by column name.
 
     ``dataset`` picks a sub-folder, ``drop_index`` drops the first column, ``file_column`` adds the
-    name of the file each row came from. CSV files are matched by their own header lines, which costs
-    a scan for those lines; without a schema another scan finds the types. Columns that a file lacks
+    name of the file each row came from. CSV files are matched by their own header lines; of a file larger
+    than a task's share only the beginning and the last piece are read for that. Without a schema a scan finds
+    the types. Columns that a file lacks
     are null; with a schema, columns that it lacks are left out.
     """
     folder = f"{path}/{dataset}" if dataset else path
@@ -48,12 +51,33 @@ def _with_file(df: DataFrame, file_column: str | None) -> DataFrame:
     return df.withColumn(file_column, base_name(F.col("_metadata.file_path"))) if file_column else df
 
 
+def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, head): the first line of each file that begins in this task's pieces.
+
+    A piece that is not its file's last one fills a task by itself, so after its first batch nothing is read any
+    more. Small files and last pieces share tasks and are read through.
+    """
+    seen: set[str] = set()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        value, path, start, length, size = batch.columns
+        begins = np.flatnonzero(start.to_numpy() == 0)
+        paths = path.take(pa.array(begins)).to_pylist()
+        new = {p: i for p, i in zip(reversed(paths), reversed(begins.tolist())) if p not in seen}
+        if new:
+            seen.update(new)
+            heads = value.take(pa.array(list(new.values())))
+            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string()), heads], names=["path", "head"])
+        if start[0].as_py() + length[0].as_py() < size[0].as_py():
+            return
+
+
 def _files_by_header(spark: SparkSession, folder: str) -> list[list[str]]:
     """Paths of the CSV files of a folder, those of one header line together, in order of their names."""
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
-    lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
-    lines = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id())
-    heads = lines.groupBy("path").agg(F.min_by("value", "n").alias("head"))
+    pieces = [F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start", "file_block_length", "file_size")]
+    heads = lines.select("value", *pieces).mapInArrow(first_lines, "path string, head string")
     found = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     return sorted([unquote(p) for p in row.paths] for row in found.collect())
 

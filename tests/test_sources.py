@@ -104,3 +104,50 @@ def test_write_series_makes_no_more_files_than_tasks(spark, tmp_path):
     files = io.list_files(spark, str(tmp_path / "out"), ".parquet")
     assert files.count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert io.read_series(spark, str(tmp_path / "out"), "parquet").exceptAll(df).count() == 0
+
+
+def test_headers_of_files_in_many_pieces(spark, tmp_path):
+    """Files cut into pieces: every header is found, whichever task its file begins in."""
+    for i in range(6):
+        names = ["a", "b", "c"][: 1 + i % 3]
+        lines = [",".join(names), *(",".join([str(k)] * len(names)) for k in range(4000 if i < 4 else 3))]
+        (tmp_path / f"f{i}.csv").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "64")
+        groups = io._files_by_header(spark, str(tmp_path))
+        rows = io.read_series(spark, str(tmp_path), "csv").count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert [[p[-6:] for p in g] for g in groups] == [["f0.csv", "f3.csv"], ["f1.csv", "f4.csv"], ["f2.csv", "f5.csv"]]
+    assert rows == 4 * 4000 + 2 * 3
+
+
+def test_a_whole_piece_is_left_after_its_first_batch():
+    import pyarrow as pa
+
+    def batch(start, length, size, lines, path="p"):
+        n = len(lines)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(lines), pa.array([path] * n), pa.array([start] * n), pa.array([length] * n), pa.array([size] * n)],
+            names=["value", "path", "start", "length", "size"],
+        )
+
+    def pulled(batches):
+        taken = []
+
+        def feed():
+            for b in batches:
+                taken.append(b)
+                yield b
+
+        return [r for out in io.first_lines(feed()) for r in out.to_pylist()], len(taken)
+
+    rows, n = pulled([batch(0, 10, 100, ["head", "x"]), batch(0, 10, 100, ["y"])])
+    assert rows == [{"path": "p", "head": "head"}] and n == 1
+    assert pulled([batch(10, 10, 100, ["x"]), batch(10, 10, 100, ["y"])]) == ([], 1)
+    mixed = [batch(0, 5, 5, ["h1", "x"], "a"), batch(0, 5, 5, ["y"], "a"), batch(90, 10, 100, ["z"], "p"), batch(0, 4, 4, ["h2"], "b")]
+    rows, n = pulled(mixed)
+    assert rows == [{"path": "a", "head": "h1"}, {"path": "b", "head": "h2"}] and n == 4
