@@ -434,17 +434,36 @@ def missing_heatmap(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return correlation_table(missing_matrix(df, cols), cols)
 
 
+def _row_hashes(df: DataFrame) -> DataFrame:
+    """Hashes of whole rows and how often each occurs."""
+    return df.select(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _may_repeat(df: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The rows whose hash occurs again: whole rows are shuffled only for these."""
+    again = hashes.where(F.col("_n") > 1).select("_hash")
+    rows = df.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return rows.join(again, "_hash", "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def duplicates(df: DataFrame, k: int = DUPLICATE_ROWS) -> DataFrame:
     """The k most frequent repeated rows with their counts."""
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("n_copies")).where(F.col("n_copies") > 1)
+    rows = _may_repeat(df, _row_hashes(df))
+    counted = rows.groupBy(*df.columns).agg(F.count("*").alias("n_copies")).where(F.col("n_copies") > 1)
     return top_k(counted, [F.col("n_copies").desc(), *df.columns], k)
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier one: n_duplicates, p_duplicates."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
-    n = F.sum(F.col("n") - 1)
-    return groups.agg(n.alias("n_duplicates"), share(n, F.sum("n")).alias("p_duplicates"))
+    hashes = _row_hashes(df)
+    groups = _may_repeat(df, hashes).groupBy(*df.columns).agg(F.count("*").alias("n"))
+    none = F.lit(None).cast("long")
+    parts = groups.agg(F.sum(F.col("n") - 1).alias("again"), none.alias("rows")).unionByName(
+        hashes.agg(none.alias("again"), F.sum("_n").alias("rows"))
+    )
+    one = parts.agg(F.max("again").alias("again"), F.max("rows").alias("rows"))
+    n = F.when(F.col("rows").isNotNull(), F.coalesce("again", F.lit(0)))
+    return one.select(n.alias("n_duplicates"), share(n, F.col("rows")).alias("p_duplicates"))
 
 
 def samples(df: DataFrame, order: Sequence[str], head: int = SAMPLE_ROWS, tail: int = SAMPLE_ROWS) -> DataFrame:

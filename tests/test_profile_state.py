@@ -80,3 +80,17 @@ def test_new_files_only_are_read(spark, table):
 
 def test_empty(spark, table):
     assert ps.described(ps.merged(ps.states(table.where("false"), COLS, "file"))).count() == 0
+
+
+def test_repeated_rows_by_hash(spark):
+    rows = [(i % 5, None if i % 2 else "x", float(i % 3)) for i in range(60)] + [(100 + i, "y", float("nan")) for i in range(7)]
+    rows += [(200, "z", 0.0), (200, "z", -0.0), (300, None, float("nan")), (300, None, float("nan"))]
+    df = spark.createDataFrame(rows, "a int, `b.c` string, d double").withColumnRenamed("b.c", "b")
+    groups = df.groupBy("a", "b", "d").count()
+    wanted = groups.agg(F.sum(F.col("count") - 1)).first()[0]
+    got = profiling.duplicate_count(df).first()
+    assert got.n_duplicates == wanted and got.p_duplicates == pytest.approx(wanted / len(rows))
+    copies = sorted(r.n_copies for r in profiling.duplicates(df, 1000).collect())
+    assert copies == sorted(r["count"] for r in groups.where("count > 1").collect())
+    assert tuple(profiling.duplicate_count(df.where("a >= 100 and a < 110")).first()) == (0, 0.0)
+    assert profiling.duplicate_count(df.where("false")).first().n_duplicates is None
