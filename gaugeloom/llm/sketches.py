@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORDS = 5
-FRACTION = 1 / 8
+FRACTION = 1 / 4
 #: Borders of ranges that a value is compared with at once.
 GROUP = 256
 
