@@ -176,3 +176,29 @@ def test_first_trees_are_newton_steps(spark):
     model = boosting.fit_softmax_boosting(df, 3, 1, depth=0)
     assert all(abs(t["value"][0]) < 1e-6 for t in model.rounds[0])
     assert np.allclose(np.exp(model.start), [0.1, 0.3, 0.6])
+
+
+def test_network_sensor_from_raw_rows_to_inference(spark, tmp_path):
+    """A network with early stopping through the whole plan: split, scaling, windows, fit, save, load, score."""
+    from test_models import milling
+
+    from gaugeloom.plans import sensor as plans
+
+    params = {
+        "clean": {"target": "position"},
+        "featurize": {"features": ["command", "vibration"]},
+        "split": {"train_split": 0.6, "calibrate_split": 0.2},
+        "scale": {"input": "standard", "output": "minmax"},
+        "sequentialize": {"window_size": 5},
+        "train": {"learning_method": "dnn", "n_epochs": 30, "patience": 5},
+    }
+    df = milling(spark)
+    made, scores = plans.create_sensor(df, params, ["s"], ["t"], by_series=False)
+    assert made.metrics["r2"] > 0.8 and models.FIRST_EPOCHS < len(made.model.history) <= models.FIRST_EPOCHS + 30
+    assert scores.where("lower_bound > predicted OR predicted > upper_bound").count() == 0
+    assets = plans.save_sensor(spark, made, str(tmp_path / "sensor"))
+    model = models.load_model(spark, assets["model"], assets["kind"])
+    assert model == made.model
+    found = plans.infer(made, df.drop("position"), ["s"], ["t"])
+    truth = df.join(found.withColumnRenamed("idx", "t"), ["s", "t"])
+    assert truth.agg(F.corr("position", "predicted")).first()[0] > 0.9
