@@ -7,7 +7,7 @@ from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,24 +109,49 @@ def _read_csv(spark, folder, schema, drop_index, file_column):
 
 # Types a text column may turn out to hold, the first that takes all its values.
 _TYPES = ("int", "bigint", "double", "boolean", "timestamp")
+#: What a text that can be cast must look like; a cast that fails costs many times one that succeeds.
+_LOOKS = {
+    "bigint": r"^[^0-9A-Za-z.:+-]*[+-]?0*[0-9]{1,19}[^0-9A-Za-z.:+-]*$",
+    "double": r"(?i)^[^0-9a-z.+-]*[+-]?(infinity|inf|nan|0x[0-9a-f.]+p[+-]?[0-9]+|[0-9]*[.]?[0-9]*(e[+-]?[0-9]+)?)[df]?[^0-9a-z.+-]*$",
+    "boolean": r"(?i)^[^0-9a-z]*(t|true|y|yes|1|f|false|n|no|0)[^0-9a-z]*$",
+}
+_INT = (-(2**31), 2**31 - 1)
+
+
+def _taken(c: str, kind: str) -> Column:
+    """Whether ``try_cast`` to the type takes the value; never null."""
+    if kind == "int":
+        return F.coalesce(_tried(c, "bigint").between(*_INT), F.lit(False))
+    return _tried(c, kind).isNotNull()
+
+
+def _tried(c: str, kind: str) -> Column:
+    cast = F.expr(f"try_cast(`{c}` AS {kind})")
+    return F.when(F.col(f"`{c}`").rlike(_LOOKS[kind]), cast) if kind in _LOOKS else cast
 
 
 def _typed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Text columns cast to the narrowest type that takes all their values: one scan for all columns."""
-    if not columns:
-        return df
-    fits = [
-        F.count(F.when(F.col(f"`{c}`").isNotNull() & F.expr(f"try_cast(`{c}` AS {kind})").isNull(), 1)).alias(f"{i}_{kind}")
-        for i, c in enumerate(columns)
-        for kind in _TYPES
-    ]
-    misfits = df.agg(*fits).first()
-    casts = {}
-    for i, c in enumerate(columns):
-        kind = next((k for k in _TYPES if not misfits[f"{i}_{k}"]), None)
-        if kind:
-            casts[c] = F.col(f"`{c}`").cast(kind)
-    return df.select(*[casts[c].alias(c) if c in casts else F.col(f"`{c}`") for c in df.columns])
+    """Text columns cast to the narrowest type that takes all their values.
+
+    One scan tries the number types on all columns, a second the others on the columns that hold no numbers.
+    """
+    found: dict[str, str] = {}
+    for kinds in (_TYPES[:3], _TYPES[3:]):
+        left = [(i, c) for i, c in enumerate(columns) if c not in found]
+        if not left:
+            break
+        misfits = df.agg(
+            *[
+                F.count(F.when(F.col(f"`{c}`").isNotNull() & ~_taken(c, kind), 1)).alias(f"{i}_{kind}")
+                for i, c in left
+                for kind in kinds
+            ]
+        ).first()
+        for i, c in left:
+            kind = next((k for k in kinds if not misfits[f"{i}_{k}"]), None)
+            if kind:
+                found[c] = kind
+    return df.select(*[F.col(f"`{c}`").cast(found[c]).alias(c) if c in found else F.col(f"`{c}`") for c in df.columns])
 
 
 def read_clean(spark: SparkSession, path: str, delete_columns: Sequence[str] = (), **options) -> DataFrame:

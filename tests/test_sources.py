@@ -151,3 +151,28 @@ def test_a_whole_piece_is_left_after_its_first_batch():
     mixed = [batch(0, 5, 5, ["h1", "x"], "a"), batch(0, 5, 5, ["y"], "a"), batch(90, 10, 100, ["z"], "p"), batch(0, 4, 4, ["h2"], "b")]
     rows, n = pulled(mixed)
     assert rows == [{"path": "a", "head": "h1"}, {"path": "b", "head": "h2"}] and n == 4
+
+
+def test_types_are_found_without_failing_casts(spark, monkeypatch):
+    """The types are those of plain casts over all values; the other types are tried on columns without numbers only."""
+    cells = {
+        "int": ["1", " 2 ", "+3", "-0004", None],
+        "bigint": ["1", "2147483648", "-9223372036854775808", None],
+        "double": ["1", ".5", "-1e3", "NaN", "Infinity", "0x1p3", "2.5d", "9223372036854775808", "1."],
+        "boolean": ["t", " YES ", "0", "False", "n"],
+        "timestamp": ["2001", "2001-02-03", "2001-02-03 04:05:06.7", " 2001-02 "],
+        "string": ["1", "2020-01-01", "x", "", "1 2", "--1", "1e", "+", "true"],
+    }
+    tried = []
+    taken = io._taken
+    monkeypatch.setattr(io, "_taken", lambda c, kind: tried.append((c, kind)) or taken(c, kind))
+    longest = max(map(len, cells.values()))
+    rows = [tuple((values + [None] * longest)[n] for values in cells.values()) for n in range(longest)]
+    df = spark.createDataFrame(rows, ", ".join(f"as_{kind} string" for kind in cells))
+    found = dict(io._typed(df, df.columns).dtypes)
+    assert found == {f"as_{kind}": kind for kind in cells}
+    assert {c for c, kind in tried if kind in ("boolean", "timestamp")} == {"as_boolean", "as_timestamp", "as_string"}
+    for kind in ("int", "bigint", "double", "boolean", "timestamp"):
+        for c in df.columns:
+            same = df.where(f"{c} IS NOT NULL").select(taken(c, kind).alias("a"), F.expr(f"try_cast({c} AS {kind}) IS NOT NULL").alias("b"))
+            assert same.where("a <> b").count() == 0, (c, kind)
