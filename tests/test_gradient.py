@@ -202,3 +202,51 @@ def test_network_sensor_from_raw_rows_to_inference(spark, tmp_path):
     found = plans.infer(made, df.drop("position"), ["s"], ["t"])
     truth = df.join(found.withColumnRenamed("idx", "t"), ["s", "t"])
     assert truth.agg(F.corr("position", "predicted")).first()[0] > 0.9
+
+
+def test_random_cosines_are_cosines():
+    draw = np.random.default_rng(10)
+    machine = gradient.SupportVector(5, 0.1, 0.1, "rbf", 37)
+    x = draw.normal(0, 20, (gradient.COSINE_ROWS * 2 + 3, 5))
+    wanted = np.sqrt(2 / 37) * np.cos(x @ machine.turns + machine.shift)
+    found = np.vstack([z.copy() for _, z in machine._mapped(x)])
+    assert np.abs(found - wanted).max() < 1e-13
+
+
+def test_samples_are_staged_as_blocks(spark, monkeypatch):
+    """A scan meets whole blocks, not one row a sample; held-out samples are in them."""
+    monkeypatch.setattr(gradient, "BLOCK_VALUES", 50)
+    draw = np.random.default_rng(11)
+    x, y = draw.normal(size=(60, 3)), draw.normal(size=60)
+    data = packed(samples(spark, x, y, 1)).withColumn("validation", F.monotonically_increasing_id() % 3 == 0)
+    held = np.array([r.validation for r in data.collect()])
+    truth = np.array([[*r.features.toArray(), r.label] for r in data.collect()])
+    blocks, (centre, scale, y_centre, y_scale), n, _ = gradient._prepared(data, True)
+    assert n == (~held).sum() and blocks.count() == 6
+    network = gradient.Dense((3, 4, 1))
+    w = network.start(0)
+    loss, slope, watched = gradient._scan(blocks, network, w, 3)
+    a, b = (truth[:, :3] - centre) / scale, (truth[:, 3] - y_centre) / y_scale
+    wanted = network.batch(w, a[~held], b[~held])
+    assert loss == pytest.approx(wanted[0] / n) and np.allclose(slope, wanted[1] / n)
+    assert watched == pytest.approx(network.losses(w, a[held], b[held]).mean())
+
+
+@pytest.mark.parametrize("method", ["xgboost", "dnn"])
+def test_windows_are_made_once_for_a_fit(spark, method):
+    made = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda v: (made.add(1), v)[1], "double").asNondeterministic()
+    draw = np.random.default_rng(12)
+    df = samples(spark, draw.normal(size=(80, 2)), draw.normal(size=80))
+    df = df.withColumn("y", F.array(count(F.col("y")[0])))
+    models.train(df, method, n_epochs=1, early_stopping=True, order=["idx"])
+    assert made.value == 80
+
+
+def test_tree_samples_are_dealt_by_their_values(spark, monkeypatch):
+    monkeypatch.setattr(models, "TASK_VALUES", 100)
+    draw = np.random.default_rng(13)
+    df = packed(samples(spark, draw.normal(size=(200, 2)), draw.normal(size=200), 1))
+    assert models._spread(df).rdd.getNumPartitions() == 4
+    monkeypatch.setattr(models, "TASK_VALUES", 400)
+    assert models._spread(df) is df
