@@ -17,6 +17,8 @@ from gaugeloom.session import staged
 Pairs = Sequence[tuple[str, str]]
 #: Most blocks that the rows of a pair are cut into; the table of blocks by buckets is one task's.
 MOST_BLOCKS = 2_048
+#: Most distinct values, about, of a column whose ranks every task looks up.
+FEW_VALUES = 10_000
 
 
 def _known(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -25,36 +27,57 @@ def _known(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.nanvl(v, F.lit(None)).alias(f"c{i}") for i, v in enumerate(values)])
 
 
-def spearman_pairs(df: DataFrame, pairs: Pairs, max_rows: int = MAX_SERIES_ROWS) -> list[float | None]:
+def spearman_pairs(
+    df: DataFrame, pairs: Pairs, max_rows: int = MAX_SERIES_ROWS, few: int = FEW_VALUES
+) -> list[float | None]:
     """Correlation of average ranks for each pair, over the rows where both columns have a value.
 
     A column is ranked once for all partners without gaps, and once more for each partner with gaps, over the
-    rows that partner has. All rankings are one long table: values are counted, one running total for each
-    ranking gives the ranks, these go back to the rows, and one pass sums the products of all pairs.
+    rows that partner has. Values of all rankings are counted in one long table, and one running total for each
+    ranking gives the ranks. Ranks of columns of few values are small tables that every task looks up; those of
+    many values go back to the rows by a join. One pass sums the products of all pairs.
     """
     cols = list(dict.fromkeys(c for pair in pairs for c in pair))
     number = {c: i for i, c in enumerate(cols)}
     rows = _known(df, cols)
-    gaps = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in rows.columns]).first()
+    seen = [F.count_if(F.col(c).isNull()).alias(c) for c in rows.columns]
+    seen += [F.approx_count_distinct(c).alias(f"d{c}") for c in rows.columns]
+    gaps = rows.agg(*seen).first()
     partial = {i for i in range(len(cols)) if gaps[f"c{i}"]}
+    many = {i for i in range(len(cols)) if gaps[f"dc{i}"] > few}
     rankings: dict[tuple[int, int | None], int] = {}
     sides = []
     for a, b in pairs:
         i, j = number[a], number[b]
         keys = (i, j if j in partial else None), (j, i if i in partial else None)
         sides.append(tuple(rankings.setdefault(k, len(rankings)) for k in keys))
-    entries = []
+    entries, listed = {}, [s for (i, _), s in rankings.items() if i not in many]
     for (i, mask), s in rankings.items():
         there = F.col(f"c{i}").isNotNull() & (F.col(f"c{mask}").isNotNull() if mask is not None else F.lit(True))
-        entries.append(F.when(there, F.struct(F.lit(s).alias("s"), F.col(f"c{i}").alias("v"))))
-    long = rows.withColumn("row", F.monotonically_increasing_id())
-    long = long.select("row", F.explode(F.array_compact(F.array(*entries))).alias("e"))
-    long = staged(long.select("row", "e.s", "e.v"), "ranked_values")
-    values = long.groupBy("s", "v").agg(F.count(F.lit(1)).alias("k"))
+        entries[s] = F.when(there, F.struct(F.lit(s).alias("s"), F.col(f"c{i}").alias("v")))
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "ranked_values")
+    values = rows.select(F.explode(F.array_compact(F.array(*entries.values()))).alias("e"))
+    values = values.groupBy("e.s", "e.v").agg(F.count(F.lit(1)).alias("k"))
     totals = running_total(values, ["s"], ["v"], "k", "before", "total", max_rows)
     rank = F.col("before") + (F.col("k") + 1) / 2 - (F.col("total") + 1) / 2
-    back = long.join(totals.select("s", "v", rank.alias("rank")), ["s", "v"])
-    back = back.groupBy("row").agg(F.collect_list(F.struct("s", "rank")).alias("ranks")).select("ranks")
+    totals = totals.select("s", "v", rank.alias("rank"))
+    if many:
+        totals = staged(totals, "ranks")
+    tables = {}
+    if listed:
+        found = totals.where(F.col("s").isin(listed)).toPandas().sort_values(["s", "v"])
+        tables = {s: (t["v"].to_numpy(), t["rank"].to_numpy()) for s, t in found.groupby("s")}
+    masked = {s: (i, mask) for (i, mask), s in rankings.items() if s in tables}
+    plain = [F.col(f"c{i}") for i in range(len(cols))]
+    empty = F.array().cast("array<struct<s:int,rank:double>>")
+    back = rows.select(F.array(*plain).alias("values"), empty.alias("ranks"))
+    if many:
+        long = rows.select("row", F.explode(F.array_compact(F.array(*[e for s, e in entries.items() if s not in listed]))).alias("e"))
+        long = long.select("row", "e.s", "e.v").join(totals.where(~F.col("s").isin(listed)), ["s", "v"])
+        ends = F.struct("s", "rank").alias("rank"), F.lit(None).cast("array<double>").alias("values")
+        both = long.select("row", *ends).union(rows.select("row", F.lit(None), F.array(*plain)))
+        back = both.groupBy("row").agg(F.flatten(F.collect_list("values")).alias("values"), F.collect_list("rank").alias("ranks"))
+        back = back.select("values", "ranks")
     left, right = (np.array([p[side] for p in sides]) for side in (0, 1))
 
     def sums(batches):
@@ -62,10 +85,17 @@ def spearman_pairs(df: DataFrame, pairs: Pairs, max_rows: int = MAX_SERIES_ROWS)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = batch.column(0)
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            lists = batch.column(1)
             of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             flat = lists.flatten()
             x = np.full((batch.num_rows, len(rankings)), np.nan)
+            for s, (i, mask) in masked.items():
+                there = ~np.isnan(values[:, i])
+                if mask is not None:
+                    there &= ~np.isnan(values[:, mask])
+                known, ranked = tables[s]
+                x[there, s] = ranked[np.searchsorted(known, values[there, i])]
             x[of, flat.field("s").to_numpy()] = flat.field("rank").to_numpy()
             for p in range(len(sides)):
                 a, b = x[:, left[p]], x[:, right[p]]

@@ -107,3 +107,19 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "a double, b double")
     for method in ("spearman", "kendall", "cramers"):
         assert [r.r for r in correlation.correlations(df, ["a", "b"], method).collect()] == [None, None]
+
+
+@pytest.mark.parametrize("few", [0, 20, 10_000])
+def test_spearman_with_ranks_looked_up_and_joined(spark, few, monkeypatch):
+    """The staged rows are those of the table, not one for each ranking of each."""
+    x = columns(150, 5)
+    pairs = list(itertools.combinations(x.columns, 2))
+    sizes = {}
+    kept = ranks.staged
+    monkeypatch.setattr(ranks, "staged", lambda df, name: sizes.setdefault(name, kept(df, name)))
+    found = ranks.spearman_pairs(frame(spark, x), pairs, few=few)
+    for (a, b), r in zip(pairs, found):
+        both = x[[a, b]].dropna().rank()
+        assert r == (None if "e" in (a, b) else pytest.approx(both[a].corr(both[b]))), (a, b)
+    assert sizes["ranked_values"].count() == 150
+    assert ("ranks" in sizes) == (few < 10_000)
