@@ -7,6 +7,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from gaugeloom.operators import boosting, gradient, models
+from gaugeloom.operators.split import validation_tail
 
 
 def samples(spark, x, y, parts=4):
@@ -232,14 +233,23 @@ def test_samples_are_staged_as_blocks(spark, monkeypatch):
     assert watched == pytest.approx(network.losses(w, a[held], b[held]).mean())
 
 
-@pytest.mark.parametrize("method", ["xgboost", "dnn"])
-def test_windows_are_made_once_for_a_fit(spark, method):
+def counted(spark, rows=80):
+    """Samples of noise and how often one of them was made."""
     made = spark.sparkContext.accumulator(0)
-    count = F.udf(lambda v: (made.add(1), v)[1], "double").asNondeterministic()
+    count = F.udf(lambda v: (made.add(1), v)[1], "int").asNondeterministic()
     draw = np.random.default_rng(12)
-    df = samples(spark, draw.normal(size=(80, 2)), draw.normal(size=80))
-    df = df.withColumn("y", F.array(count(F.col("y")[0])))
-    models.train(df, method, n_epochs=1, early_stopping=True, order=["idx"])
+    return samples(spark, draw.normal(size=(rows, 2)), draw.normal(size=rows)).withColumn("idx", count("idx")), made
+
+
+def test_windows_are_made_once_for_a_fit(spark):
+    df, made = counted(spark)
+    models.train(df, "dnn", n_epochs=1, early_stopping=True, order=["idx"])
+    assert made.value == 80
+
+
+def test_the_held_out_tail_is_found_in_one_pass(spark):
+    df, made = counted(spark)
+    validation_tail(df, 0.25, [], ["idx"])
     assert made.value == 80
 
 
