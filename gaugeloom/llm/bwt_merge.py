@@ -14,12 +14,19 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Places whose symbols are hashed at once.
+PIECE = 1_000_000
 
 
 def _symbols(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of the ``size`` bytes from each place (the last places have none)."""
-    if len(data) < size:
-        return np.zeros(0, np.uint64)
+    """A hash of the ``size`` bytes from each place (the last places have none), piece by piece."""
+    out = np.empty(max(len(data) - size + 1, 0), np.uint64)
+    for at in range(0, len(out), PIECE):
+        out[at : at + PIECE] = _hashed(data[at : at + PIECE + size - 1], size)
+    return out
+
+
+def _hashed(data: np.ndarray, size: int) -> np.ndarray:
     inverse = np.uint64(pow(int(_BASE), -1, 2**64))
     powers = np.full(len(data) + 1, _BASE)
     powers[0] = 1
@@ -42,16 +49,16 @@ class Shard:
         """``symbol`` (from 1) of each place; ``after``: the place its suffix goes on at, -1 at an end."""
         places = len(symbol)
         ends = np.flatnonzero(after < 0)
-        follow = after.copy()
-        follow[ends] = places + np.arange(len(ends))
+        last = np.arange(places, places + len(ends), dtype=np.int32)
+        follow = np.concatenate([after.astype(np.int32), last])
+        follow[ends] = last
         name = np.concatenate([symbol, np.zeros(len(ends), symbol.dtype)])
-        rank = np.zeros(len(name), np.int64)
+        rank = np.zeros(len(name), np.int32)
         rank[places:] = np.arange(len(ends))
-        follow = np.concatenate([follow, places + np.arange(len(ends))])
         while True:
             # ends are told apart by their number, so in the end all ranks differ
             order = np.lexsort((rank[follow], name))
-            new = np.empty(len(name), np.int64)
+            new = np.empty(len(name), np.int32)
             change = np.ones(len(name), bool)
             a, b = order[:-1], order[1:]
             change[1:] = (name[a] != name[b]) | (rank[follow[a]] != rank[follow[b]])
@@ -68,9 +75,9 @@ class Shard:
 
 def interleave(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """The shard of each merged suffix, and the number of its interval of equal first ``rounds`` symbols."""
-    mark = np.repeat(np.arange(len(shards)), [len(s.order) for s in shards])
-    interval = np.zeros(len(mark), np.int64)
-    before = np.empty(len(mark), np.int64)
+    mark = np.repeat(np.arange(len(shards), dtype=np.int32), [len(s.order) for s in shards])
+    interval = np.zeros(len(mark), np.int32)
+    before = np.empty(len(mark), shards[0].transform.dtype)
     for _ in range(rounds):
         for k, shard in enumerate(shards):
             before[mark == k] = shard.transform
@@ -78,7 +85,7 @@ def interleave(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray
         mark, name, old = mark[order], before[order], interval[order]
         change = np.zeros(len(mark), bool)
         change[1:] = (name[1:] != name[:-1]) | (old[1:] != old[:-1])
-        interval = change.cumsum()
+        interval = change.cumsum(dtype=np.int32)
     return mark, interval
 
 
@@ -96,9 +103,9 @@ def repeated_windows(
     out = np.zeros(len(data), bool)
     rounds = length // symbol
     hashes = _symbols(data, symbol)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(data)) - starts[owner]
-    window = place < windows[owner]
+    # places are counted in 32 bits: half the memory, and a lot holds far fewer
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    window = np.arange(len(data), dtype=np.int32) < (starts + windows).astype(np.int32)[owner]
     if window.any():
         # a window whose symbols are not all repeated cannot be; its suffixes stay out of the transforms
         used = np.zeros(len(data), bool)
@@ -116,16 +123,17 @@ def repeated_windows(
         for k in range(rounds):
             used[np.flatnonzero(window) + k * symbol] = True
         keep = used[at]
-        at, name = at[keep], name[keep] + 1
-        names = np.zeros(len(data), np.int64)
-        names[at] = name
+        at = at[keep]
+        names = np.zeros(len(data), np.int32)
+        names[at] = name[keep] + 1
+        del hashes, name, often, used, several, heavy, keep
         parts, where = [], []
         lot = np.minimum(starts * shards // max(len(data), 1), shards - 1)
         for k in range(shards):
             mine = at[lot[owner[at]] == k]
             if not len(mine):
                 continue
-            index = np.full(len(data) + symbol, -1, np.int64)
+            index = np.full(len(data) + symbol, -1, np.int32)
             index[mine] = np.arange(len(mine))
             after = index[mine + symbol]
             same = owner[np.minimum(mine + symbol, len(data) - 1)] == owner[mine]
@@ -133,7 +141,7 @@ def repeated_windows(
             where.append(mine)
         if parts:
             mark, interval = interleave(parts, rounds)
-            number = np.full(len(data), -1, np.int64)
+            number = np.full(len(data), -1, np.int32)
             for k, (shard, mine) in enumerate(zip(parts, where, strict=True)):
                 found = interval[mark == k]
                 real = shard.order < shard.places

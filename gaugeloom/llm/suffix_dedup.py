@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeloom.llm.bwt_merge import repeated_windows
-from gaugeloom.llm.runs import by_key, fewer, runs
+from gaugeloom.llm.runs import by_key, fewer, lots, runs
 from gaugeloom.session import staged
 
 LENGTH = 400
@@ -38,7 +38,9 @@ GRAM = 32
 #: Bytes that are hashed at once; a longer text is cut into slices that overlap by a window.
 SLICE = 1_000_000
 #: Bytes of fragments whose transforms are merged at once, and different fragments of one anchor hash in them.
-LOT = 6_000_000
+LOT = 1_500_000
+#: Bytes of texts that are cut and handed back at once.
+RETURNED = 4_000_000
 HOT = 10_000
 
 
@@ -145,7 +147,7 @@ _FOUND = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 def _merged(texts: DataFrame, length: int, symbol: int) -> DataFrame:
     """(hash, digest, windows): the repeated windows of each fragment, as runs of first places."""
 
-    def lots(batches):
+    def groups(batches):
         held, size = [], 0
         for rows in runs(batches, (0,)):
             held.append(rows)
@@ -157,7 +159,7 @@ def _merged(texts: DataFrame, length: int, symbol: int) -> DataFrame:
             yield pa.concat_tables(held)
 
     def run(batches):
-        for lot in lots(batches):
+        for lot in groups(batches):
             digests = lot.column(1).to_pylist()
             place = list(dict(zip(digests, range(len(digests)), strict=True)).values())  # equal rows come once
             lot = lot.take(pa.array(place))
@@ -234,7 +236,7 @@ def without_repeats(
     rows = rows.join(found, same, "left").select("doc_id", "body", "runs")
 
     def run(batches):
-        for batch in batches:
+        for batch in (lot for whole in batches for lot in lots(whole, 1, RETURNED)):
             sizes, spans, kept = [], [], []
             for i in range(batch.num_rows):
                 body, runs_ = batch.column(1)[i].as_py(), batch.column(2)[i]

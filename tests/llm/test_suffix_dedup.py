@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -54,6 +55,7 @@ def test_against_brute_force(spark, hot):
 def test_slices_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SLICE", 1_000)
     monkeypatch.setattr(suffix_dedup, "LOT", 3_000)
+    monkeypatch.setattr(suffix_dedup, "RETURNED", 2_000)
     rows = case(7) + [(200, prose(1, 3_000)), (201, prose(2, 900) + prose(1, 3_000)[4_000:9_000])]
     assert found(spark, rows) == brute_force(rows, 400)
 
@@ -80,6 +82,31 @@ def test_merge_against_windows(seed, shards):
         assert flags.tolist() == [seen[t[p : p + length]] > 1 for p in range(max(len(t) - length + 1, 0))]
 
 
+def test_memory_of_near_copies():
+    """A lot of near copies of a few texts takes a bounded multiple of its bytes; it took 116 times as much once."""
+    r = random.Random(2)
+    base = [bytes(r.randrange(97, 123) for _ in range(700)) for _ in range(40)]
+    texts = [b[:at] + b"0" + b[at + 1 :] for b in base for at in r.sample(range(700), 40)]
+    tracemalloc.start()
+    found = bwt_merge.repeated_windows(texts, np.ones(len(texts), np.int64), 400, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 85 * sum(map(len, texts))
+    seen = {}
+    for t in texts:
+        for p in range(301):
+            seen[t[p : p + 400]] = seen.get(t[p : p + 400], 0) + 1
+    assert all(flags.tolist() == [seen[t[p : p + 400]] > 1 for p in range(301)] for t, flags in zip(texts, found, strict=True))
+
+
+def test_symbols_in_pieces(monkeypatch):
+    data = np.frombuffer(prose(4, 200).encode(), np.uint8)
+    whole = bwt_merge._symbols(data, 30)
+    monkeypatch.setattr(bwt_merge, "PIECE", 7)
+    assert (bwt_merge._symbols(data, 30) == whole).all()
+    assert len(whole) == len(data) - 29 and not len(bwt_merge._symbols(data[:29], 30))
+
+
 def test_interleave_orders_all_suffixes():
     r = random.Random(1)
     words = [[r.randint(1, 3) for _ in range(r.randint(1, 9))] for _ in range(20)]
