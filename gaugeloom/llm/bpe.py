@@ -18,8 +18,7 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -29,11 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeloom.llm.runs import lots
+
 WORD_END = "</w>"
 #: Offset between the symbol of a byte inside a word and the symbol of the same byte at its end.
 END_SHIFT = 0x4000
-#: Words and pairs that a Python worker remembers; they are forgotten all at once beyond that.
+#: Words with the signs on them, and pairs, that a Python worker remembers; they are forgotten all at once beyond that.
 CACHE_ENTRIES = 250_000
+#: Bytes of text whose ids are held and handed back at once (whole texts each).
+LOT = 2_000_000
 _MODELS: dict[str, WordBpe] = {}
 
 
@@ -56,7 +59,7 @@ class _Remembered(dict):
     def __init__(self, function):
         self.function = function
 
-    def __missing__(self, key: str) -> tuple[int, ...]:
+    def __missing__(self, key: str) -> bytes:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
         found = self[key] = self.function(key)
@@ -87,9 +90,8 @@ class WordBpe:
         self.byte = byte_symbols()
         self.ends: dict[int, list[tuple[int, float]]] = {}
         self.starts: dict[int, list[tuple[int, float]]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
-        self.words = _Remembered(self.encode_word)
         self.chunks = _Remembered(self.encode_chunk)
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
@@ -124,11 +126,12 @@ class WordBpe:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the encoding of two tokens' joined symbols is just these two."""
-        found = self.pairs.get((left, right))
+        key = left << 32 | right
+        found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= CACHE_ENTRIES:
                 self.pairs.clear()
-            found = self.pairs[left, right] = not self._crossed(left, right, float("inf"))
+            found = self.pairs[key] = not self._crossed(left, right, float("inf"))
         return found
 
     def reachable(self, token: int) -> bool:
@@ -154,13 +157,16 @@ class WordBpe:
             ids.append(token)
         return tuple(ids[::-1])
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
+    def encode_word(self, word: str) -> bytes:
         symbols = "".join(map(self.byte.__getitem__, word.encode()))
-        return self.encode_symbols(symbols[:-1] + chr(ord(symbols[-1]) + END_SHIFT))
+        return array("i", self.encode_symbols(symbols[:-1] + chr(ord(symbols[-1]) + END_SHIFT))).tobytes()
 
-    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        """The ids of all words of a text in normal form."""
-        return tuple(chain.from_iterable(map(self.words.__getitem__, WORD.findall(chunk))))
+    def encode_chunk(self, chunk: str) -> bytes:
+        """The ids of all words of a text in normal form, as bytes: a fraction of the memory of numbers."""
+        words = WORD.findall(chunk)
+        if words == [chunk]:
+            return self.encode_word(chunk)
+        return b"".join(map(self.chunks.__getitem__, words))
 
     def normalise(self, text: str) -> str:
         """Composed and in lower case, letter by letter (a final sigma is no special case)."""
@@ -168,21 +174,23 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()
 
-    def encode(self, text: str) -> Iterable[int]:
+    def encode(self, text: str) -> array[int]:
         """The ids of one text; special tokens written out in it count as such."""
-        return chain.from_iterable(self._encoded(text))
+        ids = array("i")
+        ids.frombytes(b"".join(self._encoded(text)))
+        return ids
 
-    def _encoded(self, text: str) -> Iterator[Iterable[int]]:
+    def _encoded(self, text: str) -> Iterator[bytes]:
         parts = self.split.split(text) if self.split and "<" in text else [text]
         for part in parts:
             if part in self.special:
-                yield (self.special[part],)
+                yield array("i", [self.special[part]]).tobytes()
             elif part:
                 part = self.normalise(part)
                 if NOT_SPACE.search(part):
                     yield self.encode_chunk(part)
                 else:
-                    yield chain.from_iterable(map(self.chunks.__getitem__, part.split()))
+                    yield b"".join(map(self.chunks.__getitem__, part.split()))
 
     @staticmethod
     def texts_of(spec: str) -> dict[int, str]:
@@ -219,15 +227,13 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     def run(batches):
         model = model_of(spec)
         for batch in batches:
-            counts = np.zeros(batch.num_rows + 1, np.int32)
-            ids = array("i")
-            for n, value in enumerate(batch.column(at)):
-                before = len(ids)
-                ids.extend(model.encode(value.as_py() or ""))
-                counts[n + 1] = len(ids) - before
-            flat = np.asarray(ids, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(counts.cumsum(dtype=np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out])
+            for lot in lots(batch, at, LOT):
+                ends, ids = [0], array("i")
+                for value in lot.column(at):
+                    ids.extend(model.encode(value.as_py() or ""))
+                    ends.append(len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
+                yield pa.RecordBatch.from_arrays([*lot.columns, lists], names=[*lot.schema.names, out])
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return df.mapInArrow(run, schema)
