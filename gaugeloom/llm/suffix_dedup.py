@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeloom.llm.bwt_merge import repeated_windows
-from gaugeloom.llm.runs import by_key, fewer, lots, runs
+from gaugeloom.llm.passages import sharing
+from gaugeloom.llm.runs import by_key, fewer, least_places, lots, runs
 from gaugeloom.session import staged
 
 LENGTH = 400
@@ -63,20 +64,8 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 def anchors_of(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each anchor of a byte string, and the first and the last window that it is the anchor of."""
     grams = _gram_hashes(data)
-    wide = length - GRAM + 1
-    count = len(data) - length + 1
-    low = np.uint64((1 << 24) - 1)
-    key = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    padded = np.full(-(-len(key) // wide) * wide, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(key)] = key
-    blocks = padded.reshape(-1, wide)
-    left = np.minimum.accumulate(blocks, axis=1).ravel()
-    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(right[:count], left[wide - 1 : wide - 1 + count])
-    place = (least & low).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    last = np.concatenate([first[1:], [count]]) - 1
-    return grams[place[first]].view(np.int64), first, last
+    place, first, last = least_places(grams, length - GRAM + 1)
+    return grams[place].view(np.int64), first, last
 
 
 def _narrow(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -227,13 +216,31 @@ def repeated_spans(
 
 
 def without_repeats(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, symbol: int = SYMBOL, hot: int = HOT
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    symbol: int = SYMBOL,
+    hot: int = HOT,
+    words: int | None = None,
 ) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept): maximal removed byte runs [s, e), and the bytes that stay."""
+    """(doc_id, n_bytes, spans, kept): maximal removed byte runs [s, e), and the bytes that stay.
+
+    With ``words`` also ``passage``: whether a run of that many words stands in another document too, however few
+    bytes it has. It does not change what is removed.
+    """
     found = repeated_spans(df, doc_id, text, length, symbol, hot).withColumnsRenamed({"id": "_id", "mark": "_mark"})
-    rows = _narrow(df, doc_id, text).withColumn("doc_id", F.col("id"))
+    # the texts are shuffled as for _with_text, so that one shuffle serves all
+    rows = narrow = _narrow(df, doc_id, text)
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-    rows = rows.join(found, same, "left").select("doc_id", "body", "runs")
+    rows = rows.join(found, same, "left").select("id", "mark", "body", "runs")
+    if words is None:
+        rows = rows.select(F.col("id").alias("doc_id"), "body", "runs")
+    else:
+        shared = sharing(narrow, words).select(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
+        shared = shared.withColumn("_shared", F.lit(True))
+        passage = F.coalesce("_shared", F.lit(False)).alias("passage")
+        rows = rows.join(shared, same, "left").select(F.col("id").alias("doc_id"), "body", "runs", passage)
 
     def run(batches):
         for batch in (lot for whole in batches for lot in lots(whole, 1, RETURNED)):
@@ -249,11 +256,13 @@ def without_repeats(
                 spans.append([{"s": a, "e": b} for a, b in removed])
                 kept.append(b"".join([*parts, body[at:]]))
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, _FOUND), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept"])
+            columns += batch.columns[3:]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept", "passage"][: len(columns)])
 
     spans = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", spans)])
-    return rows.mapInArrow(run, schema.add("kept", T.BinaryType()))
+    schema = schema.add("kept", T.BinaryType())
+    return rows.mapInArrow(run, schema if words is None else schema.add("passage", T.BooleanType()))
 
 
 def covered(windows: pa.StructArray, length: int) -> list[tuple[int, int]]:
