@@ -12,7 +12,7 @@ and runs are compared by 64-bit hashes. A very long text is cut into slices of w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeloom.llm.runs import fewer, least_places
+from gaugeloom.llm.runs import least_places
 from gaugeloom.session import staged
 
-GRAM = 8
+#: Words of an anchor: many documents share lines of fewer.
+GRAM = 16
 #: Words that are hashed at once.
 SLICE = 100_000
+#: Rows that are handed back at once, about.
+RETURNED = 200_000
 FACTOR = 0x9E3779B97F4A7C15
 INVERSE = pow(FACTOR, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
@@ -82,30 +85,49 @@ def _anchors(found: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.
 def _cut(narrow: DataFrame, words: int) -> DataFrame:
     """(id, mark, hash, digest): the different anchors of every row, with the digest of their runs."""
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                parts = []
-                for found in sliced(batch.column(2)[i].as_buffer(), words):
-                    hash_, first, last = _anchors(found, words)
-                    parts.append(np.stack([hash_, hashes(found, first, last + words).view(np.int64)], axis=1))
-                if parts:
-                    rows = np.unique(np.concatenate(parts), axis=0) if len(parts) > 1 else _once(parts[0])
-                    yield _rows(batch, i, hash=rows[:, 0], digest=rows[:, 1])
+    def anchors(batch, i):
+        parts = []
+        for found in sliced(batch.column(2)[i].as_buffer(), words):
+            hash_, first, last = _anchors(found, words)
+            parts.append(np.stack([hash_, hashes(found, first, last + words).view(np.int64)]))
+        if len(parts) < 2:
+            return _once(parts[0]) if parts else None
+        return np.unique(np.concatenate(parts, axis=1), axis=1)
 
-    return narrow.mapInArrow(lambda batches: fewer(run(batches)), _schema(narrow, "hash", "digest"))
+    return _made(narrow, narrow, anchors, "hash", "digest")
 
 
-def _once(rows: np.ndarray) -> np.ndarray:
+def _once(columns: np.ndarray) -> np.ndarray:
     """Rows of which no two have the same digest."""
-    return rows[np.unique(rows[:, 1], return_index=True)[1]]
+    return columns[:, np.unique(columns[1], return_index=True)[1]]
+
 
+def _made(narrow: DataFrame, rows: DataFrame, of_row: Callable[[pa.RecordBatch, int], np.ndarray | None], *names: str) -> DataFrame:
+    """(id, mark, names): what ``of_row`` makes of each row, an array of as many columns or None."""
 
-def _rows(batch: pa.RecordBatch, i: int, **columns: np.ndarray) -> pa.RecordBatch:
-    n = len(next(iter(columns.values())))
-    id_ = pa.array([batch.column(0)[i].as_py()] * n, batch.schema.field(0).type)
-    mark = pa.array(np.full(n, batch.column(1)[i].as_py()))
-    return pa.RecordBatch.from_arrays([id_, mark, *(pa.array(np.ascontiguousarray(c)) for c in columns.values())], names=["id", "mark", *columns])
+    def joined(batch, at, parts):
+        place = pa.array(np.repeat(at, [x.shape[1] for x in parts]))
+        columns = np.concatenate(parts, axis=1)
+        arrays = [batch.column(0).take(place), batch.column(1).take(place), *map(pa.array, columns)]
+        return pa.RecordBatch.from_arrays(arrays, names=["id", "mark", *names])
+
+    def run(batches):
+        for batch in batches:
+            at, parts, size = [], [], 0
+            for i in range(batch.num_rows):
+                found = of_row(batch, i)
+                if found is None:
+                    continue
+                at.append(i)
+                parts.append(found)
+                size += found.shape[1]
+                if size >= RETURNED:
+                    yield joined(batch, at, parts)
+                    at, parts, size = [], [], 0
+            if at:
+                yield joined(batch, at, parts)
+
+    return rows.mapInArrow(run, _schema(narrow, *names))
 
 
 def _schema(narrow: DataFrame, *names: str) -> T.StructType:
@@ -121,19 +143,16 @@ def _runs(narrow: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
     rows = narrow.join(lists, same).select("id", "mark", "body", "wanted")
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                asked, parts = batch.column(3)[i].values.to_numpy(), []
-                for found in sliced(batch.column(2)[i].as_buffer(), words):
-                    hash_, first, last = _anchors(found, words)
-                    mine = np.flatnonzero(np.isin(hash_, asked))
-                    at = np.concatenate([np.arange(0), *(np.arange(first[k], last[k] + 1) for k in mine.tolist())])
-                    parts.append(hashes(found, at, at + words).view(np.int64))
-                if parts:
-                    yield _rows(batch, i, run=np.unique(np.concatenate(parts)))
-
-    return rows.mapInArrow(lambda batches: fewer(run(batches)), _schema(narrow, "run"))
+    def at_anchors(batch, i):
+        asked, parts = batch.column(3)[i].values.to_numpy(), []
+        for found in sliced(batch.column(2)[i].as_buffer(), words):
+            hash_, first, last = _anchors(found, words)
+            mine = np.flatnonzero(np.isin(hash_, asked))
+            at = np.concatenate([np.arange(0), *(np.arange(first[k], last[k] + 1) for k in mine.tolist())])
+            parts.append(hashes(found, at, at + words).view(np.int64))
+        return np.unique(np.concatenate(parts))[None] if parts else None
+
+    return _made(narrow, rows, at_anchors, "run")
 
 
 def sharing(narrow: DataFrame, words: int) -> DataFrame:
