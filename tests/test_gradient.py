@@ -260,3 +260,38 @@ def test_tree_samples_are_dealt_by_their_values(spark, monkeypatch):
     assert models._spread(df).rdd.getNumPartitions() == 4
     monkeypatch.setattr(models, "TASK_VALUES", 400)
     assert models._spread(df) is df
+
+
+def _blocks_of_tasks(df, block):
+    """Numbers of samples of the tasks, and all blocks that tasks cut their samples into."""
+    parts = [[r.label for r in rows] for rows in df.rdd.glom().collect()]
+    return [len(p) for p in parts], sorted(p[i : i + block] for p in parts for i in range(0, len(p), block))
+
+
+@pytest.mark.parametrize("sizes", [[5000, 700, 1, 2100, 900, 640, 300, 128, 4000, 1300], [6000]])
+def test_samples_scanned_many_times_are_dealt_evenly(spark, monkeypatch, sizes):
+    """Ten tasks on eight cores, or one: each core gets as much, in the blocks that the network meets otherwise."""
+    df, at = None, 0
+    for size in sizes:
+        part = spark.range(at, at + size, 1, 1).selectExpr("array_repeat(id, 2) AS features", "double(id) AS label")
+        df, at = part if df is None else df.union(part), at + size
+    assert models._even(df, 64) is df  # too few
+    monkeypatch.setattr(models, "EVEN_SAMPLES", 1)
+    even = models._even(df, 64)
+    assert even.columns == df.columns
+    (_, expected), (counts, found) = _blocks_of_tasks(df, 64), _blocks_of_tasks(even, 64)
+    assert found == expected
+    assert len(counts) % 8 == 0 and max(counts) - min(counts) < 3 * 64
+    assert models._even(even, 64) is even
+
+
+def test_dealing_leaves_the_network_as_it_is(spark, monkeypatch):
+    rows = spark.range(0, 3000, 1, 3).where("id < 2100").selectExpr("array(sin(id), cos(id / 3), id / 3000) AS X")
+    rows = rows.selectExpr("X", "array(double(X[0] + X[2] > 0.5)) AS y")
+    before = models.train(rows, "dnn", True, n_epochs=10)
+    dealt, even = [], models._even
+    monkeypatch.setattr(models, "EVEN_SAMPLES", 1)
+    monkeypatch.setattr(models, "_even", lambda *x: dealt.append(even(*x)) or dealt[-1])
+    after = models.train(rows, "dnn", True, n_epochs=10)
+    assert dealt[0].rdd.getNumPartitions() == 8
+    assert np.allclose(before.weights.toArray(), after.weights.toArray(), rtol=1e-6)
