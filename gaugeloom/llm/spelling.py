@@ -11,6 +11,9 @@ again differs by one edit, is cut in the same way, and both chunks are the key o
 holds words that agree in about three quarters of their code points in the same places. Every pair that
 meets is compared exactly. Each pair is sought from the shorter word, or from both if they are equally long.
 
+The joins are sorted merges by hint: Spark sizes a side by the compressed files it comes from and does not count
+the rows that an explode adds, so it would send millions of chunks through the driver.
+
 Defined cases: null and empty texts have no words; a null identifier enters the checksum as an empty text;
 repeated rows count as often as they stand; ties between near words of equal count go to the smallest in code
 point order; very long runs are words like others; an empty table gives an empty result. Only the identifier
@@ -84,7 +87,7 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     longer = F.length("other") - F.length("word")
     once = (longer == 1) | ((longer == 0) & (F.col("word") < F.col("other")))
     near = F.levenshtein("word", "other", 1) == 1
-    return chunks.join(grams, "key").where(once & near).select("word", "n", "other", "other_n").distinct()
+    return chunks.join(grams.hint("merge"), "key").where(once & near).select("word", "n", "other", "other_n").distinct()
 
 
 def variants(vocabulary: DataFrame, factor: int = 2) -> DataFrame:
@@ -118,9 +121,9 @@ def variants(vocabulary: DataFrame, factor: int = 2) -> DataFrame:
     most = vocabulary.agg(F.max("n")).first()[0] or 1
     for _ in range(math.ceil(math.log2(max(2.0, 1 + math.log(most, factor))))):
         onward = roots.select(F.col("word").alias("root"), F.col("root").alias("onward"))
-        joined = roots.join(onward, "root", "left")
+        joined = roots.join(onward.hint("merge"), "root", "left")
         roots = staged(joined.select("word", F.coalesce("onward", "root").alias("root")), "roots")
-    found = vocabulary.join(best, "word", "left").join(roots, "word", "left")
+    found = vocabulary.join(best.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left")
     return found.select(
         "word",
         "form",

@@ -97,3 +97,16 @@ def test_common_halves_meet_in_small_groups(spark):
     table = spark.createDataFrame([("andan" + "".join(r.choice("abcdefghij") for _ in range(6)), 3) for _ in range(3000)], "word string, n long")
     keys = table.dropDuplicates(["word"]).select(F.explode(spelling._keys(F.col("word"), True)).alias("key"))
     assert keys.groupBy("key").count().agg(F.max("count")).first()[0] < 100
+
+
+def test_no_side_is_sent_through_the_driver(spark, tmp_path):
+    """The files of a vocabulary are far smaller than its exploded chunks, so their size must not decide."""
+    r = random.Random(2)
+    counts = {"".join(r.choice("abcdefghij") for _ in range(7)): r.choice((3, 7, 50)) for _ in range(2000)}
+    spark.createDataFrame(list(counts.items()), "word string, n long").write.parquet(str(tmp_path / "vocabulary"))
+    table = spark.read.parquet(str(tmp_path / "vocabulary"))
+    for df in (spelling.near_pairs(table), spelling.variants(table)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert result(spelling.variants(table)) == brute(counts)
