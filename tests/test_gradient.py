@@ -295,3 +295,31 @@ def test_dealing_leaves_the_network_as_it_is(spark, monkeypatch):
     after = models.train(rows, "dnn", True, n_epochs=10)
     assert dealt[0].rdd.getNumPartitions() == 8
     assert np.allclose(before.weights.toArray(), after.weights.toArray(), rtol=1e-6)
+
+
+def test_blocks_are_read_and_handed_over_in_bounded_lots(spark, monkeypatch):
+    """A block is one large row: by rows alone a task would hold thousands of them."""
+    import glob
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from gaugeloom.session import small_batches
+
+    monkeypatch.setattr(gradient, "HELD_BYTES", 300_000)
+    df = spark.range(0, 120_000, 1, 1).select(array_to_vector(F.array(*map(F.rand, range(3)))).alias("features"), F.rand(9).alias("label"))
+    blocks, *_ = gradient._prepared(df, True)
+    files = [pq.ParquetFile(f) for path in blocks.inputFiles() for f in glob.glob(path.removeprefix("file://"))]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert len(groups) > 2 and max(g.total_byte_size for g in groups) < 2_000_000
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["n"])
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    with small_batches(spark, gradient.HELD_BYTES):
+        found = [r.n for r in blocks.coalesce(1).mapInArrow(sizes, "n long").collect()]
+    assert len(found) > 3 and max(found) < 3 * 300_000
+    assert spark.conf.get(name) == before
