@@ -323,3 +323,21 @@ def test_blocks_are_read_and_handed_over_in_bounded_lots(spark, monkeypatch):
         found = [r.n for r in blocks.coalesce(1).mapInArrow(sizes, "n long").collect()]
     assert len(found) > 3 and max(found) < 3 * 300_000
     assert spark.conf.get(name) == before
+
+
+def test_targets_of_boosting_are_made_once_a_round(spark, monkeypatch):
+    """Each fit scans its rows several times; what it reads must be plain columns of a stage table."""
+    plans = []
+
+    class Watched(DecisionTreeRegressor):
+        def fit(self, df):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString().lower())
+            return super().fit(df)
+
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(200, 2))
+    df = packed(samples(spark, x, (x[:, 0] > 0).astype(int) + (x[:, 1] > 0)))
+    monkeypatch.setattr(boosting, "DecisionTreeRegressor", Watched)
+    model = boosting.fit_softmax_boosting(df, 3, 2, rate=1.0)
+    assert len(plans) == 6 and not any("exp" in p.replace("exprid", "") or "python" in p or "arrow" in p for p in plans)
+    assert model.history[1][1] < model.history[0][1]
